@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, sentpiece, simhash
+from . import exact, packing, sentpiece, simhash, tokenbin
 from .common import load
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,6 +18,14 @@ def op1_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.component_ids(load(spark, sf_dir, "documents"))
 
 
+def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.assign(load(spark, sf_dir, "documents"), 40)
+
+
+def op8_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenbin.round_trip(load(spark, sf_dir, "documents"), WORD_MODEL)
+
+
 def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(load(spark, sf_dir, "documents"))
 
@@ -26,7 +34,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentpiece.digests(load(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_bktree, op9_chunk_recipes, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_simhash_bktree, op7_vector_packing, op8_seekable_tokens, op9_chunk_recipes, op10_sentencepiece)}
 
 SQL = {
     "op9_chunk_recipes": f"""
