@@ -71,7 +71,7 @@ def features(text: str | None, n_chars: int | None) -> tuple[np.ndarray, np.ndar
     stats = (
         n / 1024, sum(map(len, w)) / n / 32, (size - white - letters) / size, upper / letters, count(b"0123456789") / size, h[124] / n, h[33] / n, count(b"#$%&*^~") / n,
         len(many) / n, top / n, 1 - len(set(lines)) / max(1, len(lines)), n / max(1, len(lines)) / 64, h[46] / n, h[44] / n, sum(len(x) <= 3 for x in w) / n,
-        None if n_chars is None else max(0, n_chars) / 4096, max(map(len, w), default=0) / 64, count(b"<>{}=/\;_") / n, h[64] / n, sum(1 for x in h if x) / 128, 1 - len(many) / n,
+        None if n_chars is None else max(0, n_chars) / 4096, max(map(len, w), default=0) / 64, count(b"<>{}=/;_") / n, h[64] / n, sum(1 for x in h if x) / 128, 1 - len(many) / n,
     )
     ids: list[int] = []
     xs: list[float] = []
