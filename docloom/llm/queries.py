@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, packing, quality, sentpiece, simhash, tokenbin
+from . import exact, mixing, packing, ppm, quality, sentpiece, simhash, tokenbin
 from .common import load
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -22,6 +22,10 @@ def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(load(spark, sf_dir, "documents"))
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(load(spark, sf_dir, "documents"))
+
+
 def op5_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -42,7 +46,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentpiece.digests(load(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_bktree, op3_hierarchical_mixing, op5_factorisation_machine, op7_vector_packing, op8_seekable_tokens, op9_chunk_recipes, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_simhash_bktree, op3_hierarchical_mixing, op4_ppm, op5_factorisation_machine, op7_vector_packing, op8_seekable_tokens, op9_chunk_recipes, op10_sentencepiece)}
 
 SQL = {
     "op3_hierarchical_mixing": mixing.sql(),
