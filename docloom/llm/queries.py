@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, packing, ppm, quality, sentpiece, simhash, tokenbin
+from . import exact, mixing, mtree, packing, ppm, quality, secrets, sentpiece, simhash, tokenbin
 from .common import load
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,6 +18,10 @@ def op1_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.component_ids(load(spark, sf_dir, "documents"))
 
 
+def op2_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(load(spark, sf_dir, "documents"))
+
+
 def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(load(spark, sf_dir, "documents"))
 
@@ -30,6 +34,10 @@ def op5_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op6_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(load(spark, sf_dir, "embeddings"))
+
+
 def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(load(spark, sf_dir, "documents"), 40)
 
@@ -46,10 +54,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentpiece.digests(load(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_bktree, op3_hierarchical_mixing, op4_ppm, op5_factorisation_machine, op7_vector_packing, op8_seekable_tokens, op9_chunk_recipes, op10_sentencepiece)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash_bktree, op2_crf_secrets, op3_hierarchical_mixing, op4_ppm, op5_factorisation_machine,
+        op6_mtree, op7_vector_packing, op8_seekable_tokens, op9_chunk_recipes, op10_sentencepiece,
+    )
+}
 
 SQL = {
     "op3_hierarchical_mixing": mixing.sql(),
+    "op6_mtree": mtree.SQL,
     "op9_chunk_recipes": f"""
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
