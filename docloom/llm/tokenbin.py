@@ -47,7 +47,8 @@ class Encoder:
     library whole). Punctuation after an ASCII letter is a pre-token of its own, and A-Z are lowered by
     the model, so both are taken off before the cache is asked."""
 
-    LIMIT = 400_000
+    #: entries of a generation of the cache; two are held
+    LIMIT = 300_000
     _by_path: dict[str, "Encoder"] = {}
 
     def __init__(self, path: str) -> None:
@@ -67,7 +68,13 @@ class Encoder:
             and spec["post_processor"] is None and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
         )
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
-        self.cache: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {b"": b""}
+        self.old: dict[bytes, bytes] = {}
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.closed = bool(suffix)
+        self.closes = np.zeros(self.tok.get_vocab_size(), bool)
+        for token, i in self.tok.get_vocab().items():
+            self.closes[i] = self.closed and token.endswith(suffix)
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -78,41 +85,60 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _fill(self, pieces: list[bytes]) -> None:
+    def _letters(self, stems: list[bytes]) -> list[bytes]:
+        """Ids of words of letters alone. Each is one pre-token, the last id of which, and no other, is
+        of a token that closes a word, so many can be encoded as one text and told apart after."""
+        groups = [b" ".join(stems[i : i + 200]).decode() for i in range(0, len(stems), 200)]
+        out: list[bytes] = []
+        for e in self.tok.encode_batch_fast(groups, add_special_tokens=False):
+            ids = np.array(e.ids, "<u4")
+            raw, ends = ids.tobytes(), ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends)]
+        if len(out) != len(stems):
+            raise ValueError("the model does not close every word of letters once")
+        return out
+
+    def _fill(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces that the cache does not have."""
         stems, tails = [], []
         for p in pieces:
             cut_off = len(p) > 1 and p[-1] in b".,;:!?" and (97 <= p[-2] <= 122)
             stems.append(p[:-1] if cut_off else p)
             tails.append(p[-1:] if cut_off else b"")
-        new = list(dict.fromkeys(x for x in (*stems, *tails) if x not in self.cache))
-        fresh = dict(zip(new, self.whole([x.decode("utf-8", "surrogatepass") for x in new])))
-        get = lambda x: fresh[x] if x in fresh else self.cache[x]
-        done = {p: get(s) + get(t) if t else get(s) for p, s, t in zip(pieces, stems, tails)}
-        self.cache.update(done)
-        self.cache.update(fresh)
+        new = [x for x in dict.fromkeys((*stems, *tails)) if x not in self.young]
+        letters, others = [], []
+        for x in new:
+            (letters if self.closed and x.decode("utf-8", "surrogatepass").isalpha() else others).append(x)
+        fresh = dict(zip(letters, self._letters(letters)))
+        fresh.update(zip(others, self.whole([x.decode("utf-8", "surrogatepass") for x in others])))
+        get = lambda x: fresh[x] if x in fresh else self.young[x]
+        fresh.update([(p, get(s) + get(t)) for p, s, t in zip(pieces, stems, tails) if t])
+        return fresh
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self.whole(texts)
-        if len(self.cache) > self.LIMIT:
-            self.cache.clear()
-        if b"" not in self.cache:
-            self.cache[b""] = b""
+        if len(self.young) > self.LIMIT:  # what is asked for again comes back from the old generation
+            self.old, self.young = self.young, {b"": b""}
         raw = [t.encode() for t in texts]
         odd = [any(s in r for s in self.special) for r in raw]  # their strings are matched before lower-casing
         parts = [[] if o else r.lower().replace(b"\n", b" ").split(b" ") for r, o in zip(raw, odd)]
-        wanted = set().union(*parts)
-        missing = [p for p in wanted if p not in self.cache]
-        if missing:
-            self._fill(missing)
-        held = self.cache
-        out = [b"".join([held[p] for p in ps]) for ps in parts]
+        young, old = self.young, self.old
+        missing = []
+        for p in set().union(*parts) - young.keys():
+            ids = old.get(p)
+            if ids is None:
+                missing.append(p)
+            else:
+                young[p] = ids
+        young.update(self._fill(missing) if missing else {})
+        out = [b"".join([young[p] for p in ps]) for ps in parts]
         for i, o in enumerate(odd):
             if o:
                 out[i] = self.whole([texts[i]])[0]
         for p in missing:
             if len(p) > 64:
-                del held[p]
+                del young[p]
         return out
 
 
