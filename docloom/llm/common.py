@@ -72,6 +72,19 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iter
         yield batch.slice(i, step)
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: Python workers stay alive between tasks."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def grouped_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[list[dict]]:
     """Contiguous rows with equal ``keys`` of a sorted partition, as lists of column arrays."""
     held: list[pa.RecordBatch] = []
