@@ -14,7 +14,7 @@ ordered row by row, so a hot source is never sorted whole.
 
 Defined cases: a null text has no tokens; null and empty source or lang are the leaf "(none)"; a weight
 that is not given is 1, and weights of 0 or less get nothing; rows with equal doc_ids are ordered by
-tokens, then a digest of the text, and identical rows are taken together or not at all; an empty table
+tokens, and those with equal tokens too are taken together or not at all; an empty table
 gives an empty result.
 """
 
@@ -90,7 +90,7 @@ def copies(docs: DataFrame, extra: tuple[str, ...] = (), numerator: int = 4, den
     leaf = lambda c: F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", F.lit(NONE)).otherwise(F.col(c).cast("string"))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), domain_of(leaf("source")).alias("domain"), leaf("lang").alias("lang"), leaf("source").alias("source"),
-        F.regexp_count(text, F.lit(WORD_RE)).cast("long").alias("n_tokens"), F.md5(text.cast("binary")).alias("digest"), *extra,
+        F.regexp_count(text, F.lit(WORD_RE)).cast("long").alias("n_tokens"), *extra,
     )
     rows = cut(rows, "mixing")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
@@ -106,9 +106,9 @@ def copies(docs: DataFrame, extra: tuple[str, ...] = (), numerator: int = 4, den
         .agg(F.min("bucket").alias("edge"), F.min_by(F.col("rest") - F.col("upto") + F.col("bucket_tokens"), "bucket").alias("room"))
     )
     rows = rows.join(cut(edge, "edge"), list(LEVELS), "left")
-    order = Window.partitionBy(*LEVELS).orderBy("h", "doc_id", "n_tokens", "digest")
+    order = Window.partitionBy(*LEVELS).orderBy("h", "doc_id", "n_tokens")
     within = rows.where("bucket = edge")
-    # a range frame: identical rows are peers and count together
+    # a range frame: rows of the same id and tokens are peers and count together
     within = within.withColumn("more", (F.sum("n_tokens").over(order.rangeBetween(Window.unboundedPreceding, 0)) <= F.col("room")).cast("long"))
     outside = rows.where("edge is null or bucket <> edge").withColumn("more", F.expr("case when edge is null or bucket < edge then 1L else 0L end"))
     # a leaf whose rest is 0 gives no more than its full epochs
@@ -149,11 +149,11 @@ def sql(numerator: int = 4, denominator: int = 5, max_epochs: int = 2, seed: int
     keys = ", ".join(LEVELS)
     return f"""
     WITH named AS (SELECT doc_id, coalesce(nullif(lang, ''), '{NONE}') AS lang, coalesce(nullif(source, ''), '{NONE}') AS source,
-                          CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS n_tokens, md5(coalesce(text, '')) AS digest FROM documents),
+                          CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS n_tokens FROM documents),
     docs AS (SELECT *, 'd' || coalesce(TRY_CAST(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INT) % 4, 0) AS domain FROM named),
     leaves AS (SELECT {keys}, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM docs GROUP BY ALL),
     {', '.join(level_sql)},
     plan AS (SELECT {keys}, CASE WHEN tokens > 0 THEN parent_budget // tokens ELSE 0 END AS epochs, tokens, parent_budget FROM leaves JOIN b3 USING ({keys})),
     placed AS (SELECT *, parent_budget - epochs * tokens AS rest, md5('{seed}:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM docs JOIN plan USING ({keys})),
-    summed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY {keys} ORDER BY h, doc_id, n_tokens, digest) AS upto FROM placed)
+    summed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY {keys} ORDER BY h, doc_id, n_tokens) AS upto FROM placed)
     SELECT doc_id, domain, lang, source, n_tokens, CAST(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies FROM summed"""
