@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
+#: a row's number within a table on disk, under a name that no input column has
+UID = "_docloom_uid"
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -12,7 +12,7 @@ prefix of documents, in the order md5("seed:epoch:doc_id"), whose tokens fit. To
 summed by the digest's first 12 bits; only the one bucket of a leaf in which the rest runs out is
 ordered row by row, so a hot source is never sorted whole.
 
-Defined cases: a null text has no tokens; null and empty source or lang are the leaf "(none)"; a weight
+Defined cases: a null text has no tokens, and a leaf without tokens gives nothing; null and empty source or lang are the leaf "(none)"; a weight
 that is not given is 1, and weights of 0 or less get nothing; rows with equal doc_ids are ordered by
 tokens, and those with equal tokens too are taken together or not at all; an empty table
 gives an empty result.
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, cut
+from .common import UID, WORD_RE, cut
 
 LEVELS = ("domain", "lang", "source")
 DOMAIN_WEIGHTS = {"d0": 4, "d1": 3, "d2": 2, "d3": 1}
@@ -118,11 +118,11 @@ def copies(docs: DataFrame, extra: tuple[str, ...] = (), numerator: int = 4, den
 
 def mix(docs: DataFrame, numerator: int = 9, denominator: int = 10, max_epochs: int = 1, seed: int = 17, weights: dict = WEIGHTS) -> DataFrame:
     """``docs`` (a table on disk) as the mixture has them: each row as often as it is taken."""
-    told = docs.withColumn("uid", F.monotonically_increasing_id())
-    taken = copies(told, ("uid",), numerator, denominator, max_epochs, seed, weights).where("copies > 0").select("uid", "copies")
-    out = told.join(taken, "uid")
+    told = docs.withColumn(UID, F.monotonically_increasing_id())
+    taken = copies(told.select("doc_id", "text", "lang", "source", UID), (UID,), numerator, denominator, max_epochs, seed, weights)
+    out = told.join(taken.where("copies > 0").select(UID, F.col("copies").alias(UID + "_copies")), UID)
     if max_epochs > 1:
-        out = out.withColumn("epoch", F.explode(F.expr("sequence(1L, copies)")))
+        out = out.withColumn(UID + "_epoch", F.explode(F.expr(f"sequence(1L, {UID}_copies)")))
     return out.select(*docs.columns)
 
 
