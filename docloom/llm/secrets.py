@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, slices
+from .common import arrow_map, cut, slices
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -199,11 +199,12 @@ def gold(text: str, tokens, spans: list[Span]) -> list[int]:
     return tags
 
 
-def fit(texts: list[str], epochs: int = 8, seed: int = 3) -> Field:
-    """Maximum likelihood with a quadratic penalty, by stochastic steps (AdaGrad)."""
+def fit(samples: list[tuple[str, list[str]]], epochs: int = 8, seed: int = 3) -> Field:
+    """Maximum likelihood with a quadratic penalty, by stochastic steps (AdaGrad), from parts of texts
+    and the features of their files."""
     data = []
-    for text in texts:
-        spans, file = base_spans(text), _file(text)
+    for text, file in samples:
+        spans = base_spans(text)
         for _, tokens in runs(text):
             if len(tokens) <= 200:  # longer runs are decoded, but teach nothing that short ones do not
                 data.append((emissions(text, tokens, file), tokens, gold(text, tokens, spans)))
@@ -253,30 +254,36 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 def learn(docs: DataFrame, sample: int = 256) -> Field | None:
     """The field, or None without base spans. Two bounded samples come to the driver: of documents with
-    base spans and of documents with candidates alone; only parts of texts around candidates."""
+    base spans and of documents with candidates alone; parts of texts around candidates, and the
+    features of the whole file."""
 
     def run(batches):
         for b in batches:
             for s in slices(b, "text"):
-                ids, parts, kinds = [], [], []
+                ids, parts, files, kinds = [], [], [], []
                 for i, t in zip(s.column("doc_id").to_pylist(), s.column("text").to_pylist()):
                     found = runs(t) if t and DIGIT.search(t) else []
                     if found:
                         some = base_spans(t)
                         at = some[0][0] if some else found[0][0]
                         ids.append(i)
-                        parts.append(t[max(0, at - 2000) : at + 2000])
+                        parts.append(t[max(0, at - 500) : at + 1000])
+                        files.append(_file(t))
                         kinds.append(bool(some))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.string()), pa.array(kinds, pa.bool_())], names=["doc_id", "part", "has"])
-
-    parts = arrow_map(_narrow(docs), run, "doc_id long, part string, has boolean")
-    parts = parts.withColumn("h", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("has").cast("string")).cast("binary")))
-    # one pass: the rows with the smallest digests of both kinds, interleaved by rank within the kind
-    near = parts.select("has", "h", "part").orderBy("h", "part").limit(8 * sample)
-    got = near.collect()
-    chosen = [[r["part"] for r in got if r["has"] == kind][:sample] for kind in (True, False)]
-    if len(chosen[0]) < sample:
-        chosen[0] = [r["part"] for r in parts.where("has").select("h", "part").orderBy("h", "part").limit(sample).collect()]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.string()), pa.array(files, pa.list_(pa.string())), pa.array(kinds, pa.bool_())], names=["doc_id", "part", "file", "has"])
+
+    parts = arrow_map(_narrow(docs), run, "doc_id long, part string, file array<string>, has boolean")
+    h = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("has").cast("string")).cast("binary"))
+    rows = parts.select("has", h.alias("h"), "part", "file")
+
+    def first(kind: DataFrame, n: int) -> list:
+        """Written before it is collected, so that tasks' own firsts meet in a shuffle, not on the driver."""
+        return cut(kind.orderBy("h", "part").limit(n), "secret-sample").orderBy("h", "part").collect()
+
+    got = first(rows, 8 * sample)  # both kinds in one pass
+    chosen = [[(r["part"], r["file"]) for r in got if r["has"] == kind][:sample] for kind in (True, False)]
+    if len(chosen[0]) < sample and len(got) == 8 * sample:
+        chosen[0] = [(r["part"], r["file"]) for r in first(rows.where("has"), sample)]
     return fit(chosen[0] + chosen[1]) if chosen[0] else None
 
 
