@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, cut, grouped_runs, slices
+from .common import UID, arrow_map, components, cut, grouped_runs, slices
 
 MASK = (1 << 64) - 1
 
@@ -223,6 +223,7 @@ def component_ids(docs: DataFrame, shingle: int = 4, radius: int = 4, piece: int
     )
     of = linked.join(least, "root").select(F.col("node").alias("fp"), "component_id")
     every = distinct.join(of, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
+    every = cut(every, "components")  # so that both sides of the join are shuffled, and AQE can split a hot fingerprint
     return rows.join(every, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -328,6 +329,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, piec
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` (a table on disk) with one document of each near-duplicate group: the smallest doc_id."""
-    told = docs.withColumn("uid", F.monotonically_increasing_id())
-    gone = near_groups(told, shingle, similarity).where("uid <> group_uid").select("uid")
-    return told.join(gone, "uid", "left_anti").select(*docs.columns)
+    told = docs.withColumn(UID, F.monotonically_increasing_id())
+    found = near_groups(told.select(F.col(UID).alias("uid"), "doc_id", "text"), shingle, similarity)
+    gone = found.where("uid <> group_uid").select(F.col("uid").alias(UID))
+    return told.join(gone, UID, "left_anti").select(*docs.columns)
