@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, slices
+from .common import UID, arrow_map, cut, slices
 
 #: chunk lengths in bytes: cuts come at every 4,096th byte on average, within these bounds
 LEAST, MASK_BITS, MOST = 1024, 12, 65536
@@ -130,6 +130,7 @@ def groups(docs: DataFrame) -> DataFrame:
     rows = cut(recipes(docs), "rows")
     order = F.coalesce("doc_id", F.lit(-(1 << 63)))
     many = rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.max_by("uid", order).alias("keep_uid"), F.count("*").alias("group_size")).where("group_size > 1")
+    many = cut(many, "groups")  # so that both sides of the join are shuffled, and AQE can split a hot group
     out = rows.join(many, "recipe", "left")
     return out.select("uid", "doc_id", "sha", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("keep_uid", "uid").alias("keep_uid"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"))
 
@@ -146,6 +147,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def keep_largest(docs: DataFrame) -> DataFrame:
     """``docs`` (a table on disk) with one row, that of the largest doc_id, of each set of equal texts."""
-    told = docs.withColumn("uid", F.monotonically_increasing_id())
-    gone = groups(told.select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))).where("uid <> keep_uid").select("uid")
-    return told.join(gone, "uid", "left_anti").select(*docs.columns)
+    told = docs.withColumn(UID, F.monotonically_increasing_id())
+    found = groups(told.select(F.col(UID).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    gone = found.where("uid <> keep_uid").select(F.col("uid").alias(UID))
+    return told.join(gone, UID, "left_anti").select(*docs.columns)
