@@ -19,3 +19,8 @@ def build(name: str = "docloom", **more: str) -> SparkSession:
     for k, v in {**SETTINGS, **more}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def option(spark: SparkSession, name: str, default: str | None = None) -> str | None:
+    """An engine setting (model names, keys, folders): spark.docloom.<name> of the session."""
+    return spark.conf.get(f"spark.docloom.{name}", default)
