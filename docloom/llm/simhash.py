@@ -231,7 +231,7 @@ def component_ids(docs: DataFrame, shingle: int = 4, radius: int = 4, piece: int
 
 #: 15 bands of 4 MinHashes: a pair of Jaccard similarity 0.8 shares a band with probability 0.9996.
 BANDS, BAND_ROWS = 15, 4
-SKETCH = 256
+SKETCH = 512
 
 
 def _multipliers(n: int) -> np.ndarray:
