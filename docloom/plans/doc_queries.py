@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..functions import transforms as X
 from ..operators import docs, metadata, store, terms, validate
 from ..sources import files, xml
+from ..sources.tables import spread
 from . import catalogs
 from .term_queries import _CHECKED, derive, load, merged
 
@@ -26,32 +27,36 @@ def modules(spark, sf_dir):
     return derive(spark, sf_dir, MODULES, "orders")
 
 
+def parsed_modules(spark, sf_dir):
+    return spread(modules(spark, sf_dir), "o_orderkey")
+
+
 def dmc_assemble(spark, sf_dir):
     at = "identAndStatusSection/dmAddress/dmIdent"
     found = X.attributes_at(F.col("xml"), {"code": (f"{at}/dmCode", X.DMC_ATTRIBUTES), "issue": (f"{at}/issueInfo", ("issueNumber", "inWork"))})
-    m = modules(spark, sf_dir).withColumns(found)
+    m = parsed_modules(spark, sf_dir).withColumns(found)
     return m.select("o_orderkey", X.dmc(F.col("code"), F.col("issue")).alias("dmc"))
 
 
 def date_from_attrs(spark, sf_dir):
-    m = modules(spark, sf_dir).withColumns(X.attributes_at(F.col("xml"), {"d": ("identAndStatusSection/dmAddress/dmAddressItems/issueDate", ("year", "month", "day"))}))
+    m = parsed_modules(spark, sf_dir).withColumns(X.attributes_at(F.col("xml"), {"d": ("identAndStatusSection/dmAddress/dmAddressItems/issueDate", ("year", "month", "day"))}))
     return m.select("o_orderkey", X.date_from_attributes(F.col("d")).alias("issued"))
 
 
 def security_rights(spark, sf_dir):
     at = {"a": ("identAndStatusSection/dmStatus/security", ("securityClassification", "commercialClassification", "caveat"))}
-    m = modules(spark, sf_dir).withColumns(X.attributes_at(F.col("xml"), at)).withColumn("s", X.security(F.col("a")))
+    m = parsed_modules(spark, sf_dir).withColumns(X.attributes_at(F.col("xml"), at)).withColumn("s", X.security(F.col("a")))
     return m.select("o_orderkey", F.col("s.accessRights").alias("access_rights"), F.col("s.license").alias("license"))
 
 
 def info_code_type(spark, sf_dir):
     at = {"a": ("identAndStatusSection/dmAddress/dmIdent/dmCode", ("infoCode",))}
-    return modules(spark, sf_dir).withColumns(X.attributes_at(F.col("xml"), at)).select("o_orderkey", X.info_code_type(F.col("a")).alias("doc_type"))
+    return parsed_modules(spark, sf_dir).withColumns(X.attributes_at(F.col("xml"), at)).select("o_orderkey", X.info_code_type(F.col("a")).alias("doc_type"))
 
 
 def shredded(spark, sf_dir):
     m = modules(spark, sf_dir).select(F.lit("").alias("path"), F.col("o_orderkey").cast("string").alias("doc_id"), F.encode("xml", "utf-8").alias("content"))
-    return xml.shred(m)
+    return xml.shred(spread(m, "doc_id"))
 
 
 def xml_shred_roundtrip(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import equations, layout, sections, tree
+from ..sources.tables import spread
 from .term_queries import derive, duck, load
 
 # layout blocks of a document per brand, out of parts
@@ -82,7 +83,7 @@ def frontmatter_prune(spark, sf_dir):
 
 
 def language_detect(spark, sf_dir):
-    d = load(spark, sf_dir, "documents")
+    d = spread(load(spark, sf_dir, "documents"), "doc_id")
     mixed = F.when(F.col("doc_id") % 4 == 0, F.translate("text", "aeiou", "가나다라마")).otherwise(F.col("text"))
     return d.select("doc_id", T.language(mixed).alias("language"), T.count_of(mixed, "가-힯").alias("hangul"), T.math_signs(F.col("text")).alias("signs"))
 
@@ -113,7 +114,7 @@ def parent_integrity(spark, sf_dir):
 
 
 def equation_flag(spark, sf_dir):
-    s = load(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where("line <> ''")
+    s = spread(load(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where("line <> ''")
     return s.select("doc_id", "pos", T.is_equation(F.col("line")).alias("is_equation"), T.math_signs(F.col("line")).alias("signs"))
 
 

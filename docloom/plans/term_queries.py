@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import store, terms, validate
+from ..sources.tables import load
 
 CANDIDATES = """
     SELECT 0 AS doc_id, CAST(p_partkey AS BIGINT) AS pos, p_name AS term, CASE WHEN p_size % 3 = 0 THEN 'TERM-REL' WHEN p_size % 3 = 1 THEN 'TERM-RULE' ELSE 'TERM-CLASS' END AS term_type,
@@ -22,10 +23,6 @@ _ID = """concat('term:', CASE term_type WHEN 'TERM-REL' THEN 'rel' WHEN 'TERM-RU
     coalesce(nullif(replace(trim(regexp_replace(lower(regexp_replace(coalesce(nullif(trim(headword_en), ''), trim(term)), '[^a-zA-Z0-9 ]', ' ', 'g')), ' +', ' ', 'g')), ' ', '_'), ''), 'unknown'))"""
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
 def derive(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
     return spark.sql(sql, **{t: load(spark, sf_dir, t) for t in tables})
 

@@ -11,7 +11,7 @@ import json
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -403,6 +403,10 @@ class Shredder:
             todo += [(c, step_id, level + 1) for c in reversed(nested)]
 
 
+BLOCK_FIELDS = [x.split(" ")[0] for x in _top(S.BLOCK)]
+META_FIELDS = [x.split(":")[0].strip() for x in _top(META)]
+
+
 def _person(x: dict) -> dict:
     return {k: x.get(k) for k in ("name", "entityType", "role", "affiliation", "organizationType")}
 
@@ -425,10 +429,9 @@ def parse(path: str, doc_id: str, data: bytes) -> dict:
     for k in ("dc_date", "dc_rights"):
         if meta.get(k) is not None:
             meta[k] = {a: str(b) for a, b in meta[k].items() if b is not None} or None
-    names = [x.split(":")[0].strip() for x in _top(META)]
-    fields = [x.split(" ")[0] for x in _top(S.BLOCK)]
-    blocks = [{f: b.get(f) for f in fields} | {"pos": i} for i, b in enumerate(shredder.blocks, 1)]
-    return row | {"format": fmt or "generic", "blocks": blocks, "relations": shredder.relations, "metadata": {n: meta.get(n) for n in names}}
+    for i, b in enumerate(shredder.blocks, 1):
+        b["pos"] = i
+    return row | {"format": fmt or "generic", "blocks": shredder.blocks, "relations": shredder.relations, "metadata": {n: meta.get(n) for n in META_FIELDS}}
 
 
 def shred(files: DataFrame) -> DataFrame:
@@ -436,11 +439,19 @@ def shred(files: DataFrame) -> DataFrame:
 
     ship(files.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema = to_arrow_schema(_parse_datatype_string(PARSED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame([parse(p, d, bytes(c)) for p, d, c in zip(b["path"], b["doc_id"], b["content"])], columns=["path", "doc_id", "format", "error", "blocks", "relations", "metadata"])
+            for at in range(0, b.num_rows, 500):  # documents are expanded a few at a time
+                part = b.slice(at, 500)
+                rows = [parse(p, d, c) for p, d, c in zip(*(part.column(n).to_pylist() for n in ("path", "doc_id", "content")))]
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return files.select("path", F.col("doc_id").cast("string").alias("doc_id"), F.col("content").cast("binary").alias("content")).mapInPandas(run, PARSED)
+    return files.select("path", F.col("doc_id").cast("string").alias("doc_id"), F.col("content").cast("binary").alias("content")).mapInArrow(run, PARSED)
 
 
 def blocks(parsed: DataFrame) -> DataFrame:
