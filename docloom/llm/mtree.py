@@ -125,17 +125,18 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     shards = max(1, -(-rows.count() // SHARD))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     put = rows.select("uid", "vec_id", "dim", "v", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    ask = queries.select("uid", "vec_id", "dim", "v", F.pmod(F.xxhash64("uid", F.lit(2)), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    # every column of the queries under a name of its own: both sides come from one table
+    ask = queries.select(F.col("uid").alias("q_uid"), F.col("vec_id").alias("q_id"), F.col("dim").alias("q_dim"), F.col("v").alias("q_v"), F.pmod(F.xxhash64("uid", F.lit(2)), F.lit(blocks)).cast("int").alias("q_block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("q_shard"))
     last = (1 << 63) - 1
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         q_uid, q_id, r_id, score = [], [], [], []
         if left.num_rows and right.num_rows:
-            x, q = _matrix(left.column("v")), _matrix(right.column("v"))
+            x, q = _matrix(left.column("v")), _matrix(right.column("q_v"))
             ids = np.array([last if i is None else i for i in left.column("vec_id").to_pylist()], "i8")
             row_of = {u: i for i, u in enumerate(left.column("uid").to_pylist())}
             tree = MTree(x)
-            for uid, vec_id, one in zip(right.column("uid").to_pylist(), right.column("vec_id").to_pylist(), q):
+            for uid, vec_id, one in zip(right.column("q_uid").to_pylist(), right.column("q_id").to_pylist(), q):
                 for s, row in tree.search(one, k, ids, row_of.get(uid)):
                     q_uid.append(uid)
                     q_id.append(vec_id)
@@ -143,8 +144,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
                     score.append(s)
         return pa.table({"q_uid": pa.array(q_uid, pa.int64()), "query_id": pa.array(q_id, pa.int64()), "vec_id": pa.array(r_id, pa.int64()), "score": pa.array(score, pa.int64())})
 
-    key = ["dim", "shard", "block"]
-    found = put.groupBy(*key).cogroup(ask.groupBy(*key)).applyInArrow(search, "q_uid long, query_id long, vec_id long, score long")
+    found = put.groupBy("dim", "shard", "block").cogroup(ask.groupBy("q_dim", "q_shard", "q_block")).applyInArrow(search, "q_uid long, query_id long, vec_id long, score long")
     order = Window.partitionBy("q_uid").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
