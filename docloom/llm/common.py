@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+from ..sources.tables import load, spread
+
+__all__ = ["UID", "WORD_RE", "arrow_map", "components", "cut", "grouped_runs", "load", "new_path", "own_dir", "shared_dir", "ship", "slices", "spread", "sweep", "trim"]
+
 WORD_RE = r"[^\x20\x09-\x0D]+"
 #: a row's number within a table on disk, under a name that no input column has
 UID = "_docloom_uid"
@@ -30,8 +32,20 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._docloom_shared
 
 
+def own_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/docloom/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/docloom/{label}-{uuid.uuid4().hex}"
+    return f"{own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes the tables that this application's operators wrote in the shared folder. Results that are
+    still read from them (every lazily returned DataFrame) must be written elsewhere before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:
@@ -42,29 +56,11 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per SparkContext."""
-    sc = spark.sparkContext
-    if getattr(sc, "_docloom_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    where = Path(tempfile.mkdtemp(prefix="docloom-code-")) / "docloom_code.zip"
-    with zipfile.ZipFile(where, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, os.path.join("docloom", p.relative_to(root)))
-    sc.addPyFile(str(where))
-    sc._docloom_shipped = True
-
-
 def arrow_map(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that no slice holds much more than ``max_bytes`` of ``column`` (one row may
     by itself), which bounds what Python holds decoded at a time."""

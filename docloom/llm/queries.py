@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact, mixing, mtree, packing, ppm, quality, secrets, sentpiece, simhash, tokenbin
-from .common import load
+from .common import load, spread
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -14,12 +14,17 @@ WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table, over all cores even where it is a single small file."""
+    return spread(load(spark, sf_dir, "documents"), "doc_id")
+
+
 def op1_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.component_ids(load(spark, sf_dir, "documents"))
+    return simhash.component_ids(documents(spark, sf_dir))
 
 
 def op2_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find(load(spark, sf_dir, "documents"))
+    return secrets.find(documents(spark, sf_dir))
 
 
 def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +32,11 @@ def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ppm.scores(load(spark, sf_dir, "documents"))
+    return ppm.scores(documents(spark, sf_dir))
 
 
 def op5_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return quality.scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
 def op6_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,11 +52,11 @@ def op8_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact.exact_groups(load(spark, sf_dir, "documents"))
+    return exact.exact_groups(documents(spark, sf_dir))
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentpiece.digests(load(spark, sf_dir, "documents"), PIECE_MODEL)
+    return sentpiece.digests(documents(spark, sf_dir), PIECE_MODEL)
 
 
 QUERIES = {

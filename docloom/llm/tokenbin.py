@@ -36,6 +36,7 @@ from .common import arrow_map, cut, new_path, slices
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC = 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 1 << 20
 NO_ID = -(1 << 63)
+TAILS = b".,;:!?"
 
 
 class Encoder:
@@ -48,7 +49,7 @@ class Encoder:
     the model, so both are taken off before the cache is asked."""
 
     #: entries of a generation of the cache; two are held
-    LIMIT = 300_000
+    LIMIT = 500_000
     _by_path: dict[str, "Encoder"] = {}
 
     def __init__(self, path: str) -> None:
@@ -100,19 +101,27 @@ class Encoder:
 
     def _fill(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of pieces that the cache does not have."""
-        stems, tails = [], []
+        young, letters, others, split = self.young, {}, {}, []
         for p in pieces:
-            cut_off = len(p) > 1 and p[-1] in b".,;:!?" and (97 <= p[-2] <= 122)
-            stems.append(p[:-1] if cut_off else p)
-            tails.append(p[-1:] if cut_off else b"")
-        new = [x for x in dict.fromkeys((*stems, *tails)) if x not in self.young]
-        letters, others = [], []
-        for x in new:
-            (letters if self.closed and x.decode("utf-8", "surrogatepass").isalpha() else others).append(x)
+            if p[-1] in TAILS and len(p) > 1 and 97 <= p[-2] <= 122:
+                stem, tail = p[:-1], p[-1:]
+                split.append((p, stem, tail))
+                if tail not in young:
+                    others[tail] = None
+                if stem in young:
+                    continue
+            else:
+                stem = p
+            # bytes.isalpha() knows ASCII letters alone, which most pieces are
+            if self.closed and (stem.isalpha() or stem.decode("utf-8", "surrogatepass").isalpha()):
+                letters[stem] = None
+            else:
+                others[stem] = None
+        letters, others = list(letters), list(others)
         fresh = dict(zip(letters, self._letters(letters)))
         fresh.update(zip(others, self.whole([x.decode("utf-8", "surrogatepass") for x in others])))
-        get = lambda x: fresh[x] if x in fresh else self.young[x]
-        fresh.update([(p, get(s) + get(t)) for p, s, t in zip(pieces, stems, tails) if t])
+        get = lambda x: fresh[x] if x in fresh else young[x]
+        fresh.update([(p, get(s) + get(t)) for p, s, t in split])
         return fresh
 
     def encode(self, texts: list[str]) -> list[bytes]:
