@@ -232,7 +232,8 @@ def ingest_summary(spark, sf_dir):
     n = b.agg(F.count("*").alias("blocks"))
     chunks = terms.first_chunk(b).agg(F.count("*").alias("chunks"))
     t = validate.promotion(merged(spark, sf_dir)).agg(F.count_if(F.col("problem_type").isNull()).alias("promoted"), F.count_if(F.col("problem_type").isNotNull()).alias("refused"))
-    return d.crossJoin(n).crossJoin(chunks).crossJoin(t)  # single rows
+    one = lambda df: df.withColumn("_one", F.lit(1))
+    return one(d).join(one(n), "_one").join(one(chunks), "_one").join(one(t), "_one").drop("_one")
 
 
 _DMC = """concat('DMC-M', o_custkey, '-A-', substring(o_orderpriority, 1, 1), '0-', o_orderkey % 9, '0-00-00AA-', CASE o_orderkey % 3 WHEN 0 THEN '040' WHEN 1 THEN '520' ELSE '999' END, 'A-A', CASE WHEN o_orderkey % 2 = 0 THEN '_001-00' ELSE '' END)"""

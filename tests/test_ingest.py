@@ -213,3 +213,14 @@ def test_metadata_two_tracks(spark):
     got = {r["doc_id"]: (r["dc_title"], [tuple(x) for x in r["dc_identifier"]], r["dc_language"]) for r in metadata.two_tracks(rules, model).collect()}
     assert got == {"a": ("Title", [("DOCKET", "CD-2")], "en"), "b": (None, [("DOCKET", "AB-1")], "ko")}
     assert F.lit(1) is not None
+
+
+def test_spread_leaves_split_tables_alone(spark, tmp_path):
+    from docloom.sources.tables import load, spread
+
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one.parquet")
+    one = load(spark, str(tmp_path), "one")
+    assert spread(one, "id").rdd.getNumPartitions() == cores and spread(one, "id").count() == 100
+    many = spark.range(100).repartition(cores + 3)
+    assert spread(many, "id") is many
