@@ -71,12 +71,12 @@ def split_budget(nodes: DataFrame, parent: list[str], name: str, weights: dict[s
 def leaf_plan(leaves: DataFrame, numerator: int, denominator: int, max_epochs: int, weights: dict) -> DataFrame:
     """leaves (domain, lang, source, tokens) -> full, rest, epoch: what each leaf gives."""
     at = leaves.withColumn("cap", F.col("tokens") * max_epochs)
-    total = at.agg(F.expr(f"coalesce(sum(tokens), 0L) * {numerator} div {denominator}").alias("parent_budget"))
+    total = at.agg(F.expr(f"coalesce(sum(tokens), 0L) * {numerator} div {denominator}")).first()[0]
     budgets = None
     for i, level in enumerate(LEVELS):
         parent, names = list(LEVELS[:i]), list(LEVELS[: i + 1])
         caps = at.groupBy(*names).agg(F.sum("cap").alias("cap"))
-        nodes = caps.crossJoin(F.broadcast(total)) if budgets is None else caps.join(budgets, parent)  # total: one row
+        nodes = caps.withColumn("parent_budget", F.lit(total).cast("long")) if budgets is None else caps.join(budgets, parent)
         budgets = split_budget(nodes, parent, level, weights[level]).select(*names, F.col("budget").alias("parent_budget"))
     plan = at.join(budgets, list(LEVELS)).withColumnRenamed("parent_budget", "budget")
     full = F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(0).cast("long"))
@@ -93,7 +93,7 @@ def copies(docs: DataFrame, extra: tuple[str, ...] = (), numerator: int = 4, den
         F.regexp_count(text, F.lit(WORD_RE)).cast("long").alias("n_tokens"), *extra,
     )
     rows = cut(rows, "mixing")
-    leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
+    leaves = cut(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), "leaves")
     plan = cut(leaf_plan(leaves, numerator, denominator, max_epochs, weights), "plan")
     rows = rows.join(plan, list(LEVELS))
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
