@@ -276,9 +276,19 @@ def learn(docs: DataFrame, sample: int = 256) -> Field | None:
     h = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("has").cast("string")).cast("binary"))
     rows = parts.select("has", h.alias("h"), "part", "file")
 
+    total = docs.count()
+
     def first(kind: DataFrame, n: int) -> list:
-        """Written before it is collected, so that tasks' own firsts meet in a shuffle, not on the driver."""
-        return cut(kind.orderBy("h", "part").limit(n), "secret-sample").orderBy("h", "part").collect()
+        """The n rows with the smallest digests. Every task would send its own n, so digests are first held
+        under a bound that n rows in 64 n fall below; should that be too few, all rows take part. The rows
+        are written before they are collected, so that tasks' firsts meet in a shuffle, not on the driver."""
+        share = min(1.0, 64 * n / max(1, total))
+        for bound in dict.fromkeys((share, 1.0)):
+            some = kind if bound == 1.0 else kind.where(F.col("h") < format(int(bound * 2**32), "08x"))
+            found = cut(some.orderBy("h", "part").limit(n), "secret-sample").orderBy("h", "part").collect()
+            if len(found) == n or bound == 1.0:
+                break
+        return found
 
     got = first(rows, 8 * sample)  # both kinds in one pass
     chosen = [[(r["part"], r["file"]) for r in got if r["has"] == kind][:sample] for kind in (True, False)]
