@@ -49,7 +49,7 @@ class Encoder:
     the model, so both are taken off before the cache is asked."""
 
     #: entries of a generation of the cache; two are held
-    LIMIT = 500_000
+    LIMIT = 400_000
     _by_path: dict[str, "Encoder"] = {}
 
     def __init__(self, path: str) -> None:
