@@ -12,7 +12,7 @@ goes only to the fingerprints that can match in it:
   fewer differing bits agree on at least 2 blocks, so the 15 pairs of blocks are the shard keys and
   each link meets in at least one shard.
 * ``near_groups`` (similarity links): MinHash bands of the same shingles are the shard keys, the
-  BK-tree finds the nearest fingerprints, and each link is verified on bottom-k sketches.
+  BK-tree tells which fingerprint to try first, and pairs of a shard are verified on whole shingle sets.
 
 A shard over ``piece`` fingerprints is cut into pieces, and each pair of pieces is a task of bounded
 size. A shard returns a spanning forest of its links, never all pairs.
@@ -231,94 +231,167 @@ def component_ids(docs: DataFrame, shingle: int = 4, radius: int = 4, piece: int
 
 #: 15 bands of 4 MinHashes: a pair of Jaccard similarity 0.8 shares a band with probability 0.9996.
 BANDS, BAND_ROWS = 15, 4
-SKETCH = 512
+#: bytes of shingle sets that a piece of a shard holds; a single set may by itself hold more
+PIECE_BYTES = 16 << 20
 
 
 def _multipliers(n: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(b"minhash%d" % i) | 1 for i in range(n)], "u8")
 
 
-def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(uid, doc_id, node, fp, bands, sketch): sketch holds the SKETCH smallest distinct shingle
-    hashes (their high 32 bits); node stands for equal fingerprints and sketches."""
+def banded(docs: DataFrame, shingle: int) -> DataFrame:
+    """(uid, doc_id, node, fp, bands, size): node stands for equal fingerprints and equal sets of
+    shingle hashes, size is the number of distinct shingles."""
 
     def run(batches):
         mult = _multipliers(BANDS * BAND_ROWS)
         for b in batches:
             for s in slices(b, "text"):
-                node, fps, bands, sk = [], [], [], []
+                node, fps, bands, size = [], [], [], []
                 for t in s.column("text").to_pylist():
                     h = shingle_hashes(words(t), shingle)
                     f = fingerprint(h)
                     h = np.unique(h)
-                    raw = (h[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes()
                     least = np.full(len(mult), MASK, "u8")
                     for i in range(0, len(h), 4096):
                         least = np.minimum(least, (h[i : i + 4096, None] * mult).min(0))
                     parts = least.reshape(BANDS, BAND_ROWS)
                     fps.append(_signed(f))
-                    node.append(_signed(xxhash.xxh64_intdigest(raw + f.to_bytes(8, "little") + len(h).to_bytes(8, "little"))))
+                    node.append(_signed(xxhash.xxh64_intdigest(h.tobytes() + f.to_bytes(8, "little"))))
                     bands.append([_signed(xxhash.xxh64_intdigest(p.tobytes(), i)) for i, p in enumerate(parts)] if len(h) else [])
-                    sk.append(raw)
+                    size.append(len(h))
                 yield pa.RecordBatch.from_arrays(
-                    [s.column("uid"), s.column("doc_id"), pa.array(node, pa.int64()), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sk, pa.binary())],
-                    names=["uid", "doc_id", "node", "fp", "bands", "sketch"],
+                    [s.column("uid"), s.column("doc_id"), pa.array(node, pa.int64()), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(size, pa.int64())],
+                    names=["uid", "doc_id", "node", "fp", "bands", "size"],
                 )
 
-    return arrow_map(docs, run, "uid long, doc_id long, node long, fp long, bands array<long>, sketch binary")
+    return arrow_map(docs, run, "uid long, doc_id long, node long, fp long, bands array<long>, size long")
 
 
-def sketch_similarity(a: bytes, b: bytes, k: int = SKETCH) -> float:
-    """Jaccard similarity by bottom-k sketches; exact for sets of fewer than k shingles."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    if not len(x) or not len(y):
-        return 0.0
-    union = np.union1d(x, y)
-    if len(x) >= k or len(y) >= k:
-        union = union[:k]
-    both = np.intersect1d(x, y, assume_unique=False)
-    return float(np.isin(union, both, assume_unique=True).sum()) / len(union)
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, set: the sorted distinct shingle hashes, 8 bytes each) of ``docs`` (node, text)."""
 
+    def run(batches):
+        for b in batches:
+            for s in slices(b, "text"):
+                sets = [np.unique(shingle_hashes(words(t), shingle)).tobytes() for t in s.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([s.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
 
-def _nearest_tree(radius: int):
-    """Each fingerprint of a shard is linked to its nearest predecessor in the shard's BK-tree."""
+    return arrow_map(docs, run, "node long, set binary")
 
-    def link(nodes: list[int], fps: list[int]) -> list[tuple[int, int]]:
+
+def _verified(similarity: float, radius: int):
+    """Spanning forest of a shard's pairs with a Jaccard similarity of ``similarity`` or more, of those
+    within the radius. The BK-tree's nearest fingerprint is tried first; a row that is then apart from
+    any row before it is compared with all of them at once, by the owners of its shingles."""
+
+    def link(nodes: list[int], fps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
         tree, at, out = BKTree(), {}, []
-        for node, key in zip(nodes, fps):
+        size = np.fromiter(map(len, sets), "i8", len(sets))
+        label = np.arange(len(sets))
+        key_of = np.array(fps, "u8")
+        lookup = None
+
+        def union(i: int, j: int) -> None:
+            if label[i] != label[j]:
+                out.append((nodes[i], nodes[j]))
+                label[label == label[j]] = label[i]
+
+        for i, key in enumerate(fps):
             near = tree.nearest(key, radius)
             if near is not None:
-                out.append((node, at[near]))
-            at.setdefault(tree.add(key), node)
+                j = at[near]
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both / (size[i] + size[j] - both) >= similarity:
+                    union(i, j)
+            at.setdefault(tree.add(key), i)
+            if i == 0 or (label[:i] == label[i]).all() or (i == 1 and near is not None):
+                continue
+            if lookup is None:
+                lookup = _Owners(sets)
+            both = lookup.shared(i)
+            alike = both / (size[i] + size[:i] - both) >= similarity
+            alike &= np.bitwise_count(key_of[:i] ^ key_of[i]) <= radius
+            for j in np.flatnonzero(alike).tolist():
+                union(i, j)
         return out
 
     return link
 
 
+class _Owners:
+    """For sets of a shard: how many elements a set shares with each set before it."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        size = np.fromiter(map(len, sets), "i8", len(sets))
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")  # equal hashes stand in the order of their sets
+        self.owner = np.repeat(np.arange(len(sets)), size)[order]
+        flat = flat[order]
+        new = np.ones(len(flat), bool)
+        new[1:] = flat[1:] != flat[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(flat)), 0))
+        #: of every element: the first place of its hash and its own
+        self.first, self.place = np.empty(len(flat), "i8"), np.empty(len(flat), "i8")
+        self.first[order], self.place[order] = first, np.arange(len(flat))
+        self.edge = np.concatenate(([0], np.cumsum(size)))
+
+    def shared(self, i: int) -> np.ndarray:
+        a, b = self.edge[i], self.edge[i + 1]
+        first, n = self.first[a:b], self.place[a:b] - self.first[a:b]
+        start = np.repeat(first - np.cumsum(n) + n, n)
+        return np.bincount(self.owner[start + np.arange(len(start))], minlength=i)
+
+
+def _shared_shards(first: DataFrame, piece: int) -> DataFrame:
+    """(shard, pair, node, fp) of the bands that two or more nodes share. Of shards with the same nodes
+    one is kept. One over ``piece`` rows or PIECE_BYTES is cut into k pieces by hash, and each row goes
+    to the k - 1 pairs of pieces that hold its own."""
+    dealt = first.select(F.explode("bands").alias("shard"), "node", "fp", "size")
+    shards = dealt.groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    shards = shards.where("n > 1").groupBy("n", "size", "x", "y").agg(F.min("shard").alias("shard"))
+    k = F.expr(f"cast(greatest(ceil(n / {piece}), ceil(size * 8 / {PIECE_BYTES})) as int)")
+    shards = shards.select("shard", F.when(k > 1, k + 1).alias("k"))
+    out = dealt.join(shards, "shard")
+    mine = F.pmod(F.xxhash64("node", F.lit(7)), F.col("k")).cast("int")
+    whole = out.where("k is null").select("shard", F.lit(0).alias("pair"), "node", "fp")
+    cut_up = (
+        out.where("k is not null").withColumn("p", mine).withColumn("q", F.explode(F.expr("sequence(0, k - 1)"))).where("p <> q")
+        .select("shard", (F.least("p", "q") * F.col("k") + F.greatest("p", "q")).alias("pair"), "node", "fp")
+    )
+    return whole.union(cut_up)
+
+
 def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, piece: int = 2048) -> DataFrame:
-    """(uid, doc_id, group_uid) of every row of ``docs`` (uid, doc_id, text): group_uid is the uid of
-    the row with the smallest doc_id in the row's group. Links are pairs of sketches with a Jaccard
-    similarity of ``similarity`` or more. A text without words is alone unless repeated."""
+    """(uid, doc_id, group_uid) of every row of ``docs`` (uid, doc_id, text; a table on disk): group_uid
+    is the uid of the row with the smallest doc_id in the row's group. Links are pairs that share a band
+    and have a Jaccard similarity of ``similarity`` or more, by their whole shingle sets. A text without
+    words is alone unless repeated."""
     # equal bits of a pair at Jaccard s: 1 - acos(2s / (1 + s)) / pi; 3.5 deviations more are let in
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     radius = int(np.ceil(64 * p + 3.5 * np.sqrt(64 * p * (1 - p))))
     narrow = docs.select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = cut(sketches(narrow, shingle), "sketches")
+    rows = cut(banded(narrow, shingle), "banded")
     nodes = rows.groupBy("node").agg(F.min_by("uid", F.coalesce("doc_id", F.lit(MASK >> 1))).alias("uid"), F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    first = rows.join(nodes.select("uid"), "uid", "left_semi").select("node", "fp", "bands", "sketch")
-    first = cut(first, "distinct-sketches")
-    dealt = first.select(F.explode("bands").alias("shard"), "node", "fp")
-    pairs = _linked(dealt, _nearest_tree(radius), piece)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    one = first.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
-    two = first.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+    first = cut(rows.join(nodes.select("uid"), "uid", "left_semi").select("uid", "node", "fp", "bands", "size"), "distinct-banded")
+    dealt = cut(_shared_shards(first, piece), "shared-shards")
+    needed = first.join(dealt.select("node").distinct(), "node", "left_semi").select("uid", "node")
+    sets = cut(shingle_sets(narrow.join(needed, "uid").select("node", "text"), shingle), "shingle-sets")
+    link = _verified(similarity, radius)
 
     def verify(batches):
-        for b in batches:
-            keep = [sketch_similarity(x, y) >= similarity for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(keep, pa.bool_())), b.column("b").filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
+        for table, starts, ends in grouped_runs(batches, ["shard", "pair"]):
+            node, fp, held = table.column("node").to_numpy(), table.column("fp").to_numpy(), table.column("set")
+            some = np.flatnonzero(ends - starts > 1)
+            edges: list[tuple[int, int]] = []
+            for i, j in zip(starts[some].tolist(), ends[some].tolist()):
+                found = [np.frombuffer(x.as_buffer(), "<u8") for x in held.slice(i, j - i)]
+                edges += link(node[i:j].tolist(), [x & MASK for x in fp[i:j].tolist()], found)
+            a, b = zip(*edges) if edges else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    links = arrow_map(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb"), verify, "a long, b long")
+    told = dealt.join(sets, "node").select("shard", "pair", "node", "fp", "set")
+    links = arrow_map(told.repartition("shard", "pair").sortWithinPartitions("shard", "pair", "node"), verify, "a long, b long")
     roots = components(links)
     every = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     every = cut(every, "groups")

@@ -117,6 +117,30 @@ def test_near_duplicates_at_08(spark, tmp_path):
     assert all(i in kept for i in range(180, 240))
 
 
+def found_groups(spark, texts):
+    from pyspark.sql import functions as F
+
+    rows = simhash.near_groups(docs(spark, texts, extra=False).select(F.col("doc_id").alias("uid"), "doc_id", "text")).collect()
+    groups = defaultdict(set)
+    for r in rows:
+        groups[r["group_uid"]].add(r["uid"])
+    return {frozenset(g) for g in groups.values() if len(g) > 1}
+
+
+def test_near_pair_among_alike_texts(spark):
+    """Texts that share a long passage are nearer to one another by chance than partners at 0.8 are."""
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.getrandbits(40):x}" for _ in range(n)]
+    shared = fresh(262)
+    texts = [" ".join(shared + fresh(38)) for _ in range(200)]
+    for _ in range(20):
+        base = shared + fresh(38)
+        texts += [" ".join(base), " ".join(base[:272] + fresh(28))]
+    pairs = [(i, i + 1) for i in range(200, 240, 2)]
+    assert all(0.8 <= jaccard(texts[i], texts[j]) < 0.84 for i, j in pairs) and 0.7 < jaccard(texts[0], texts[1]) < 0.8
+    assert found_groups(spark, texts) == {frozenset(p) for p in pairs}
+
+
 def test_near_edges(spark, tmp_path):
     out = simhash.keep_one(saved(docs(spark), tmp_path))
     assert out.columns == docs(spark).columns
