@@ -141,6 +141,19 @@ def test_near_pair_among_alike_texts(spark):
     assert found_groups(spark, texts) == {frozenset(p) for p in pairs}
 
 
+def test_long_texts_are_judged_exactly(spark):
+    """Texts of over 512 shingles just above and just below 0.8, decided as by brute force."""
+    rng = random.Random(9)
+    fresh = lambda n: [f"w{rng.getrandbits(40):x}" for _ in range(n)]
+    texts = []
+    for i in range(60):
+        base = fresh(1800)
+        texts += [" ".join(base), " ".join(base[: 1596 + i % 2 * 18] + fresh(204 - i % 2 * 18))]
+    alike = [jaccard(texts[i], texts[i + 1]) for i in range(0, 120, 2)]
+    assert all(0.78 < s < 0.82 for s in alike) and sum(s >= 0.8 for s in alike) == 30
+    assert found_groups(spark, texts) == {frozenset((2 * i, 2 * i + 1)) for i, s in enumerate(alike) if s >= 0.8}
+
+
 def test_near_edges(spark, tmp_path):
     out = simhash.keep_one(saved(docs(spark), tmp_path))
     assert out.columns == docs(spark).columns
