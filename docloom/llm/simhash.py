@@ -240,8 +240,8 @@ def _multipliers(n: int) -> np.ndarray:
 
 
 def banded(docs: DataFrame, shingle: int) -> DataFrame:
-    """(uid, doc_id, node, fp, bands, size): node stands for equal fingerprints and equal sets of
-    shingle hashes, size is the number of distinct shingles."""
+    """(uid, doc_id, node, fp, bands, size) of a text's distinct shingles: node stands for equal sets of
+    their hashes, fp is the set's fingerprint, size its number."""
 
     def run(batches):
         mult = _multipliers(BANDS * BAND_ROWS)
@@ -250,14 +250,14 @@ def banded(docs: DataFrame, shingle: int) -> DataFrame:
                 node, fps, bands, size = [], [], [], []
                 for t in s.column("text").to_pylist():
                     h = shingle_hashes(words(t), shingle)
-                    f = fingerprint(h)
                     h = np.unique(h)
+                    f = fingerprint(h)
                     least = np.full(len(mult), MASK, "u8")
                     for i in range(0, len(h), 4096):
                         least = np.minimum(least, (h[i : i + 4096, None] * mult).min(0))
                     parts = least.reshape(BANDS, BAND_ROWS)
                     fps.append(_signed(f))
-                    node.append(_signed(xxhash.xxh64_intdigest(h.tobytes() + f.to_bytes(8, "little"))))
+                    node.append(_signed(xxhash.xxh64_intdigest(h.tobytes())))
                     bands.append([_signed(xxhash.xxh64_intdigest(p.tobytes(), i)) for i, p in enumerate(parts)] if len(h) else [])
                     size.append(len(h))
                 yield pa.RecordBatch.from_arrays(
@@ -281,15 +281,14 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _verified(similarity: float, radius: int):
-    """Spanning forest of a shard's pairs with a Jaccard similarity of ``similarity`` or more, of those
-    within the radius. The BK-tree's nearest fingerprint is tried first; a row that is then apart from
-    any row before it is compared with all of them at once, by the owners of its shingles."""
+    """Spanning forest of a shard's pairs with a Jaccard similarity of ``similarity`` or more. The
+    BK-tree's nearest fingerprint within the radius is tried first; a row that is then apart from any row
+    before it is compared with all of them at once, by the owners of its shingles, at any distance."""
 
     def link(nodes: list[int], fps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
         tree, at, out = BKTree(), {}, []
         size = np.fromiter(map(len, sets), "i8", len(sets))
         label = np.arange(len(sets))
-        key_of = np.array(fps, "u8")
         lookup = None
 
         def union(i: int, j: int) -> None:
@@ -311,7 +310,6 @@ def _verified(similarity: float, radius: int):
                 lookup = _Owners(sets)
             both = lookup.shared(i)
             alike = both / (size[i] + size[:i] - both) >= similarity
-            alike &= np.bitwise_count(key_of[:i] ^ key_of[i]) <= radius
             for j in np.flatnonzero(alike).tolist():
                 union(i, j)
         return out
@@ -367,7 +365,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, piec
     is the uid of the row with the smallest doc_id in the row's group. Links are pairs that share a band
     and have a Jaccard similarity of ``similarity`` or more, by their whole shingle sets. A text without
     words is alone unless repeated."""
-    # equal bits of a pair at Jaccard s: 1 - acos(2s / (1 + s)) / pi; 3.5 deviations more are let in
+    # equal bits of a pair at Jaccard s: 1 - acos(2s / (1 + s)) / pi; 3.5 deviations more are tried first
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     radius = int(np.ceil(64 * p + 3.5 * np.sqrt(64 * p * (1 - p))))
     narrow = docs.select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

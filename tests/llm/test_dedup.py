@@ -154,6 +154,18 @@ def test_long_texts_are_judged_exactly(spark):
     assert found_groups(spark, texts) == {frozenset((2 * i, 2 * i + 1)) for i, s in enumerate(alike) if s >= 0.8}
 
 
+def test_repeated_passages_hide_no_pair(spark):
+    """Texts with nearly the same shingle set are near duplicates however often a passage is pasted."""
+    rng = random.Random(10)
+    fresh = lambda n: [f"w{rng.getrandbits(40):x}" for _ in range(n)]
+    texts = []
+    for _ in range(20):
+        passage, rest = fresh(44), fresh(360)
+        texts += [" ".join(passage + rest), " ".join(passage * 30 + rest)]
+    assert all(jaccard(texts[i], texts[i + 1]) > 0.95 for i in range(0, 40, 2))
+    assert found_groups(spark, texts) == {frozenset((i, i + 1)) for i in range(0, 40, 2)}
+
+
 def test_near_edges(spark, tmp_path):
     out = simhash.keep_one(saved(docs(spark), tmp_path))
     assert out.columns == docs(spark).columns
