@@ -86,17 +86,22 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _normal(self, stem: bytes) -> str:
+        return self.tok.normalizer.normalize_str(stem.decode("utf-8", "surrogatepass"))
+
     def _letters(self, stems: list[bytes]) -> list[bytes]:
         """Ids of words of letters alone. Each is one pre-token, the last id of which, and no other, is
-        of a token that closes a word, so many can be encoded as one text and told apart after."""
-        groups = [b" ".join(stems[i : i + 200]).decode() for i in range(0, len(stems), 200)]
+        of a token that closes a word, so many can be encoded as one text and told apart after. The
+        words of a text that does not close one a word are encoded singly."""
+        groups = [stems[i : i + 200] for i in range(0, len(stems), 200)]
         out: list[bytes] = []
-        for e in self.tok.encode_batch_fast(groups, add_special_tokens=False):
+        for g, e in zip(groups, self.tok.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
             raw, ends = ids.tobytes(), ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
-            out += [raw[i:j] for i, j in zip([0, *ends], ends)]
-        if len(out) != len(stems):
-            raise ValueError("the model does not close every word of letters once")
+            if len(ends) == len(g) and ends[-1] == len(raw):
+                out += [raw[i:j] for i, j in zip([0, *ends], ends)]
+            else:
+                out += self.whole([x.decode() for x in g])
         return out
 
     def _fill(self, pieces: list[bytes]) -> dict[bytes, bytes]:
@@ -112,8 +117,9 @@ class Encoder:
                     continue
             else:
                 stem = p
-            # bytes.isalpha() knows ASCII letters alone, which most pieces are
-            if self.closed and (stem.isalpha() or stem.decode("utf-8", "surrogatepass").isalpha()):
+            # bytes.isalpha() knows ASCII letters alone, which most pieces are; of others, the model's
+            # own normaliser tells whether letters alone are left
+            if self.closed and (stem.isalpha() or (not stem.isascii() and self._normal(stem).isalpha())):
                 letters[stem] = None
             else:
                 others[stem] = None

@@ -139,6 +139,15 @@ def test_encoder_is_the_library(text):
     assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == enc.tok.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_takes_letters_that_the_model_takes_apart():
+    """U+0130 lowers to i and a mark, U+0958 decomposes: neither word is one pre-token."""
+    enc = tokenbin.Encoder.of(WORD)
+    texts = ["\u0130stanbul", "one \u0958alam two", "caf\u00e9 \u0130 \u65e5\u672c\u8a9e", "plain words"]
+    assert enc.encode(texts) == enc.whole(texts)
+    words = ["a", "\u0130stanbul", "b", "\u0958"]
+    assert enc._letters([w.encode() for w in words]) == enc.whole(words)
+
+
 def test_reader_opens_only_wanted_frames():
     sink, ids = io.BytesIO(), {i: np.arange(i * 1000, dtype="<u4").tobytes() for i in range(900)}
     w = tokenbin.Writer(sink)
