@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
@@ -37,6 +38,8 @@ SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC = 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 1 << 20
 NO_ID = -(1 << 63)
 TAILS = b".,;:!?"
+#: the model lowers A-Z and drops line ends as it drops blanks
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\n", b"abcdefghijklmnopqrstuvwxyz ")
 
 
 class Encoder:
@@ -86,9 +89,6 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _normal(self, stem: bytes) -> str:
-        return self.tok.normalizer.normalize_str(stem.decode("utf-8", "surrogatepass"))
-
     def _letters(self, stems: list[bytes]) -> list[bytes]:
         """Ids of words of letters alone. Each is one pre-token, the last id of which, and no other, is
         of a token that closes a word, so many can be encoded as one text and told apart after. The
@@ -117,9 +117,8 @@ class Encoder:
                     continue
             else:
                 stem = p
-            # bytes.isalpha() knows ASCII letters alone, which most pieces are; of others, the model's
-            # own normaliser tells whether letters alone are left
-            if self.closed and (stem.isalpha() or (not stem.isascii() and self._normal(stem).isalpha())):
+            # words that the model takes apart in spite of it are found by _letters
+            if self.closed and (stem.isalpha() or (not stem.isascii() and stem.decode("utf-8", "surrogatepass").isalpha())):
                 letters[stem] = None
             else:
                 others[stem] = None
@@ -136,18 +135,29 @@ class Encoder:
         if len(self.young) > self.LIMIT:  # what is asked for again comes back from the old generation
             self.old, self.young = self.young, {b"": b""}
         raw = [t.encode() for t in texts]
-        odd = [any(s in r for s in self.special) for r in raw]  # their strings are matched before lower-casing
-        parts = [[] if o else r.lower().replace(b"\n", b" ").split(b" ") for r, o in zip(raw, odd)]
-        young, old = self.young, self.old
+        odd = [b"<" in r and any(s in r for s in self.special) for r in raw]  # their strings are matched before lower-casing
+        parts = pc.split_pattern(pa.array([b"" if o else r.translate(LOWER) for r, o in zip(raw, odd)], pa.binary()), pattern=" ")
+        coded = pc.dictionary_encode(parts.flatten())
+        pieces, young, old = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.young, self.old
         missing = []
-        for p in set().union(*parts) - young.keys():
-            ids = old.get(p)
-            if ids is None:
-                missing.append(p)
-            else:
-                young[p] = ids
-        young.update(self._fill(missing) if missing else {})
-        out = [b"".join([young[p] for p in ps]) for ps in parts]
+        for p in pieces:
+            if p not in young:
+                ids = old.get(p)
+                if ids is None:
+                    missing.append(p)
+                else:
+                    young[p] = ids
+        if missing:
+            young.update(self._fill(missing))
+        blobs = [young[p] for p in pieces]
+        # every piece's ids in a row, then gathered in the order of the pieces
+        size = np.fromiter(map(len, blobs), "i8", len(blobs)) // 4
+        at, of = np.cumsum(size) - size, coded.indices.to_numpy()
+        n = size[of]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        flat = np.frombuffer(b"".join(blobs), "<u4")[np.repeat(at[of] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        edge = (ends[parts.offsets.to_numpy()] * 4).tolist()
+        out = [flat[i:j] for i, j in zip(edge, edge[1:])]
         for i, o in enumerate(odd):
             if o:
                 out[i] = self.whole([texts[i]])[0]
@@ -161,7 +171,7 @@ class Writer:
     """Writes one file; ``add`` takes documents in order."""
 
     def __init__(self, sink) -> None:
-        self.sink, self.packer = sink, zstandard.ZstdCompressor(level=3)
+        self.sink, self.packer = sink, zstandard.ZstdCompressor(level=1)
         self.held, self.held_bytes, self.frames = [], 0, []
         self.ids, self.tokens, self.per_frame = [], [], []
 
