@@ -1,24 +1,27 @@
 """Language-model scores by prediction by partial matching (PPM).
 
-A text is a row of tokens: its words (A-Z lower-cased) and one end. The model is a byte-context trie of
-order ``ORDER``: a word's bytes are each predicted from the bytes before them in the word, padded on the
-left with blanks, and a blank closes the word; the end is a word without bytes. Where a context has not
-seen a byte, an escape is paid (estimator D: half a count for the escape, taken from each symbol) and
-the next shorter context predicts with the symbols of the longer ones excluded, down to a uniform
-choice of the bytes that are left. Contexts stop at the word, so a word's code length is the same
-wherever it stands, and counts of words are all that the trie needs. There is a trie for each class of
-training texts: the ``CLASSES`` most frequent values of lang, and the rest. A text's probability is the
-mixture of its probabilities by each trie, weighted with the classes' shares, so its score depends on the
-text alone and the class is inferred from it. The tries are pretrained on all texts outside of the held-out
-fold (crc32 of the doc_id as text, mod 5, is 1).
+A text is a row of bytes: its words (A-Z lower-cased), each closed by a blank, and one more blank, the end;
+before it stand blanks. The model is a byte-context trie that is pretrained on all texts outside of the
+held-out fold (crc32 of the doc_id as text, mod 5, is 1). A byte is predicted from the longest context
+that the trie has:
+
+* the long context, for the first ``REACH`` bytes of a token: the ``HISTORY`` bytes before the token and the
+  bytes of the token so far. It crosses two or three words, so it tells passages apart.
+* then the ``ORDER``, .., 1, 0 bytes before, across words, and last a uniform choice.
+
+Where a context has not seen the byte, an escape is paid (estimator D: half a count for the escape, taken
+from each symbol) and the next context predicts with the symbols of the longer ones excluded. Every
+context is a suffix of the one before it, so its symbols include those of the longer ones, and exclusion
+is a subtraction: of the counts that a context's symbols have one order below.
 
 How it is spread out: one pass turns each slice of a partition into a chunk: its distinct words and its
-documents as lists of (word, count). Texts are not read or moved again. Words are counted over all
-chunks; the trie's contexts and their counts are summed from the words; code lengths are computed per
-shard of contexts, by their last two bytes. Nothing of the vocabulary or of the trie is broadcast but the
-counts of orders 0 and 1, which are at most 256 x 256 a class. A chunk asks for the counts of its own words
-and the code lengths of its own contexts alone and gets them by a shuffle, packed by chunk, so what a task
-holds is bound by its chunk, and the streams of words and of requests are never gathered.
+documents as rows of word numbers; texts are not read again. A chunk sends three kinds of packed requests,
+each item once: long contexts, dealt by digest into shards; short contexts with their symbol (``grams``),
+dealt by digest to be summed first, so that a frequent gram is one row a chunk and then one row; and word digests.
+Costs of short contexts are computed once for each distinct gram, grouped by the last two bytes of the
+context, and dealt back by digest. Answers come back packed by chunk. The number of shards follows the size of
+the text, so that what a task holds stays the same; counts of orders 0 and 1 are the only shared ones (65,536).
+Long contexts are told apart within a shard by 40 bits of their digest, words by 64.
 
 Defined cases: null and empty texts are one end token; a null doc_id is of the training fold and is
 returned as null; repeated rows count, and are scored, each; without any training document, N and V are 0
@@ -27,26 +30,26 @@ and the trie is empty (uniform bytes); an empty table gives an empty result; ext
 
 from __future__ import annotations
 
-import math
 import uuid
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut, slices, trim
 
-ORDER = 4
-CLASSES = 6
-CHUNK_BYTES = 24 << 20
-#: shards of contexts
-SHARDS = 512
-BLANK = 32
+ORDER, HISTORY, REACH = 5, 16, 4
+CHUNK_BYTES = 16 << 20
+#: bytes of text to a shard of long contexts, grams or words
+SHARD_BYTES = 16 << 20
+PART = 4 << 20
+MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9)]
+U8 = np.uint64
 
 
 def is_held_out(doc_id: int | None, folds: int = 5) -> bool:
@@ -54,363 +57,568 @@ def is_held_out(doc_id: int | None, folds: int = 5) -> bool:
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+    """Byte planes, compressed: what varies little packs well."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.ascontiguousarray(a).view("u1").reshape(len(a), a.dtype.itemsize).T).tobytes())
 
 
 def _unpack(b: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), "u1")
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+def _pack_sorted(a: np.ndarray) -> bytes:
+    return _pack(np.diff(a, prepend=U8(0)))
 
 
-def classes_of(docs: DataFrame, most: int = CLASSES) -> list[str]:
-    """The most frequent values of lang; the class of any other text comes after them."""
-    if "lang" not in docs.columns:
-        return []
-    lang = F.col("lang").cast("string").alias("lang")
-    return sorted(r["lang"] for r in docs.select(lang).where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect())
+def _unpack_sorted(b: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(b, "<u8"), dtype="u8")
 
 
-def chunks(docs: DataFrame, classes: list[str]) -> DataFrame:
-    """chunk, words (blank-separated), counts (of training texts, words x classes), doc_ids, ends (training
-    texts by class), sizes, ids, times: document i has sizes[i] distinct words, ids and times (how often)
-    of which follow those of document i - 1."""
-    index = {c: i for i, c in enumerate(classes)}
-    width = len(classes) + 1
+def _starts(changed: np.ndarray) -> np.ndarray:
+    """Places where runs begin; ``changed`` tells whether a place differs from the one before it."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(changed) + 1), bool), changed))) if len(changed) else np.zeros(1, "i8")
 
-    def flush(vocab, train, doc_ids, ends, sizes, ids, times):
-        words = b" ".join(vocab)
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """chunk, words (blank-separated, compressed), ids (numbers of the words, document after document),
+    sizes (words of each document), doc_ids, bytes (of the chunk's texts)."""
+
+    def flush(vocab, ids, sizes, doc_ids, held):
         row = {
-            "chunk": uuid.uuid4().int >> 65, "words": zstandard.ZstdCompressor(level=1).compress(words), "n_words": len(vocab), "counts": _pack(np.array(train, "<u4")),
-            "doc_ids": doc_ids, "ends": ends, "sizes": _pack(np.array(sizes, "<u4")), "ids": _pack(np.concatenate([*ids, np.empty(0, "<u4")]).astype("<u4")), "times": _pack(np.concatenate([*times, np.empty(0, "<u4")]).astype("<u4")),
+            "chunk": uuid.uuid4().int >> 65, "words": zstandard.ZstdCompressor(level=1).compress(b" ".join(vocab)), "ids": _pack(np.concatenate([*ids, np.empty(0, "<u4")]).astype("<u4")),
+            "sizes": _pack(np.array(sizes, "<u4")), "doc_ids": doc_ids, "bytes": held,
         }
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
 
     def run(batches):
-        fresh = lambda: ({}, [], [], [0] * width, [], [], [], 0)
-        vocab, train, doc_ids, ends, sizes, ids, times, held = fresh()
+        vocab, ids, sizes, doc_ids, held = {}, [], [], [], 0
         for b in batches:
             for s in slices(b, "text"):
-                for i, t, lang in zip(s.column("doc_id").to_pylist(), s.column("text").to_pylist(), s.column("lang").to_pylist()):
+                for i, t in zip(s.column("doc_id").to_pylist(), s.column("text").to_pylist()):
                     data = (t or "").encode("utf-8", "surrogatepass").lower()
-                    many = Counter(data.split())
-                    for w in many:
-                        if w not in vocab:
-                            vocab[w] = len(vocab)
-                            train += [0] * width
-                    of = [vocab[w] for w in many]
-                    if not is_held_out(i):
-                        at = index.get(lang, width - 1)
-                        ends[at] += 1
-                        for k, n in zip(of, many.values()):
-                            train[k * width + at] += n
+                    words = data.split()
+                    number = vocab.setdefault
+                    ids.append(np.fromiter((number(w, len(vocab)) for w in words), "<u4", len(words)))
+                    sizes.append(len(words))
                     doc_ids.append(i)
-                    sizes.append(len(of))
-                    ids.append(np.array(of, "<u4"))
-                    times.append(np.fromiter(many.values(), "<u4", len(of)))
                     held += len(data) + 8
                     if held >= CHUNK_BYTES:
-                        yield flush(vocab, train, doc_ids, ends, sizes, ids, times)
-                        vocab, train, doc_ids, ends, sizes, ids, times, held = fresh()
+                        yield flush(vocab, ids, sizes, doc_ids, held)
+                        vocab, ids, sizes, doc_ids, held = {}, [], [], [], 0
         if doc_ids:
-            yield flush(vocab, train, doc_ids, ends, sizes, ids, times)
-        vocab = train = ids = times = None
+            yield flush(vocab, ids, sizes, doc_ids, held)
+        vocab = ids = None
         trim()
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.col("lang").cast("string") if classes else F.lit(None).cast("string")).alias("lang"))
-    return arrow_map(narrow, run, "chunk long, words binary, n_words long, counts binary, doc_ids array<long>, ends array<long>, sizes binary, ids binary, times binary")
-
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return arrow_map(narrow, run, "chunk long, words binary, ids binary, sizes binary, doc_ids array<long>, bytes long")
+
+
+class Chunk:
+    """A chunk's bytes in a row, and its tokens: where each starts, its length with the closing blank, its
+    word's number (the last one is the end) and its document."""
+
+    def __init__(self, words: bytes, ids: bytes, sizes: bytes, doc_ids: list) -> None:
+        data = zstandard.ZstdDecompressor().decompress(words)
+        self.vocab = data.split(b" ") if data else []
+        self.word_ids, self.sizes = _unpack(ids, "<u4").astype("i8"), _unpack(sizes, "<u4").astype("i8")
+        self.doc_ids, self.docs = doc_ids, len(doc_ids)
+        self.held_out = np.fromiter(map(is_held_out, doc_ids), bool, self.docs)
+        n, width = len(self.vocab), self.sizes + 2
+        first = np.cumsum(width) - width
+        seq = np.empty(int(width.sum()), "i8")
+        inner = np.ones(len(seq), bool)
+        inner[first] = inner[first + width - 1] = False
+        seq[inner], seq[first], seq[first + width - 1] = self.word_ids, n + 1, n  # blanks before, words, end
+        parts = [*self.vocab, b"", b" " * (HISTORY - 1)]
+        self.data = np.frombuffer(b" ".join(map(parts.__getitem__, seq.tolist())) + b" ", "u1")
+        length = np.fromiter(map(len, parts), "i8", n + 2) + 1
+        of = length[seq]
+        at = np.cumsum(of) - of
+        token = seq != n + 1
+        self.at, self.length, self.word = at[token], of[token], seq[token]
+        self.doc = np.repeat(np.arange(self.docs), self.sizes + 1)
+        self.doc_at = at[~token]
+        head = np.frombuffer(b"".join([(w + b" " * REACH)[:REACH] for w in parts[: n + 1]]), ">u4").astype("u4")
+        self.head = head[self.word]
+
+    def grams(self, i: int, j: int) -> np.ndarray:
+        """Of the bytes i to j (i at least HISTORY): the context, its nearest byte highest, and the byte itself lowest."""
+        g = self.data[i:j].astype("u8")
+        for k in range(1, ORDER + 1):
+            g |= self.data[i - k : j - k].astype("u8") << U8(8 * (ORDER + 1 - k))
+        return g
+
+    def parts(self):
+        for i in range(HISTORY, len(self.data), PART):
+            yield i, min(i + PART, len(self.data))
+
+    def base_places(self, depth: np.ndarray) -> np.ndarray:
+        """Marks the bytes that short contexts predict: those of tokens from ``depth`` on."""
+        mark = np.ones(len(self.data), bool)
+        for d in self.doc_at.tolist():
+            mark[d : d + HISTORY] = False
+        for j in range(REACH):
+            mark[self.at[depth > j] + j] = False
+        return mark
+
+    def asked(self) -> np.ndarray:
+        """Bytes that may need short contexts: all of held-out texts, and of others what long contexts do not reach."""
+        reach = np.minimum(self.length, REACH)
+        return self.base_places(np.where(self.held_out[self.doc], 0, reach))
+
+    def long_items(self, shards: int):
+        """Distinct long contexts with the token's head, sorted by shard, digest and head: shard, digest, head,
+        and the item of every token."""
+        digest = np.empty(len(self.at), "u8")
+        view = np.lib.stride_tricks.sliding_window_view(self.data, HISTORY)
+        for i in range(0, len(self.at), 500_000):
+            two = np.ascontiguousarray(view[self.at[i : i + 500_000] - HISTORY]).view("<u8")
+            m = (two[:, 0] * MIX[0]) ^ (two[:, 1] * MIX[1])
+            m = (m ^ (m >> U8(29))) * MIX[2]
+            digest[i : i + 500_000] = m ^ (m >> U8(32))
+        key = ((digest & U8(0xFFFFFF)) % U8(shards)) << U8(40) | (digest >> U8(24))
+        order = np.lexsort((self.head, key))
+        k, h = key[order], self.head[order]
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1])
+        item = np.empty(len(k), "i8")
+        item[order] = np.cumsum(new) - 1
+        k = k[new]
+        return (k >> U8(40)).astype("i8"), k & U8((1 << 40) - 1), h[new], item
+
+
+def _shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
+    m = grams * MIX[0]
+    return (((m ^ (m >> U8(31))) * MIX[1] >> U8(40)) % U8(shards)).astype("i8")
+
+
+def _edges(shard: np.ndarray):
+    """(shard, from, to) of the runs of a sorted array."""
+    at = np.flatnonzero(np.diff(shard, prepend=-1))
+    return zip(shard[at].tolist(), at.tolist(), [*at[1:].tolist(), len(shard)])
+
+
+CHUNK_COLUMNS = ("words", "ids", "sizes", "doc_ids")
+
+
+def _per_chunk(table: DataFrame, make, names: list[str], schema: str) -> DataFrame:
+    """Rows (shard, chunk, names..: binary) that ``make(Chunk)`` gives for every chunk."""
 
-def _words_of(row_words: bytes) -> list[bytes]:
-    data = zstandard.ZstdDecompressor().decompress(row_words)
-    return data.split(b" ") if data else []
+    def run(batches):
+        for b in batches:
+            for chunk, *row in zip(*(b.column(c).to_pylist() for c in ("chunk", *CHUNK_COLUMNS))):
+                rows = list(make(Chunk(*row)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), *(pa.array([r[k + 1] for r in rows], pa.binary()) for k in range(len(names)))], names=["shard", "chunk", *names]
+                )
+                rows = None
+        trim()
 
+    return arrow_map(table.select("chunk", *CHUNK_COLUMNS), run, schema)
+
+
+def _long_requests(table: DataFrame, shards: int) -> DataFrame:
+    def make(c: Chunk):
+        shard, digest, head, item = c.long_items(shards)
+        n = np.bincount(item, ~c.held_out[c.doc], len(shard)).astype("<u4")
+        # the bytes before a token, for items of held-out texts alone: those before any one of its tokens
+        one = np.empty(len(shard), "i8")
+        one[item] = c.at
+        tail = np.zeros(len(shard), "u8")
+        for k in range(1, ORDER + 1):
+            tail |= c.data[one - k].astype("u8") << U8(8 * (ORDER - k))
+        for s, i, j in _edges(shard):
+            yield s, _pack_sorted(digest[i:j]), _pack(head[i:j]), _pack(n[i:j]), _pack(tail[i:j][n[i:j] == 0])
+
+    return _per_chunk(table, make, ["digest", "head", "n", "tail"], "shard int, chunk long, digest binary, head binary, n binary, tail binary")
+
+
+def long_costs(digest: np.ndarray, head: np.ndarray, n: np.ndarray, tail: np.ndarray):
+    """For items of a shard: log10 cost by long contexts, depth (bytes that they predict), and misses as
+    (item, gram, symbols seen): the context knew other symbols than the byte that follows."""
+    order = np.lexsort((head, digest))
+    digest, head, n, tail = digest[order], head[order], n[order].astype("i8"), tail[order]
+    size = len(order)
+    sums = np.concatenate(([0], np.cumsum(n)))
+    other = digest[1:] != digest[:-1]
+    starts = [_starts(other)] + [_starts(other | (head[1:] >> np.uint32(8 * (REACH - 1 - j)) != head[:-1] >> np.uint32(8 * (REACH - 1 - j)))) for j in range(REACH)]
+    counts = [sums[np.append(s[1:], size)] - sums[s] for s in starts]
+    group = [np.repeat(np.arange(len(s)), np.diff(np.append(s, size))) for s in starts]
+    symbol = [(head >> np.uint32(8 * (REACH - 1 - j)) & np.uint32(255)).astype("i8") for j in range(REACH)]
+    closed = np.stack([s == 32 for s in symbol] + [np.ones(size, bool)], axis=1).argmax(1) + 1
+    cost, depth, alive = np.zeros(size), np.minimum(closed, REACH), np.ones(size, bool)
+    misses = []
+    for j in range(REACH):
+        now = alive & (j < closed)
+        kids = group[j][starts[j + 1]]  # the group of every group one byte longer
+        seen = np.bincount(kids, counts[j + 1] > 0, len(starts[j])).astype("i8")
+        total, distinct, mine = counts[j][group[j]], seen[group[j]], counts[j + 1][group[j + 1]]
+        hit, miss = now & (mine > 0), now & (total > 0) & (mine == 0)
+        full = distinct[hit] >= 256
+        cost[hit] += np.log10(np.where(full, mine[hit], mine[hit] - 0.5) / total[hit])
+        cost[miss] += np.log10(distinct[miss] / (2 * total[miss]))
+        depth[now & ~hit] = j
+        alive &= ~(now & ~hit)
+        at = np.flatnonzero(miss)
+        if len(at):
+            first = np.searchsorted(kids, group[j][at], "left")
+            last = np.searchsorted(kids, group[j][at], "right")
+            context = tail[at]
+            for k in range(j):
+                context = (symbol[k][at].astype("u8") << U8(8 * (ORDER - 1))) | (context >> U8(8))
+            gram = (context << U8(8)) | symbol[j][at].astype("u8")
+            trained, of = counts[j + 1] > 0, symbol[j][starts[j + 1]]
+            misses += [(order[i], g, of[a:b][trained[a:b]].tolist()) for i, g, a, b in zip(at.tolist(), gram.tolist(), first.tolist(), last.tolist())]
+    out, deep = np.empty(size, "<f4"), np.empty(size, "u1")
+    out[order], deep[order] = cost, depth
+    return out, deep, misses
+
+
+def _by_shard(batches, columns):
+    """Rows of equal shard, one list a column, of partitions sorted by shard."""
+    shard, held = None, [[] for _ in columns]
+    for b in batches:
+        values = [b.column(c).to_pylist() for c in columns]
+        for k, s in enumerate(b.column("shard").to_pylist()):
+            if s != shard and held[0]:
+                yield shard, held
+                held = [[] for _ in columns]
+            shard = s
+            for x, v in zip(held, values):
+                x.append(v[k])
+    if held[0]:
+        yield shard, held
+
+
+def _long_answers(requests: DataFrame) -> DataFrame:
+    """(chunk, shard, cost, depth) packed, and (chunk, shard, idx, gram, seen) of misses."""
+    kinds = {"chunk": pa.int64(), "shard": pa.int32(), "cost": pa.binary(), "depth": pa.binary(), "idx": pa.int32(), "gram": pa.int64(), "seen": pa.list_(pa.int32())}
 
-def _word_rows(table: DataFrame, width: int) -> DataFrame:
-    """(chunk, pos, word, c0, c1, ..) of every chunk's words; a count for each class."""
-    names = [f"c{k}" for k in range(width)]
+    def out(n: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()], names=list(kinds))
 
     def run(batches):
-        for b in batches:
-            for chunk, words, counts in zip(b.column("chunk").to_pylist(), b.column("words").to_pylist(), b.column("counts").to_pylist()):
-                w, c = _words_of(words), _unpack(counts, "<u4").astype("i4").reshape(-1, width)
-                for i in range(0, len(w), 50_000):
-                    n = min(50_000, len(w) - i)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, chunk, "i8")), pa.array(np.arange(i, i + n, dtype="i4")), pa.array(w[i : i + n], pa.binary()), *(pa.array(np.ascontiguousarray(c[i : i + n, k])) for k in range(width))], names=["chunk", "pos", "word", *names]
-                    )
+        for shard, (chunk, digest, head, n, tail) in _by_shard(batches, ("chunk", "digest", "head", "n", "tail")):
+            counts = [_unpack(x, "<u4") for x in n]
+            tails = []
+            for c, x in zip(counts, tail):
+                t = np.zeros(len(c), "u8")
+                t[c == 0] = _unpack(x, "<u8")
+                tails.append(t)
+            edge = np.concatenate(([0], np.cumsum([len(c) for c in counts])))
+            cost, depth, misses = long_costs(np.concatenate([_unpack_sorted(x) for x in digest]), np.concatenate([_unpack(x, "<u4") for x in head]), np.concatenate(counts), np.concatenate(tails))
+            counts = tails = None
+            yield out(len(chunk), chunk=chunk, shard=[shard] * len(chunk), cost=[_pack(cost[i:j]) for i, j in zip(edge, edge[1:])], depth=[_pack(depth[i:j]) for i, j in zip(edge, edge[1:])])
+            for k in range(0, len(misses), 20_000):
+                some = misses[k : k + 20_000]
+                of = np.searchsorted(edge, [m[0] for m in some], "right") - 1
+                yield out(len(some), chunk=[chunk[x] for x in of], shard=[shard] * len(some), idx=[int(m[0] - edge[x]) for m, x in zip(some, of)], gram=[m[1] for m in some], seen=[m[2] for m in some])
         trim()
 
-    return arrow_map(table.select("chunk", "words", "counts"), run, "chunk long, pos int, word binary, " + ", ".join(f"{n} int" for n in names))
+    return arrow_map(requests.repartition("shard").sortWithinPartitions("shard"), run, "chunk long, shard int, cost binary, depth binary, idx int, gram long, seen array<int>")
 
 
-def _counted(rows: DataFrame, width: int, order: int) -> DataFrame:
-    """One pass over the words of all chunks, sorted by word. Rows of three kinds: (chunk, keys, values)
-    with the positions and counts of a chunk's words that other chunks have too; (gram, n0, n1, ..) to be
-    summed; (tokens, types) of the training texts."""
-    ns = [f"n{k}" for k in range(width)]
-    kinds = {"chunk": pa.int64(), "keys": pa.binary(), "vals": pa.binary(), "gram": pa.int64(), **{n: pa.int64() for n in ns}, "tokens": pa.int64(), "types": pa.int64()}
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    k, c = np.concatenate(keys), np.concatenate(counts)
+    u, inv = np.unique(k, return_inverse=True)
+    return u, np.bincount(inv, c, len(u)).astype("i8")
 
-    def out(n: int, **columns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()], names=list(kinds))
+
+def _gram_requests(table: DataFrame, shards: int) -> DataFrame:
+    """The grams of every chunk with their counts in training texts: those whose cost it needs, and others."""
+
+    def make(c: Chunk):
+        need, train = c.asked(), np.repeat(~c.held_out, np.diff(np.append(c.doc_at, len(c.data))))
+        inside = c.base_places(np.zeros(len(c.at), "i8"))
+        keys, counts, needs = [], [], []
+        for i, j in c.parts():
+            g = pc.dictionary_encode(pa.array(c.grams(i, j)[inside[i:j]]))
+            at, n = g.indices.to_numpy(), len(g.dictionary)
+            keys.append(g.dictionary.to_numpy())
+            counts.append(np.bincount(at, train[i:j][inside[i:j]], n))
+            needs.append(np.bincount(at, need[i:j][inside[i:j]], n))
+        u, inv = np.unique(np.concatenate(keys), return_inverse=True)
+        n, asked = np.bincount(inv, np.concatenate(counts), len(u)).astype("<u4"), np.bincount(inv, np.concatenate(needs), len(u)) > 0
+        shard = _shard_of(u, shards)
+        by = np.lexsort((u, ~asked, shard))
+        u, n, asked, shard = u[by], n[by], asked[by], shard[by]
+        for s, i, j in _edges(shard):
+            m = i + int(asked[i:j].sum())
+            yield s, _pack_sorted(u[i:m]), _pack(n[i:m]), _pack_sorted(u[m:j]), _pack(n[m:j])
+
+    return _per_chunk(table, make, ["keys", "n", "more_keys", "more_n"], "shard int, chunk long, keys binary, n binary, more_keys binary, more_n binary")
+
+
+def _gram_sums(requests: DataFrame) -> DataFrame:
+    """(gram, n) of all chunks; n is 0 for grams of held-out texts alone."""
 
     def run(batches):
-        held: pa.Table | None = None
-        words, sums, n_words = [], [], 0
-        tokens = types = 0
-
-        def flush_grams():
-            g, of = grams([w for part in words for w in part.to_pylist()], order)
-            c = np.concatenate(sums)
-            u, inv = np.unique(g, return_inverse=True)
-            n = {name: np.bincount(inv, c[of, k], len(u)).astype("i8") for k, name in enumerate(ns)}
+        def flush(keys, counts):
+            u, n = _summed(keys, counts)
             for i in range(0, len(u), 50_000):
-                yield out(len(u[i : i + 50_000]), gram=u[i : i + 50_000].view("i8"), **{name: x[i : i + 50_000] for name, x in n.items()})
-
-        def take(t: pa.Table, starts: np.ndarray, sizes: np.ndarray):
-            """Whole runs of equal words."""
-            c = np.stack([np.add.reduceat(t.column(f"c{k}").to_numpy().astype("i8"), starts) for k in range(width)], axis=1)
-            total = c.sum(1)
-            many = np.repeat(sizes > 1, sizes)
-            chunk, pos, every = t.column("chunk").to_numpy()[many], t.column("pos").to_numpy()[many], np.repeat(total, sizes)[many]
-            by = np.argsort(chunk, kind="stable")
-            chunk, pos, every = chunk[by], pos[by], every[by]
-            at = np.flatnonzero(np.diff(chunk, prepend=-1))
-            end = np.append(at[1:], len(chunk))
-            rows = out(len(at), chunk=chunk[at], keys=[pos[i:j].astype("<u4").tobytes() for i, j in zip(at, end)], vals=[every[i:j].astype("<i8").tobytes() for i, j in zip(at, end)])
-            return rows, t.column("word").take(pa.array(starts)), c, int(total.sum()), int((total > 0).sum())
-
-        def runs_of(t: pa.Table):
-            ends = np.concatenate([pc.run_end_encode(t.column("word").combine_chunks()).run_ends.to_numpy()]).astype("i8")
-            return np.concatenate(([0], ends[:-1])), ends
-
-        pending, size = [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(u[i : i + 50_000].view("i8")), pa.array(n[i : i + 50_000])], names=["gram", "n"])
+
+        shard, keys, counts, size = None, [], [], 0
         for b in batches:
-            pending.append(b)
-            size += b.num_rows
-            if size < 200_000:
-                continue
-            t = pa.concat_tables([*([held] if held else []), pa.Table.from_batches(pending)]).combine_chunks()
-            pending, size = [], 0
-            starts, ends = runs_of(t)
-            held = t.slice(starts[-1])
-            if len(starts) > 1:
-                rows, w, c, n, v = take(t.slice(0, starts[-1]), starts[:-1], (ends - starts)[:-1])
-                yield rows
-                words.append(w)
-                sums.append(c)
-                n_words += len(w)
-                tokens, types = tokens + n, types + v
-            if n_words >= 200_000:
-                yield from flush_grams()
-                words, sums, n_words = [], [], 0
-        t = pa.concat_tables([*([held] if held else []), *([pa.Table.from_batches(pending)] if pending else [])]) if held or pending else None
-        if t is not None and t.num_rows:
-            t = t.combine_chunks()
-            starts, ends = runs_of(t)
-            rows, w, c, n, v = take(t, starts, ends - starts)
-            yield rows
-            words.append(w)
-            sums.append(c)
-            tokens, types = tokens + n, types + v
-        if words:
-            yield from flush_grams()
-        yield out(1, tokens=[tokens], types=[types])
+            for s, *row in zip(*(b.column(c).to_pylist() for c in ("shard", "keys", "n", "more_keys", "more_n"))):
+                if s != shard and keys:
+                    yield from flush(keys, counts)
+                    keys, counts, size = [], [], 0
+                shard = s
+                keys += [_unpack_sorted(row[0]), _unpack_sorted(row[2])]
+                counts += [_unpack(row[1], "<u4"), _unpack(row[3], "<u4")]
+                size += len(keys[-1]) + len(keys[-2])
+                if size > 4_000_000:  # distinct grams alone stay
+                    u, n = _summed(keys, counts)
+                    keys, counts, size = [u], [n], len(u) // 2
+        if keys:
+            yield from flush(keys, counts)
         trim()
 
-    dealt = rows.repartition("word").sortWithinPartitions("word")
-    return arrow_map(dealt, run, "chunk long, keys binary, vals binary, gram long, " + ", ".join(f"{n} long" for n in ns) + ", tokens long, types long")
-
-
-def grams(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """Of every byte and closing blank of the words: context and symbol as one number (the symbol in
-    the low byte, the byte before it above, and so on), and the index of its word."""
-    pad = b" " * order
-    data = np.frombuffer(b"".join([pad + w + b" " for w in words]), "u1").astype("u8")
-    sizes = np.fromiter(map(len, words), "i8", len(words)) + 1
-    g = data.copy()
-    for k in range(1, order + 1):
-        g[k:] |= data[:-k] << np.uint64(8 * k)
-    starts = np.concatenate(([0], np.cumsum(sizes + order)[:-1])) if len(words) else np.empty(0, "i8")
-    within = np.arange(len(data)) - np.repeat(starts, sizes + order)
-    return g[within >= order], np.repeat(np.arange(len(words)), sizes)
-
-
-class Trie:
-    """Counts by context; ``cost`` is log10 of a symbol's probability after a context of full order."""
-
-    def __init__(self, order: int) -> None:
-        self.order = order
-        self.at: list[dict[int, dict[int, int]]] = [{} for _ in range(order + 1)]
-
-    def add(self, gram: int, n: int, lowest: int = 0, highest: int | None = None) -> None:
-        symbol, context = gram & 255, gram >> 8
-        for k in range(lowest, (self.order if highest is None else highest) + 1):
-            seen = self.at[k].setdefault(context & ((1 << 8 * k) - 1), {})
-            seen[symbol] = seen.get(symbol, 0) + n
-
-    def cost(self, gram: int) -> float:
-        symbol, context = gram & 255, gram >> 8
-        excluded: set[int] = set()
-        p = 1.0
-        for k in range(self.order, -1, -1):
-            seen = self.at[k].get(context & ((1 << 8 * k) - 1))
-            if not seen:
-                continue
-            if excluded:
-                seen = {s: n for s, n in seen.items() if s not in excluded}
-                if not seen:
-                    continue
-            total = sum(seen.values())
-            n = seen.get(symbol)
-            if n is not None:
-                # if all bytes that could come are seen, nothing is kept for an escape
-                full = len(excluded) + len(seen) >= 256
-                return math.log10(p * (n / total if full else (2 * n - 1) / (2 * total)))
-            p *= len(seen) / (2 * total)
-            excluded |= seen.keys()
-        return math.log10(p / (256 - len(excluded)))
-
-
-def _requests(table: DataFrame, order: int) -> DataFrame:
-    """(shard, chunk, keys): the distinct grams of every chunk's words, packed by shard of contexts."""
+    return arrow_map(requests.repartition("shard").sortWithinPartitions("shard"), run, "gram long, n long")
+
+
+def short_costs(gram: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """log10 of each gram's probability by its context's orders ORDER to 0. ``gram`` is sorted and holds all grams
+    of its contexts' last two bytes; ``pairs`` (256 x 256) are the counts of symbols after one byte."""
+    trained = n > 0
+    keys, counts, levels = gram[trained], n[trained].astype("f8"), {}
+    one, zero = pairs.astype("f8"), pairs.sum(0).astype("f8")
+    for k in range(ORDER, 1, -1):  # a level: grams, counts, contexts, their totals, symbols and counts one order below
+        context = keys >> U8(8)
+        at = np.flatnonzero(np.diff(context, prepend=~context[:1])) if len(context) else np.empty(0, "i8")
+        of = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(context))))
+        if k > 2:
+            short = ((keys >> U8(16)) << U8(8)) | (keys & U8(255))
+            below, inv = np.unique(short, return_inverse=True)
+            lower = np.bincount(inv, counts, len(below))
+            under = lower[inv]
+        else:
+            below = lower = None
+            under = one[(keys >> U8(16)).astype("i8"), (keys & U8(255)).astype("i8")]
+        levels[k] = keys, counts, context[at], np.bincount(of, counts, len(at)), np.bincount(of, minlength=len(at)), np.bincount(of, under, len(at))
+        keys, counts = below, lower
+    symbol = (gram & U8(255)).astype("i8")
+    first = (gram >> U8(8 * ORDER)).astype("i8")
+    cost, done = np.zeros(len(gram)), np.zeros(len(gram), bool)
+    gone, spent = np.zeros(len(gram)), np.zeros(len(gram))  # excluded symbols, and their counts at the level below
+
+    def step(mine, total, distinct, under):
+        nonlocal gone, spent
+        left, kinds = total - spent, distinct - gone
+        here = ~done & (kinds > 0)
+        hit, miss = here & (mine > 0), here & (mine == 0)
+        cost[hit] += np.log10(np.where(distinct[hit] >= 256, mine[hit], mine[hit] - 0.5) / left[hit])
+        cost[miss] += np.log10(kinds[miss] / (2 * left[miss]))
+        done[hit] = True
+        gone, spent = np.where(distinct > 0, distinct, gone), np.where(distinct > 0, under, spent)
+
+    def found(where, what):
+        at = np.minimum(np.searchsorted(where, what), max(0, len(where) - 1))
+        return at, (where[at] == what) if len(where) else np.zeros(len(what), bool)
+
+    for k in range(ORDER, 1, -1):
+        keys, counts, contexts, total, distinct, under = levels[k]
+        mine = ((gram >> U8(8 * (ORDER + 1 - k))) << U8(8)) | (gram & U8(255))
+        at, ok = found(keys, mine)
+        on, seen = found(contexts, mine >> U8(8))
+        take = lambda x, i, m: np.where(m, x[i], 0) if len(x) else np.zeros(len(gram))
+        step(take(counts, at, ok), take(total, on, seen), take(distinct, on, seen), take(under, on, seen))
+    under = (np.where(one > 0, zero[None, :], 0)).sum(1)
+    step(one[first, symbol], one.sum(1)[first], (one > 0).sum(1)[first], under[first])
+    step(zero[symbol], np.full(len(gram), zero.sum()), np.full(len(gram), float((zero > 0).sum())), np.zeros(len(gram)))
+    rest = ~done
+    cost[rest] -= np.log10(256 - gone[rest])
+    return cost
+
+
+def _gram_costs(grams: DataFrame, pairs: np.ndarray, shards: int) -> DataFrame:
+    """(shard, gram, cost) of every gram; a task holds whole groups of contexts with the same last two bytes."""
 
     def run(batches):
+        def flush(g, n):
+            cost = short_costs(g.view("u8"), n, pairs)
+            return pa.RecordBatch.from_arrays([pa.array(_shard_of(g.view("u8"), shards).astype("i4")), pa.array(g), pa.array(cost.astype("f4"))], names=["shard", "gram", "cost"])
+
+        held, size = [], 0
         for b in batches:
-            for chunk, words in zip(b.column("chunk").to_pylist(), b.column("words").to_pylist()):
-                w = _words_of(words)
-                u = np.unique(np.concatenate([np.unique(grams(w[i : i + 100_000], order)[0]) for i in range(0, len(w), 100_000)] + [grams([b""], order)[0]]))
-                shard = ((u >> np.uint64(8)) & np.uint64(0xFFFF)).astype("i4") % SHARDS
-                by = np.argsort(shard, kind="stable")
-                u, shard = u[by], shard[by]
-                at = np.flatnonzero(np.diff(shard, prepend=-1))
-                keys = [u[i:j].tobytes() for i, j in zip(at, np.append(at[1:], len(u)))]
-                yield pa.RecordBatch.from_arrays([pa.array(shard[at]), pa.array(np.full(len(at), chunk, "i8")), pa.array(keys, pa.binary())], names=["shard", "chunk", "keys"])
+            if not b.num_rows:
+                continue
+            held.append(b)
+            size += b.num_rows
+            if size < 300_000:
+                continue
+            t = pa.Table.from_batches(held)
+            g, n = t.column("gram").to_numpy(), t.column("n").to_numpy()
+            last = int(np.searchsorted(g, g[-1] >> (8 * (ORDER - 1)) << (8 * (ORDER - 1))))
+            held, size = t.slice(last).combine_chunks().to_batches(), (0 if last else size - 300_000)
+            if last:
+                yield flush(g[:last], n[:last])
+        if held:
+            t = pa.Table.from_batches(held)
+            yield flush(t.column("gram").to_numpy(), t.column("n").to_numpy())
         trim()
 
-    return arrow_map(table.select("chunk", "words"), run, "shard int, chunk long, keys binary")
+    dealt = grams.repartition(F.shiftright("gram", 8 * (ORDER - 1))).sortWithinPartitions("gram")
+    return arrow_map(dealt, run, "shard int, gram long, cost float")
 
 
-def _answers(counts: DataFrame, requests: DataFrame, order: int, width: int) -> DataFrame:
-    """(chunk, keys, vals): grams and their costs (by class) for every request. A shard's counts come
-    first and stay; its requests stream by. Orders 0 and 1 come from at most 65,536 sums a class."""
-    names = [f"n{k}" for k in range(width)]
-    low = [Trie(order) for _ in names]
-    for r in counts.groupBy((F.col("gram").bitwiseAND(0xFFFF)).alias("g")).agg(*(F.sum(n).alias(n) for n in names)).collect():
-        for trie, n in zip(low, names):
-            if r[n]:
-                trie.add(r["g"], r[n], 0, min(1, order))
+def _gram_answers(costs: DataFrame, requests: DataFrame) -> DataFrame:
+    """(chunk, shard, cost) packed: a shard's costs come first and stay, its requests stream by."""
 
     def run(batches):
-        shard, grams_, ns = None, [], []
-        tries, memo = None, {}
-
-        def built():
-            out = []
-            g = np.concatenate(grams_).tolist() if grams_ else []
-            n = np.concatenate(ns) if ns else np.empty((0, width), "i8")
-            for k in range(width):
-                trie = Trie(order)
-                trie.at[0], trie.at[1] = low[k].at[0], low[k].at[1]
-                for gram, c in zip(g, n[:, k].tolist()):
-                    if c:
-                        trie.add(gram, c, 2)
-                out.append(trie)
-            return out
-
+        shard, grams, cost, ready = None, [], [], None
         for b in batches:
-            if not b.num_rows:
-                continue
             shards, kind = b.column("shard").to_numpy(), b.column("kind").to_numpy()
             edges = np.flatnonzero(np.diff(shards, prepend=-1) | np.diff(kind, prepend=-1))
             for i, j in zip(edges.tolist(), [*edges[1:].tolist(), b.num_rows]):
                 part = b.slice(i, j - i)
                 if shards[i] != shard:
-                    shard, grams_, ns, tries, memo = shards[i], [], [], None, {}
+                    shard, grams, cost, ready = shards[i], [], [], None
                 if kind[i] == 0:
-                    grams_.append(part.column("gram").to_numpy())
-                    ns.append(np.stack([part.column(n).to_numpy() for n in names], axis=1))
+                    grams.append(part.column("gram").to_numpy())
+                    cost.append(part.column("cost").to_numpy())
                     continue
-                tries = tries or built()
-                vals = []
-                for keys in part.column("keys").to_pylist():
-                    row = []
-                    for x in np.frombuffer(keys, "<u8").tolist():
-                        cost = memo.get(x)
-                        if cost is None:
-                            cost = memo[x] = np.array([t.cost(x) for t in tries]).tobytes()
-                        row.append(cost)
-                    vals.append(b"".join(row))
-                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("keys"), pa.array(vals, pa.binary())], names=["chunk", "keys", "vals"])
+                if ready is None:
+                    g, c = np.concatenate(grams), np.concatenate(cost)
+                    by = np.argsort(g)
+                    ready = g[by].view("u8"), c[by]
+                vals = [_pack(ready[1][np.searchsorted(ready[0], _unpack_sorted(k))].astype("<f4")) for k in part.column("keys").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("shard"), pa.array(vals, pa.binary())], names=["chunk", "shard", "cost"])
         trim()
 
-    left = counts.select(F.expr(f"cast(((gram >> 8) & 65535) % {SHARDS} as int)").alias("shard"), F.lit(0).alias("kind"), "gram", *names, F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("keys"))
-    right = requests.select("shard", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("gram"), *(F.lit(None).cast("long").alias(n) for n in names), "chunk", "keys")
-    dealt = left.union(right).repartition("shard").sortWithinPartitions("shard", "kind")
-    return arrow_map(dealt, run, "chunk long, keys binary, vals binary")
+    left = costs.select("shard", F.lit(0).alias("kind"), "gram", "cost", F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("keys"))
+    right = requests.select("shard", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("float").alias("cost"), "chunk", "keys")
+    return arrow_map(left.union(right).repartition("shard").sortWithinPartitions("shard", "kind"), run, "chunk long, shard int, cost binary")
+
+
+def _corrections(misses: DataFrame, grams: DataFrame) -> DataFrame:
+    """(chunk, shard, idx, more): what excluding the long context's symbols adds to the cost of a miss.
+
+    The cost of its gram was computed without; exclusion at order ORDER changes the total there, and the
+    number of symbols that an escape is shared among, or leaves that order out if no symbol is left."""
+    trained = grams.where("n > 0")
+    total = trained.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    own = misses.select("chunk", "shard", "idx", "gram", F.shiftright("gram", 8).alias("context"), F.size("seen").alias("gone"), "seen")
+    spent = (
+        own.select("chunk", "shard", "idx", F.explode(F.transform("seen", lambda x: F.shiftleft("context", 8) + x)).alias("gram")).join(trained, "gram")
+        .groupBy("chunk", "shard", "idx").agg(F.sum("n").alias("spent"))
+    )
+    known = trained.select("gram", F.lit(True).alias("hit"))
+    all_of = own.drop("seen").join(total, "context").join(spent, ["chunk", "shard", "idx"]).join(known, "gram", "left")
+    less = F.col("total") / (F.col("total") - F.col("spent"))
+    factor = F.when(F.col("hit"), less).when(F.col("kinds") > F.col("gone"), less * (F.col("kinds") - F.col("gone")) / F.col("kinds")).otherwise(2 * F.col("total") / F.col("kinds"))
+    return all_of.select("chunk", "shard", "idx", F.log10(factor).alias("more"))
+
 
+def _word_requests(table: DataFrame, shards: int) -> DataFrame:
+    def make(c: Chunk):
+        digest = np.fromiter((xxhash.xxh64_intdigest(w) for w in c.vocab), "u8", len(c.vocab))
+        n = np.bincount(c.word_ids, np.repeat(~c.held_out, c.sizes), len(digest)).astype("<u4")
+        shard = (digest >> U8(40)).astype("i8") % shards
+        by = np.lexsort((digest, shard))
+        for s, i, j in _edges(shard[by]):
+            yield s, _pack_sorted(digest[by][i:j]), _pack(n[by][i:j])
 
-def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    return _per_chunk(table, make, ["keys", "n"], "shard int, chunk long, keys binary, n binary")
+
+
+def _word_answers(requests: DataFrame) -> DataFrame:
+    """(chunk, shard, n) packed: the counts of a chunk's words in all training texts; and (tokens, types)."""
+
+    def run(batches):
+        for shard, (chunk, keys, n) in _by_shard(batches, ("chunk", "keys", "n")):
+            keys = [_unpack_sorted(x) for x in keys]
+            u, c = _summed(keys, [_unpack(x, "<u4") for x in n])
+            m = len(chunk)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*chunk, None], pa.int64()), pa.array([shard] * (m + 1), pa.int32()), pa.array([*(_pack(c[np.searchsorted(u, k)]) for k in keys), None], pa.binary()),
+                    pa.array([*([None] * m), int(c.sum())], pa.int64()), pa.array([*([None] * m), int((c > 0).sum())], pa.int64()),
+                ],
+                names=["chunk", "shard", "n", "tokens", "types"],
+            )
+        trim()
+
+    return arrow_map(requests.repartition("shard").sortWithinPartitions("shard"), run, "chunk long, shard int, n binary, tokens long, types long")
+
+
+def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
-    classes = classes_of(docs)
-    width = len(classes) + 1
-    table = cut(chunks(docs, classes), "chunks")
-    counted = cut(_counted(_word_rows(table, width), width, order), "words")
-    ends = table.select(*(F.col("ends")[k].alias(f"e{k}") for k in range(width))).agg(*(F.coalesce(F.sum(f"e{k}"), F.lit(0)).alias(f"e{k}") for k in range(width))).first()
-    ends = [int(ends[f"e{k}"]) for k in range(width)]
-    n_train = sum(ends)
-    total = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    n_all, v_all = total[0] + n_train, total[1] + (n_train > 0)
-    prior = np.log10((np.array(ends) + 0.5) / (n_train + 0.5 * width))
-    end_gram = int(grams([b""], order)[0][0])
-    ns = [f"n{k}" for k in range(width)]
-    end_row = docs.sparkSession.createDataFrame([(end_gram, *ends)], "gram long, " + ", ".join(f"{n} long" for n in ns))
-    counts = cut(counted.where("gram is not null").select("gram", *ns).union(end_row).groupBy("gram").agg(*(F.sum(n).alias(n) for n in ns)), "grams")
-    asked = _answers(counts, _requests(table, order), order, width).select("chunk", F.lit(True).alias("is_cost"), "keys", "vals")
-    # a word that is in no other chunk has its own chunk's count
-    known = counted.where("chunk is not null").select("chunk", F.lit(False).alias("is_cost"), "keys", "vals")
-    answers = asked.union(known)
-    known_end = int(n_train > 0)
+    table = cut(chunks(docs), "chunks")
+    shards = max(8, -(-(table.agg(F.sum("bytes")).first()[0] or 0) // SHARD_BYTES))
+    words = cut(_word_answers(_word_requests(table, shards)), "words")
+    total = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    texts = table.select(F.explode("doc_ids").alias("doc_id")).where(~F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False)))
+    n_train = texts.count()
+    n_all, v_all = int(total[0]) + n_train, int(total[1]) + (n_train > 0)
+    long = cut(_long_answers(_long_requests(table, shards)), "long")
+    asked = cut(_gram_requests(table, shards), "gram-requests")
+    grams = cut(_gram_sums(asked), "grams")
+    pairs = np.zeros((256, 256), "i8")
+    low = grams.groupBy(F.shiftright("gram", 8 * ORDER).cast("int").alias("a"), F.col("gram").bitwiseAND(255).cast("int").alias("b")).agg(F.sum("n").alias("n"))
+    for r in low.collect():  # at most 256 x 256 rows
+        pairs[r["a"], r["b"]] = r["n"]
+    short = _gram_answers(_gram_costs(grams, pairs, shards), asked)
+    none = lambda kind: F.lit(None).cast(kind)
+    answers = (
+        long.where("cost is not null").select("chunk", F.lit(0).alias("kind"), "shard", F.col("cost").alias("a"), F.col("depth").alias("b"), none("int").alias("idx"), none("double").alias("more"))
+        .union(short.select("chunk", F.lit(1), "shard", "cost", none("binary"), none("int"), none("double")))
+        .union(words.where("chunk is not null").select("chunk", F.lit(2), "shard", "n", none("binary"), none("int"), none("double")))
+        .union(_corrections(long.where("gram is not null"), grams).select("chunk", F.lit(3), "shard", none("binary"), none("binary"), "idx", "more"))
+    )
     base_of = lambda c: np.log10((c + 0.5) / (n_all + 0.5 * (v_all + 1)))
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        is_cost = right.column("is_cost").to_pylist()
-        keys, vals = right.column("keys").to_pylist(), right.column("vals").to_pylist()
-        glue = lambda parts, kind: np.frombuffer(b"".join(parts), kind)
-        gram, cost = glue([k for k, x in zip(keys, is_cost) if x], "<i8"), glue([v for v, x in zip(vals, is_cost) if x], "<f8").reshape(-1, width)
-        known_at, c_all = glue([k for k, x in zip(keys, is_cost) if not x], "<u4"), glue([v for v, x in zip(vals, is_cost) if not x], "<i8")
-        by = np.argsort(gram, kind="stable")
-        gram, cost = gram[by], cost[by]
-        out = []
-        for r in left.to_pylist():
-            w, c = _words_of(r["words"]), _unpack(r["counts"], "<u4").astype("f8").reshape(-1, width).sum(1)
-            c[known_at] = c_all
-            word_cost = np.zeros((len(w), width))
-            for i in range(0, len(w), 100_000):
-                g, of = grams(w[i : i + 100_000], order)
-                at = np.searchsorted(gram, g.view("i8"))
-                for x in range(width):
-                    part = np.bincount(of, cost[at, x])
-                    word_cost[i : i + len(part), x] = part
-            end_cost = cost[np.searchsorted(gram, end_gram)]
-            sizes, ids, times = _unpack(r["sizes"], "<u4").astype("i8"), _unpack(r["ids"], "<u4").astype("i8"), _unpack(r["times"], "<u4").astype("f8")
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            add = lambda x: np.bincount(of, x, len(sizes)) if len(of) else np.zeros(len(sizes))
-            logs = np.stack([add(times * word_cost[ids, x]) + end_cost[x] + prior[x] for x in range(width)])
-            best = logs.max(0)
-            out.append(
-                pa.table(
-                    {
-                        "doc_id": pa.array(r["doc_ids"], pa.int64()), "held_out": pa.array([is_held_out(i) for i in r["doc_ids"]], pa.bool_()),
-                        "n_tokens": pa.array((add(times) + 1).astype("i8")), "n_known": pa.array((add(times * (c[ids] > 0)) + known_end).astype("i8")), "train_tokens": pa.array(np.full(len(sizes), n_all, "i8")),
-                        "base_score": pa.array(add(times * base_of(c)[ids]) + base_of(float(n_train))), "score": pa.array(best + np.log10((10 ** (logs - best)).sum(0))),
-                    }
-                )
-            )
-        schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+        if not left.num_rows:
+            return schema.empty_table()
+        c = Chunk(*(left.column(k)[0].as_py() for k in CHUNK_COLUMNS))
+        kind, shard = right.column("kind").to_numpy(), right.column("shard").to_numpy()
+
+        def blobs(k: int, column: str, dtype: str) -> np.ndarray:
+            at = np.flatnonzero(kind == k)
+            at = at[np.argsort(shard[at])]
+            return np.concatenate([np.empty(0, dtype), *(_unpack(x, dtype) for x in right.column(column).take(pa.array(at)).to_pylist())])
+
+        # tokens by long contexts
+        item_shard, _, _, item = c.long_items(shards)
+        cost, depth = blobs(0, "a", "<f4").astype("f8"), blobs(0, "b", "u1").astype("i8")
+        miss = np.flatnonzero(kind == 3)
+        first = np.searchsorted(item_shard, shard[miss])
+        np.add.at(cost, first + right.column("idx").take(pa.array(miss)).to_numpy(), right.column("more").take(pa.array(miss)).to_numpy())
+        result = np.bincount(c.doc, cost[item], c.docs)
+        # the other bytes by short ones: the costs are in the order of shards and grams
+        need, at_doc = c.base_places(depth[item]), np.repeat(np.arange(c.docs), np.diff(np.append(c.doc_at, len(c.data))))
+        may, keys = c.asked(), []
+        for i, j in c.parts():
+            keys.append(pc.unique(pa.array(c.grams(i, j)[may[i:j]])).to_numpy())
+        u = np.unique(np.concatenate([np.empty(0, "u8"), *keys]))
+        price = np.empty(len(u))
+        price[np.lexsort((u, _shard_of(u, shards)))] = blobs(1, "a", "<f4")
+        for i, j in c.parts():
+            some = need[i:j]
+            g = pc.dictionary_encode(pa.array(c.grams(i, j)[some]))
+            of = price[np.searchsorted(u, g.dictionary.to_numpy())]
+            if len(of):
+                result += np.bincount(at_doc[i:j][some], of[g.indices.to_numpy()], c.docs)
+        # words
+        digest = np.fromiter((xxhash.xxh64_intdigest(w) for w in c.vocab), "u8", len(c.vocab))
+        n = np.empty(len(digest))
+        n[np.lexsort((digest, (digest >> U8(40)).astype("i8") % shards))] = blobs(2, "a", "<i8")
+        of = np.repeat(np.arange(c.docs), c.sizes)
+        add = lambda x: np.bincount(of, x, c.docs) if len(of) else np.zeros(c.docs)
+        out = pa.table(
+            [
+                pa.array(c.doc_ids, pa.int64()), pa.array(c.held_out), pa.array(c.sizes + 1), pa.array((add(n[c.word_ids] > 0) + (n_train > 0)).astype("i8")), pa.array(np.full(c.docs, n_all, "i8")),
+                pa.array(add(base_of(n)[c.word_ids]) + base_of(float(n_train))), pa.array(result),
+            ],
+            schema=schema,
+        )
+        c = None
         trim()
-        return pa.concat_tables(out) if out else schema.empty_table()
+        return out
 
-    return (
-        table.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-        .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    )
+    return table.select("chunk", *CHUNK_COLUMNS).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -14,49 +14,114 @@ from hypothesis import strategies as st
 from docloom.llm import ppm, quality, secrets
 
 
-def test_ppm_against_plain(spark):
-    got = {r["doc_id"]: r for r in ppm.scores(docs(spark)).collect()}
-    langs = [["en", "de", None, ""][i % 4] for i in range(len(TEXTS))]
-    classes = ppm.classes_of(docs(spark))
-    assert classes == ["", "de", "en"]
-    words = lambda t: (t or "").encode().lower().split()
-    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(TEXTS))]
-    counts, ends = [Counter() for _ in range(4)], [0] * 4
-    for i, t in enumerate(TEXTS):
+class PlainTrie:
+    """The byte-context trie of the module, one byte at a time."""
+
+    def __init__(self):
+        self.seen = {}
+
+    @staticmethod
+    def places(text):
+        """Of every byte: its contexts, the longest first, and the byte."""
+        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        data, out = b" " * ppm.HISTORY, []
+        for token in [w + b" " for w in words] + [b" "]:
+            start = len(data)
+            data += token
+            for j in range(len(token)):
+                p = start + j
+                long = [data[start - ppm.HISTORY : p]] if j < ppm.REACH else []
+                out.append((long + [data[p - k : p] for k in range(ppm.ORDER, -1, -1)], data[p]))
+        return out
+
+    def learn(self, text):
+        for contexts, symbol in self.places(text):
+            for c in contexts:
+                self.seen.setdefault(c, Counter())[symbol] += 1
+
+    def cost(self, contexts, symbol):
+        excluded, p = set(), 1.0
+        for c in contexts:
+            seen = {s: n for s, n in self.seen.get(c, {}).items() if s not in excluded}
+            if not seen:
+                continue
+            total = sum(seen.values())
+            if symbol in seen:
+                full = len(excluded) + len(seen) >= 256
+                return math.log10(p * (seen[symbol] if full else seen[symbol] - 0.5) / total)
+            p *= len(seen) / (2 * total)
+            excluded |= seen.keys()
+        return math.log10(p / (256 - len(excluded)))
+
+    def score(self, text):
+        return sum(self.cost(*place) for place in self.places(text))
+
+
+def same_as_plain(rows, texts):
+    got = {r["doc_id"]: r for r in rows}
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))]
+    words = lambda t: (t or "").encode("utf-8", "surrogatepass").lower().split()
+    trie, c, n_train = PlainTrie(), Counter(), 0
+    for i, t in enumerate(texts):
         if not held[i]:
-            k = classes.index(langs[i]) if langs[i] in classes else 3
-            counts[k].update(words(t))
-            ends[k] += 1
-    c, n_train = sum(counts, Counter()), sum(ends)
+            trie.learn(t)
+            c.update(words(t))
+            n_train += 1
     n, v = sum(c.values()) + n_train, len(c) + 1
-    tries = []
-    for k in range(4):
-        trie = ppm.Trie(ppm.ORDER)
-        for w, m in [*counts[k].items(), (b"", ends[k])]:
-            for g in ppm.grams([w])[0].tolist():
-                if m:
-                    trie.add(g, m)
-        tries.append(trie)
-    code = lambda w, k: sum(tries[k].cost(g) for g in ppm.grams([w])[0].tolist())
-    for i, t in enumerate(TEXTS):
+    for i, t in enumerate(texts):
         w, r = words(t), got[i]
         base = sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w) + math.log10((n_train + 0.5) / (n + 0.5 * (v + 1)))
-        logs = [math.log10((ends[k] + 0.5) / (n_train + 2)) + sum(code(x, k) for x in w) + code(b"", k) for k in range(4)]
-        score = max(logs) + math.log10(sum(10 ** (x - max(logs)) for x in logs))
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(w) + 1, sum(c[x] > 0 for x in w) + 1, n)
-        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], score, rel_tol=1e-9)
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], trie.score(t), rel_tol=1e-6), i
+
+
+def test_ppm_against_plain(spark):
+    same_as_plain(ppm.scores(docs(spark)).collect(), TEXTS)
     assert ppm.scores(empty(spark)).count() == 0
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.lists(st.binary(min_size=1, max_size=6).map(lambda b: b.translate(None, b" \t\n\r\x0b\x0c") or b"x"), min_size=1, max_size=20), st.integers(0, 2**32 - 1))
-def test_ppm_is_a_distribution(words, context):
-    """After any context the probabilities of all bytes sum to one at most, and to one with full exclusion."""
-    trie = ppm.Trie(ppm.ORDER)
-    for g in ppm.grams(words)[0].tolist():
-        trie.add(g, 1)
-    total = sum(10 ** trie.cost(context << 8 | s) for s in range(256))
-    assert 0.999999 < total < 1.000001
+def test_ppm_escapes_from_long_contexts(spark):
+    """Held-out texts that part from training texts after a long common stretch, at every byte of a token."""
+    ends = ["alpha", "alps", "beta", "a", "al", "", "gamma delta", "alphabet soup", "alpX", "zeta"]
+    texts = [f"a long and common stretch of words leads to {ends[i % 10]} {'and more ' * (i % 3)}{i % 4}" for i in range(150)] + ["x" * 30, "abcabcabd " * 40]
+    rows = ppm.scores(docs(spark, texts).repartition(3)).collect()
+    same_as_plain(rows, texts)
+
+
+def test_ppm_tells_copies_and_order_apart(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 7))) for _ in range(300)]
+    texts = [" ".join(rng.choice(vocabulary, 120)) for _ in range(60)]
+    texts += texts[:8]  # held-out or not, a text that occurs twice
+    train = [i for i in range(68) if not ppm.is_held_out(i)]
+    copy, shuffled = [i for i in range(68, 200) if ppm.is_held_out(i)][:2]  # of a training text
+    words = texts[train[-1]].split()
+    held = [" ".join(words), " ".join(rng.permutation(words))]
+    rows = {r["doc_id"]: r["score"] / r["n_tokens"] for r in ppm.scores(docs(spark, [*texts, *held], [*range(68), copy, shuffled])).collect()}
+    twice = [i for i in range(8) if i in train and 60 + i in train]
+    once = [i for i in range(8, 60) if i in train]
+    assert min(rows[i] for i in twice) > max(rows[i] for i in once)
+    assert rows[shuffled] < rows[copy] - 0.3
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.sampled_from(["ab", "abc", "b", "ca", "cab", "", "a b c a", "\xe9\xe8"]), min_size=1, max_size=12), st.binary(min_size=5, max_size=5))
+def test_ppm_is_a_distribution(texts, context):
+    """After any context the probabilities of all bytes sum to one, and each is the plain version's."""
+    trie = PlainTrie()
+    grams, pairs = Counter(), np.zeros((256, 256), "i8")
+    for t in texts:
+        trie.learn(t)
+        for contexts, symbol in trie.places(t):
+            c = contexts[-1 - ppm.ORDER]
+            grams[int.from_bytes(bytes([*c[::-1], symbol]), "big")] += 1
+            pairs[c[-1], symbol] += 1
+    for c in [context, (b" " * 5 + texts[0].encode() + b" ")[-5:]]:
+        asked = np.array(sorted({*grams, *(int.from_bytes(bytes([*c[::-1], s]), "big") for s in range(256))}), "u8")
+        cost = dict(zip(asked.tolist(), ppm.short_costs(asked, np.array([grams[x] for x in asked.tolist()]), pairs)))
+        mine = [cost[int.from_bytes(bytes([*c[::-1], s]), "big")] for s in range(256)]
+        plain = [trie.cost([c[ppm.ORDER - k :] for k in range(ppm.ORDER, -1, -1)], s) for s in range(256)]
+        assert np.allclose(mine, plain) and math.isclose(sum(10**x for x in mine), 1, rel_tol=1e-9)
 
 
 def test_ppm_without_training_rows(spark):
