@@ -254,7 +254,7 @@ def plain_top(rows, k=10, every=100):
 
 
 def test_top_k(spark, monkeypatch):
-    monkeypatch.setattr(mtree, "SHARD", 150)
+    monkeypatch.setattr(mtree, "SHARD", 50)
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.normal(size=8).astype("f4")], 0) for i in range(400)]
     rows += [(400 + i, rows[7][1], 0) for i in range(120)]  # a hot vector, ties by id
@@ -272,7 +272,32 @@ def test_m_tree_is_exact(n, d, seed, k):
     ids = rng.permutation(n)
     q = rng.integers(-900, 900, d)
     want = sorted(range(n), key=lambda i: (-int(x[i] @ q), ids[i]))[:k]
-    assert mtree.MTree(x).search(q, k, ids) == [(int(x[i] @ q), i) for i in want]
+    score, row = mtree.MTree(x, ids).search(np.stack([q, q * 2]), k)
+    for m in (0, 1):
+        assert [(int(s), int(i)) for s, i in zip(score[m], row[m]) if i >= 0] == [((m + 1) * int(x[i] @ q), i) for i in want]
+    floor = int(x[want[-1]] @ q)  # a floor that the last one just reaches, and a row that is left out
+    score, row = mtree.MTree(x, ids).search(q[None], k, np.array([want[0]]), np.array([floor]))
+    assert [int(i) for i in row[0] if i >= 0] == [i for i in sorted(range(n), key=lambda i: (-int(x[i] @ q), ids[i])) if i != want[0] and int(x[i] @ q) >= floor][:k]
+
+
+def test_m_tree_with_products_beyond_doubles():
+    x = np.array([[1 << 40, 1], [1 << 40, 2], [-(1 << 40), 5], [1 << 62, 0]])
+    score, row = mtree.MTree(x, np.arange(4)).search(np.array([[1 << 20, 1]]), 3)
+    assert row.tolist() == [[3, 1, 0]] and score.tolist() == [[(1 << 63) - 1, (1 << 60) + 2, (1 << 60) + 1]]
+
+
+def test_top_k_of_clusters_visits_few_shards(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "SHARD", 60)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 8)) * 40
+    rows = [(i, [float(x) for x in (centres[i % 12] + rng.normal(size=8) * 0.2).astype("f4")], 0) for i in range(900)]
+    asked = []
+    plain = mtree._visits
+    monkeypatch.setattr(mtree, "_visits", lambda q, *a: asked.append((q.count(), plain(q, *a))) or asked[-1][1])
+    got = sorted(((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in mtree.top_k(vectors(spark, rows)).collect()), key=str)
+    assert got == plain_top(rows)
+    n, visits = asked[0]
+    assert visits.count() < n * 8  # of 15 pieces or more
 
 
 def test_helpers_lower():
