@@ -44,12 +44,13 @@ from pyspark.sql import functions as F
 from .common import arrow_map, cut, slices, trim
 
 ORDER, HISTORY, REACH = 5, 16, 4
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 #: bytes of text to a shard of long contexts, grams or words
 SHARD_BYTES = 16 << 20
 PART = 4 << 20
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9)]
 U8 = np.uint64
+CHUNK_COLUMNS = ("data", "sizes", "doc_ids")
 
 
 def is_held_out(doc_id: int | None, folds: int = 5) -> bool:
@@ -76,72 +77,82 @@ def _unpack_sorted(b: bytes) -> np.ndarray:
 
 def _starts(changed: np.ndarray) -> np.ndarray:
     """Places where runs begin; ``changed`` tells whether a place differs from the one before it."""
-    return np.flatnonzero(np.concatenate((np.ones(min(1, len(changed) + 1), bool), changed))) if len(changed) else np.zeros(1, "i8")
+    return np.concatenate(([0], np.flatnonzero(changed) + 1))
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """chunk, words (blank-separated, compressed), ids (numbers of the words, document after document),
-    sizes (words of each document), doc_ids, bytes (of the chunk's texts)."""
+    """chunk, data (for every document HISTORY blanks, its words, each with a blank after it, and one more
+    blank; compressed), sizes (bytes of each in data), doc_ids, bytes (of data)."""
 
-    def flush(vocab, ids, sizes, doc_ids, held):
-        row = {
-            "chunk": uuid.uuid4().int >> 65, "words": zstandard.ZstdCompressor(level=1).compress(b" ".join(vocab)), "ids": _pack(np.concatenate([*ids, np.empty(0, "<u4")]).astype("<u4")),
-            "sizes": _pack(np.array(sizes, "<u4")), "doc_ids": doc_ids, "bytes": held,
-        }
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
+    def flush(parts, doc_ids):
+        data = zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+        sizes = np.fromiter(map(len, parts), "<u4", len(parts))
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((uuid.uuid4().int >> 65, data, _pack(sizes), doc_ids, int(sizes.sum())), kinds)], names=["chunk", *CHUNK_COLUMNS, "bytes"])
 
     def run(batches):
-        vocab, ids, sizes, doc_ids, held = {}, [], [], [], 0
+        parts, doc_ids, held = [], [], 0
         for b in batches:
             for s in slices(b, "text"):
                 for i, t in zip(s.column("doc_id").to_pylist(), s.column("text").to_pylist()):
-                    data = (t or "").encode("utf-8", "surrogatepass").lower()
-                    words = data.split()
-                    number = vocab.setdefault
-                    ids.append(np.fromiter((number(w, len(vocab)) for w in words), "<u4", len(words)))
-                    sizes.append(len(words))
+                    words = b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())
+                    parts.append(b" " * HISTORY + (words + b"  " if words else b" "))
                     doc_ids.append(i)
-                    held += len(data) + 8
+                    held += len(parts[-1])
                     if held >= CHUNK_BYTES:
-                        yield flush(vocab, ids, sizes, doc_ids, held)
-                        vocab, ids, sizes, doc_ids, held = {}, [], [], [], 0
+                        yield flush(parts, doc_ids)
+                        parts, doc_ids, held = [], [], 0
         if doc_ids:
-            yield flush(vocab, ids, sizes, doc_ids, held)
-        vocab = ids = None
+            yield flush(parts, doc_ids)
+        parts = None
         trim()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return arrow_map(narrow, run, "chunk long, words binary, ids binary, sizes binary, doc_ids array<long>, bytes long")
+    return arrow_map(narrow, run, "chunk long, data binary, sizes binary, doc_ids array<long>, bytes long")
 
 
 class Chunk:
-    """A chunk's bytes in a row, and its tokens: where each starts, its length with the closing blank, its
-    word's number (the last one is the end) and its document."""
-
-    def __init__(self, words: bytes, ids: bytes, sizes: bytes, doc_ids: list) -> None:
-        data = zstandard.ZstdDecompressor().decompress(words)
-        self.vocab = data.split(b" ") if data else []
-        self.word_ids, self.sizes = _unpack(ids, "<u4").astype("i8"), _unpack(sizes, "<u4").astype("i8")
-        self.doc_ids, self.docs = doc_ids, len(doc_ids)
+    """A chunk's bytes in a row, where each document begins (doc_at) and how many tokens it has (sizes), and of
+    each token where it starts (at), its first bytes (head) and their number with the closing blank (reach)."""
+
+    def __init__(self, data: bytes, sizes: bytes, doc_ids: list) -> None:
+        self.raw = zstandard.ZstdDecompressor().decompress(data)
+        self.data, self.doc_ids, self.docs = np.frombuffer(self.raw, "u1"), doc_ids, len(doc_ids)
         self.held_out = np.fromiter(map(is_held_out, doc_ids), bool, self.docs)
-        n, width = len(self.vocab), self.sizes + 2
-        first = np.cumsum(width) - width
-        seq = np.empty(int(width.sum()), "i8")
-        inner = np.ones(len(seq), bool)
-        inner[first] = inner[first + width - 1] = False
-        seq[inner], seq[first], seq[first + width - 1] = self.word_ids, n + 1, n  # blanks before, words, end
-        parts = [*self.vocab, b"", b" " * (HISTORY - 1)]
-        self.data = np.frombuffer(b" ".join(map(parts.__getitem__, seq.tolist())) + b" ", "u1")
-        length = np.fromiter(map(len, parts), "i8", n + 2) + 1
-        of = length[seq]
-        at = np.cumsum(of) - of
-        token = seq != n + 1
-        self.at, self.length, self.word = at[token], of[token], seq[token]
-        self.doc = np.repeat(np.arange(self.docs), self.sizes + 1)
-        self.doc_at = at[~token]
-        head = np.frombuffer(b"".join([(w + b" " * REACH)[:REACH] for w in parts[: n + 1]]), ">u4").astype("u4")
-        self.head = head[self.word]
+        length = _unpack(sizes, "<u4").astype("i8")
+        self.doc_at = np.cumsum(length) - length
+        # a token follows a blank, but for those before a document and the last one
+        before = self.data == 32
+        before[(self.doc_at[:, None] + np.arange(HISTORY - 1)).ravel()] = False
+        before[self.doc_at + length - 1] = False
+        self.at = np.flatnonzero(before) + 1
+        self.sizes = np.diff(np.append(np.searchsorted(self.at, self.doc_at), len(self.at)))
+        self.head, self.reach, over = np.zeros(len(self.at), "u4"), np.full(len(self.at), REACH, "i1"), np.zeros(len(self.at), bool)
+        for j in range(REACH):
+            byte = self.data[np.minimum(self.at + j, len(self.data) - 1)]
+            self.head |= np.where(over, 32, byte).astype("u4") << np.uint32(8 * (REACH - 1 - j))
+            closing = ~over & (byte == 32)
+            self.reach[closing] = j + 1
+            over |= closing
+
+    def per_token(self, of_docs: np.ndarray) -> np.ndarray:
+        return np.repeat(of_docs, self.sizes)
+
+    def per_byte(self, of_docs: np.ndarray) -> np.ndarray:
+        return np.repeat(of_docs, np.diff(np.append(self.doc_at, len(self.data))))
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Digests of the distinct words, and for every token the number of its word (the end has the last one)."""
+        texts = [self.raw[i + HISTORY : j - 1] for i, j in zip(self.doc_at.tolist(), [*self.doc_at[1:].tolist(), len(self.raw)])]
+        # a text's words and, since a blank closes each, an empty one for its end
+        coded = pc.dictionary_encode(pc.split_pattern(pa.array(texts, pa.binary()), pattern=" ").flatten())
+        found, of = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype("i8")
+        digest = np.fromiter(map(xxhash.xxh64_intdigest, found), "u8", len(found))
+        end = found.index(b"") if b"" in found else -1
+        number = np.cumsum(np.arange(len(found)) != end) - 1
+        if end >= 0:
+            number[end] = len(found) - 1
+        return np.delete(digest, end) if end >= 0 else digest, number[of]
 
     def grams(self, i: int, j: int) -> np.ndarray:
         """Of the bytes i to j (i at least HISTORY): the context, its nearest byte highest, and the byte itself lowest."""
@@ -157,36 +168,41 @@ class Chunk:
     def base_places(self, depth: np.ndarray) -> np.ndarray:
         """Marks the bytes that short contexts predict: those of tokens from ``depth`` on."""
         mark = np.ones(len(self.data), bool)
-        for d in self.doc_at.tolist():
-            mark[d : d + HISTORY] = False
+        mark[(self.doc_at[:, None] + np.arange(HISTORY)).ravel()] = False
         for j in range(REACH):
             mark[self.at[depth > j] + j] = False
         return mark
 
     def asked(self) -> np.ndarray:
         """Bytes that may need short contexts: all of held-out texts, and of others what long contexts do not reach."""
-        reach = np.minimum(self.length, REACH)
-        return self.base_places(np.where(self.held_out[self.doc], 0, reach))
+        return self.base_places(np.where(self.per_token(self.held_out), 0, self.reach))
 
     def long_items(self, shards: int):
-        """Distinct long contexts with the token's head, sorted by shard, digest and head: shard, digest, head,
-        and the item of every token."""
-        digest = np.empty(len(self.at), "u8")
+        """Long contexts with the token's head, by shard: shard, digest, head, and the item of every token. Equal
+        ones are one item where they come together in an order by shard and some bits of digest and head."""
+        n = len(self.at)
+        digest = np.empty(n, "u8")
         view = np.lib.stride_tricks.sliding_window_view(self.data, HISTORY)
-        for i in range(0, len(self.at), 500_000):
+        for i in range(0, n, 500_000):
             two = np.ascontiguousarray(view[self.at[i : i + 500_000] - HISTORY]).view("<u8")
             m = (two[:, 0] * MIX[0]) ^ (two[:, 1] * MIX[1])
             m = (m ^ (m >> U8(29))) * MIX[2]
             digest[i : i + 500_000] = m ^ (m >> U8(32))
-        key = ((digest & U8(0xFFFFFF)) % U8(shards)) << U8(40) | (digest >> U8(24))
-        order = np.lexsort((self.head, key))
-        k, h = key[order], self.head[order]
-        new = np.ones(len(k), bool)
-        new[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1])
-        item = np.empty(len(k), "i8")
+        shard = (digest & U8(0xFFFFFF)) % U8(shards)
+        digest >>= U8(24)
+        # one sort of numbers: shard, high bits of the digest, 8 bits of the head, and the token in the low bits
+        low, high = max(1, n.bit_length()), max(1, shards.bit_length())
+        bits = max(0, 64 - low - high - 8)
+        key = (shard << U8(bits)) | (digest >> U8(max(0, 40 - bits)))
+        key = (key << U8(8)) | ((self.head * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype("u8")
+        key = np.sort((key << U8(low)) | np.arange(n, dtype="u8"))
+        order = (key & U8((1 << low) - 1)).astype("i8")
+        k, h = digest[order], self.head[order]
+        new = np.ones(n, bool)
+        new[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1]) | ((key[1:] >> U8(64 - high)) != (key[:-1] >> U8(64 - high)) if bits else True)
+        item = np.empty(n, "i8")
         item[order] = np.cumsum(new) - 1
-        k = k[new]
-        return (k >> U8(40)).astype("i8"), k & U8((1 << 40) - 1), h[new], item
+        return shard[order][new].astype("i8"), k[new], h[new], item
 
 
 def _shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
@@ -200,7 +216,6 @@ def _edges(shard: np.ndarray):
     return zip(shard[at].tolist(), at.tolist(), [*at[1:].tolist(), len(shard)])
 
 
-CHUNK_COLUMNS = ("words", "ids", "sizes", "doc_ids")
 
 
 def _per_chunk(table: DataFrame, make, names: list[str], schema: str) -> DataFrame:
@@ -222,7 +237,7 @@ def _per_chunk(table: DataFrame, make, names: list[str], schema: str) -> DataFra
 def _long_requests(table: DataFrame, shards: int) -> DataFrame:
     def make(c: Chunk):
         shard, digest, head, item = c.long_items(shards)
-        n = np.bincount(item, ~c.held_out[c.doc], len(shard)).astype("<u4")
+        n = np.bincount(item, c.per_token(~c.held_out), len(shard)).astype("<u4")
         # the bytes before a token, for items of held-out texts alone: those before any one of its tokens
         one = np.empty(len(shard), "i8")
         one[item] = c.at
@@ -235,10 +250,23 @@ def _long_requests(table: DataFrame, shards: int) -> DataFrame:
     return _per_chunk(table, make, ["digest", "head", "n", "tail"], "shard int, chunk long, digest binary, head binary, n binary, tail binary")
 
 
+def _by_two(digest: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """The order by digest (40 bits) and head. Most digests are alone, so the first sort is of one number each."""
+    low = len(digest).bit_length()
+    if low > 24:
+        return np.lexsort((head, digest))
+    order = (np.sort((digest << U8(low)) | np.arange(len(digest), dtype="u8")) & U8((1 << low) - 1)).astype("i8")
+    d, h = digest[order], head[order]
+    same = d[1:] == d[:-1]
+    some = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))
+    order[some] = order[some][np.lexsort((h[some], d[some]))]
+    return order
+
+
 def long_costs(digest: np.ndarray, head: np.ndarray, n: np.ndarray, tail: np.ndarray):
     """For items of a shard: log10 cost by long contexts, depth (bytes that they predict), and misses as
     (item, gram, symbols seen): the context knew other symbols than the byte that follows."""
-    order = np.lexsort((head, digest))
+    order = _by_two(digest, head)
     digest, head, n, tail = digest[order], head[order], n[order].astype("i8"), tail[order]
     size = len(order)
     sums = np.concatenate(([0], np.cumsum(n)))
@@ -330,15 +358,19 @@ def _gram_requests(table: DataFrame, shards: int) -> DataFrame:
     """The grams of every chunk with their counts in training texts: those whose cost it needs, and others."""
 
     def make(c: Chunk):
-        need, train = c.asked(), np.repeat(~c.held_out, np.diff(np.append(c.doc_at, len(c.data))))
+        need, train = c.asked(), c.per_byte(~c.held_out)
         inside = c.base_places(np.zeros(len(c.at), "i8"))
         keys, counts, needs = [], [], []
         for i, j in c.parts():
-            g = pc.dictionary_encode(pa.array(c.grams(i, j)[inside[i:j]]))
-            at, n = g.indices.to_numpy(), len(g.dictionary)
-            keys.append(g.dictionary.to_numpy())
-            counts.append(np.bincount(at, train[i:j][inside[i:j]], n))
-            needs.append(np.bincount(at, need[i:j][inside[i:j]], n))
+            # a gram has 48 bits; two flags below it are sorted along
+            g = (c.grams(i, j) << U8(2)) | (train[i:j].astype("u8") << U8(1)) | need[i:j].astype("u8")
+            g = np.sort(g[inside[i:j]])
+            if not len(g):
+                continue
+            at = _starts(g[1:] >> U8(2) != g[:-1] >> U8(2))
+            keys.append(g[at] >> U8(2))
+            counts.append(np.add.reduceat((g >> U8(1) & U8(1)).astype("i8"), at))
+            needs.append(np.add.reduceat((g & U8(1)).astype("i8"), at))
         u, inv = np.unique(np.concatenate(keys), return_inverse=True)
         n, asked = np.bincount(inv, np.concatenate(counts), len(u)).astype("<u4"), np.bincount(inv, np.concatenate(needs), len(u)) > 0
         shard = _shard_of(u, shards)
@@ -466,7 +498,7 @@ def _gram_costs(grams: DataFrame, pairs: np.ndarray, shards: int) -> DataFrame:
 
 
 def _gram_answers(costs: DataFrame, requests: DataFrame) -> DataFrame:
-    """(chunk, shard, cost) packed: a shard's costs come first and stay, its requests stream by."""
+    """(chunk, shard, keys, cost) packed: a shard's costs come first and stay, its requests stream by."""
 
     def run(batches):
         shard, grams, cost, ready = None, [], [], None
@@ -486,12 +518,12 @@ def _gram_answers(costs: DataFrame, requests: DataFrame) -> DataFrame:
                     by = np.argsort(g)
                     ready = g[by].view("u8"), c[by]
                 vals = [_pack(ready[1][np.searchsorted(ready[0], _unpack_sorted(k))].astype("<f4")) for k in part.column("keys").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("shard"), pa.array(vals, pa.binary())], names=["chunk", "shard", "cost"])
+                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("shard"), part.column("keys"), pa.array(vals, pa.binary())], names=["chunk", "shard", "keys", "cost"])
         trim()
 
     left = costs.select("shard", F.lit(0).alias("kind"), "gram", "cost", F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("keys"))
     right = requests.select("shard", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("float").alias("cost"), "chunk", "keys")
-    return arrow_map(left.union(right).repartition("shard").sortWithinPartitions("shard", "kind"), run, "chunk long, shard int, cost binary")
+    return arrow_map(left.union(right).repartition("shard").sortWithinPartitions("shard", "kind"), run, "chunk long, shard int, keys binary, cost binary")
 
 
 def _corrections(misses: DataFrame, grams: DataFrame) -> DataFrame:
@@ -515,8 +547,8 @@ def _corrections(misses: DataFrame, grams: DataFrame) -> DataFrame:
 
 def _word_requests(table: DataFrame, shards: int) -> DataFrame:
     def make(c: Chunk):
-        digest = np.fromiter((xxhash.xxh64_intdigest(w) for w in c.vocab), "u8", len(c.vocab))
-        n = np.bincount(c.word_ids, np.repeat(~c.held_out, c.sizes), len(digest)).astype("<u4")
+        digest, of = c.words()
+        n = np.bincount(of, c.per_token(~c.held_out), len(digest) + 1)[:-1].astype("<u4")
         shard = (digest >> U8(40)).astype("i8") % shards
         by = np.lexsort((digest, shard))
         for s, i, j in _edges(shard[by]):
@@ -565,7 +597,7 @@ def scores(docs: DataFrame) -> DataFrame:
     none = lambda kind: F.lit(None).cast(kind)
     answers = (
         long.where("cost is not null").select("chunk", F.lit(0).alias("kind"), "shard", F.col("cost").alias("a"), F.col("depth").alias("b"), none("int").alias("idx"), none("double").alias("more"))
-        .union(short.select("chunk", F.lit(1), "shard", "cost", none("binary"), none("int"), none("double")))
+        .union(short.select("chunk", F.lit(1), "shard", "cost", "keys", none("int"), none("double")))
         .union(words.where("chunk is not null").select("chunk", F.lit(2), "shard", "n", none("binary"), none("int"), none("double")))
         .union(_corrections(long.where("gram is not null"), grams).select("chunk", F.lit(3), "shard", none("binary"), none("binary"), "idx", "more"))
     )
@@ -578,42 +610,42 @@ def scores(docs: DataFrame) -> DataFrame:
         c = Chunk(*(left.column(k)[0].as_py() for k in CHUNK_COLUMNS))
         kind, shard = right.column("kind").to_numpy(), right.column("shard").to_numpy()
 
-        def blobs(k: int, column: str, dtype: str) -> np.ndarray:
+        def blobs(k: int, column: str, read) -> np.ndarray:
             at = np.flatnonzero(kind == k)
             at = at[np.argsort(shard[at])]
-            return np.concatenate([np.empty(0, dtype), *(_unpack(x, dtype) for x in right.column(column).take(pa.array(at)).to_pylist())])
+            return np.concatenate([np.empty(0, "u1"), *(read(x) for x in right.column(column).take(pa.array(at)).to_pylist())])
 
         # tokens by long contexts
         item_shard, _, _, item = c.long_items(shards)
-        cost, depth = blobs(0, "a", "<f4").astype("f8"), blobs(0, "b", "u1").astype("i8")
+        cost, depth = blobs(0, "a", lambda x: _unpack(x, "<f4")).astype("f8"), blobs(0, "b", lambda x: _unpack(x, "u1"))
         miss = np.flatnonzero(kind == 3)
         first = np.searchsorted(item_shard, shard[miss])
         np.add.at(cost, first + right.column("idx").take(pa.array(miss)).to_numpy(), right.column("more").take(pa.array(miss)).to_numpy())
-        result = np.bincount(c.doc, cost[item], c.docs)
-        # the other bytes by short ones: the costs are in the order of shards and grams
-        need, at_doc = c.base_places(depth[item]), np.repeat(np.arange(c.docs), np.diff(np.append(c.doc_at, len(c.data))))
-        may, keys = c.asked(), []
-        for i, j in c.parts():
-            keys.append(pc.unique(pa.array(c.grams(i, j)[may[i:j]])).to_numpy())
-        u = np.unique(np.concatenate([np.empty(0, "u8"), *keys]))
-        price = np.empty(len(u))
-        price[np.lexsort((u, _shard_of(u, shards)))] = blobs(1, "a", "<f4")
+        token_at = np.cumsum(c.sizes) - c.sizes
+        result = np.add.reduceat(cost[item], token_at)
+        # the other bytes by short ones
+        need = c.base_places(depth[item])
+        item = item_shard = None
+        grams, price = blobs(1, "b", _unpack_sorted), blobs(1, "a", lambda x: _unpack(x, "<f4"))
+        by = np.argsort(grams)
+        grams, price = grams[by], price[by].astype("f8")
         for i, j in c.parts():
-            some = need[i:j]
-            g = pc.dictionary_encode(pa.array(c.grams(i, j)[some]))
-            of = price[np.searchsorted(u, g.dictionary.to_numpy())]
-            if len(of):
-                result += np.bincount(at_doc[i:j][some], of[g.indices.to_numpy()], c.docs)
-        # words
-        digest = np.fromiter((xxhash.xxh64_intdigest(w) for w in c.vocab), "u8", len(c.vocab))
-        n = np.empty(len(digest))
-        n[np.lexsort((digest, (digest >> U8(40)).astype("i8") % shards))] = blobs(2, "a", "<i8")
-        of = np.repeat(np.arange(c.docs), c.sizes)
-        add = lambda x: np.bincount(of, x, c.docs) if len(of) else np.zeros(c.docs)
+            g = pc.dictionary_encode(pa.array(c.grams(i, j)[need[i:j]]))
+            of = np.zeros(j - i)
+            if len(g.dictionary):
+                of[need[i:j]] = price[np.searchsorted(grams, g.dictionary.to_numpy())][g.indices.to_numpy()]
+            first, last = np.searchsorted(c.doc_at, [i, j - 1], "right") - 1
+            result[first : last + 1] += np.add.reduceat(of, np.maximum(c.doc_at[first : last + 1] - i, 0))
+        # words; the last number is the end of a text
+        digest, of = c.words()
+        n = np.empty(len(digest) + 1)
+        n[np.lexsort((digest, (digest >> U8(40)).astype("i8") % shards))] = blobs(2, "a", lambda x: _unpack(x, "<i8"))
+        n[-1] = n_train
+        add = lambda x: np.add.reduceat(x[of].astype("f8"), token_at)
         out = pa.table(
             [
-                pa.array(c.doc_ids, pa.int64()), pa.array(c.held_out), pa.array(c.sizes + 1), pa.array((add(n[c.word_ids] > 0) + (n_train > 0)).astype("i8")), pa.array(np.full(c.docs, n_all, "i8")),
-                pa.array(add(base_of(n)[c.word_ids]) + base_of(float(n_train))), pa.array(result),
+                pa.array(c.doc_ids, pa.int64()), pa.array(c.held_out), pa.array(c.sizes), pa.array(add(n > 0).astype("i8")), pa.array(np.full(c.docs, n_all, "i8")),
+                pa.array(add(base_of(n))), pa.array(result),
             ],
             schema=schema,
         )
