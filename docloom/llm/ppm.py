@@ -44,10 +44,10 @@ from pyspark.sql import functions as F
 from .common import arrow_map, cut, slices, trim
 
 ORDER, HISTORY, REACH = 5, 16, 4
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: bytes of text to a shard of long contexts, grams or words
-SHARD_BYTES = 16 << 20
-PART = 4 << 20
+SHARD_BYTES = 4 << 20
+PART = 2 << 20
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9)]
 U8 = np.uint64
 CHUNK_COLUMNS = ("data", "sizes", "doc_ids")
