@@ -13,7 +13,7 @@ summed by the digest's first 12 bits; only the one bucket of a leaf in which the
 ordered row by row, so a hot source is never sorted whole.
 
 Defined cases: a null text has no tokens, and a leaf without tokens gives nothing; null and empty source or lang are the leaf "(none)"; a weight
-that is not given is 1, and weights of 0 or less get nothing; rows with equal doc_ids are ordered by
+that is not given is 1, and a leaf whose weight is 0 or less at any level gets nothing and is no capacity; rows with equal doc_ids are ordered by
 tokens, and those with equal tokens too are taken together or not at all; an empty table
 gives an empty result.
 """
@@ -70,7 +70,9 @@ def split_budget(nodes: DataFrame, parent: list[str], name: str, weights: dict[s
 
 def leaf_plan(leaves: DataFrame, numerator: int, denominator: int, max_epochs: int, weights: dict) -> DataFrame:
     """leaves (domain, lang, source, tokens) -> full, rest, epoch: what each leaf gives."""
-    at = leaves.withColumn("cap", F.col("tokens") * max_epochs)
+    # what a leaf without weight at any level could take is no capacity of its ancestors either
+    can = F.least(*(_weight(level, weights[level]) for level in LEVELS)) > 0
+    at = leaves.withColumn("cap", F.when(can, F.col("tokens") * max_epochs).otherwise(F.lit(0).cast("long")))
     total = at.agg(F.expr(f"coalesce(sum(tokens), 0L) * {numerator} div {denominator}")).first()[0]
     budgets = None
     for i, level in enumerate(LEVELS):
@@ -128,18 +130,19 @@ def mix(docs: DataFrame, numerator: int = 9, denominator: int = 10, max_epochs:
 
 def sql(numerator: int = 4, denominator: int = 5, max_epochs: int = 2, seed: int = 17, weights: dict = WEIGHTS) -> str:
     """The same in DuckDB SQL, over the view documents."""
+    weight_sql = lambda level: "CASE " + " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in sorted(weights[level].items())) + " ELSE 1 END"
     level_sql, of = [], "SELECT CAST(coalesce(sum(tokens), 0) AS BIGINT) * %d // %d AS parent_budget FROM leaves" % (numerator, denominator)
     level_sql.append(f"b0 AS ({of})")
     for i, level in enumerate(LEVELS):
         parent, names = list(LEVELS[:i]), list(LEVELS[: i + 1])
         part = f"PARTITION BY {', '.join(parent)}" if parent else ""
-        w = "CASE " + " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in sorted(weights[level].items())) + " ELSE 1 END"
+        w = weight_sql(level)
         join = f"JOIN b{i} USING ({', '.join(parent)})" if parent else "CROSS JOIN b0"
         comma = lambda *x: ", ".join(filter(None, x))
         full_part = f"PARTITION BY {comma(*parent, 'is_full')}"
         level_sql.append(f"""
         n{i} AS (SELECT {', '.join(names)}, cap, parent_budget, {w} AS w
-                 FROM (SELECT {', '.join(names)}, CAST(sum(tokens) AS BIGINT) * {max_epochs} AS cap FROM leaves GROUP BY ALL) {join}),
+                 FROM (SELECT {', '.join(names)}, CAST(sum(cap) AS BIGINT) AS cap FROM leaves GROUP BY ALL) {join} WHERE {w} > 0),
         l{i} AS (SELECT *, parent_budget - coalesce(sum(cap) OVER ({part} ORDER BY cap * 1.0 / w, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_budget,
                  sum(w) OVER ({part} ORDER BY cap * 1.0 / w, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_after FROM n{i}),
         f{i} AS (SELECT *, cap * w_after <= left_budget * w AS is_full FROM l{i}),
@@ -151,9 +154,11 @@ def sql(numerator: int = 4, denominator: int = 5, max_epochs: int = 2, seed: int
     WITH named AS (SELECT doc_id, coalesce(nullif(lang, ''), '{NONE}') AS lang, coalesce(nullif(source, ''), '{NONE}') AS source,
                           CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS n_tokens FROM documents),
     docs AS (SELECT *, 'd' || coalesce(TRY_CAST(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INT) % 4, 0) AS domain FROM named),
-    leaves AS (SELECT {keys}, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM docs GROUP BY ALL),
+    leaves AS (SELECT {keys}, CAST(sum(n_tokens) AS BIGINT) AS tokens,
+                      CASE WHEN least({', '.join(map(weight_sql, LEVELS))}) > 0 THEN CAST(sum(n_tokens) AS BIGINT) * {max_epochs} ELSE 0 END AS cap FROM docs GROUP BY {keys}),
     {', '.join(level_sql)},
-    plan AS (SELECT {keys}, CASE WHEN tokens > 0 THEN parent_budget // tokens ELSE 0 END AS epochs, tokens, parent_budget FROM leaves JOIN b3 USING ({keys})),
+    plan AS (SELECT {keys}, CASE WHEN tokens > 0 THEN coalesce(parent_budget, 0) // tokens ELSE 0 END AS epochs, tokens, coalesce(parent_budget, 0) AS parent_budget
+             FROM leaves LEFT JOIN b3 USING ({keys})),
     placed AS (SELECT *, parent_budget - epochs * tokens AS rest, md5('{seed}:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM docs JOIN plan USING ({keys})),
     summed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY {keys} ORDER BY h, doc_id, n_tokens) AS upto FROM placed)
     SELECT doc_id, domain, lang, source, n_tokens, CAST(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies FROM summed"""
