@@ -163,19 +163,23 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 4096) -> Machine:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_inputs(docs)).join(F.broadcast(first), "doc_id").select("doc_id", "y", "text", "n_chars")
-    got = arrow_map(rows, run, "doc_id long, y int, i binary, x binary").collect()
+    # an id may be repeated: equal rows count once, and the bound holds for rows as well
+    digest = F.sha2(F.concat("i", "x"), 256)
+    found = arrow_map(rows, run, "doc_id long, y int, i binary, x binary").groupBy("doc_id", "y", digest.alias("d")).agg(F.first("i").alias("i"), F.first("x").alias("x"))
+    got = found.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id", "y", "d").limit(sample).collect()
     got.sort(key=lambda r: (r["doc_id"], r["y"], bytes(r["i"]), bytes(r["x"])))
     return fit([(np.frombuffer(r["i"], "i4"), np.frombuffer(r["x"], "f4"), r["y"]) for r in got])
 
 
-def _scored(docs: DataFrame, machine: Machine, keep: list[str], schema: str, make) -> DataFrame:
+def _scored(docs: DataFrame, machine: Machine, schema: str, make, large: str = "text", inputs=lambda s: (s.column("text"), s.column("n_chars"))) -> DataFrame:
+    """What ``make`` returns for slices of docs (cut by the column ``large``) and their scores."""
     shared = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.w, machine.v))  # of fixed size
 
     def run(batches):
         m = Machine(*shared.value)
         for b in batches:
-            for s in slices(b, "text"):
-                got = [m.score(*features(t, n)) for t, n in zip(s.column("text").to_pylist(), s.column("n_chars").to_pylist())]
+            for s in slices(b, large):
+                got = [m.score(*features(t, n)) for t, n in zip(*(c.to_pylist() for c in inputs(s)))]
                 yield make(s, got)
 
     return arrow_map(docs, run, schema)
@@ -190,17 +194,18 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = 4096) -> DataFrame:
         return pa.RecordBatch.from_arrays([s.column("doc_id"), s.column("held_out"), pa.array(got, pa.float64()), y], names=["doc_id", "held_out", "score", "predicted"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), *_inputs(docs))
-    return _scored(narrow, machine, [], "doc_id long, held_out boolean, score double, predicted int", make)
+    return _scored(narrow, machine, "doc_id long, held_out boolean, score double, predicted int", make)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, sample: int = 4096) -> DataFrame:
     """``docs`` without the documents whose score is under 0.5; all columns pass through unchanged."""
     machine = learn(docs, labels, sample)
     columns = docs.columns
-    told = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), *_inputs(docs))
+    at = columns.index("text")
+    told = docs.select(F.struct(*[(F.col(f"`{c}`").cast("string") if c == "text" else F.col(f"`{c}`")).alias(c) for c in columns]).alias("row"), _inputs(docs)[1])
 
     def make(s, got):
         return s.select(["row"]).filter(pa.array([x >= 0.5 for x in got], pa.bool_()))
 
-    kept = _scored(told, machine, [], f"row {docs.schema.simpleString()}", make)
+    kept = _scored(told, machine, f"row {told.schema['row'].dataType.simpleString()}", make, "row", lambda s: (s.column("row").field(at), s.column("n_chars")))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in columns])
