@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +23,14 @@ UID = "_docloom_uid"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (only where that is
-    unset, as in tests) a temporary folder of this driver, remembered on the SparkContext."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where that is unset and Spark
+    runs in one process, as in tests, a temporary folder of this driver, remembered on the SparkContext."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not getattr(sc, "_docloom_shared", None):
         sc._docloom_shared = "file://" + tempfile.mkdtemp(prefix="docloom-shared-")
     return sc._docloom_shared
@@ -83,33 +87,38 @@ def trim() -> None:
         pass  # another C library
 
 
-def grouped_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[list[dict]]:
-    """Contiguous rows with equal ``keys`` of a sorted partition, as lists of column arrays."""
-    held: list[pa.RecordBatch] = []
-
-    def spans(table: pa.Table):
-        import numpy as np
+def grouped_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Contiguous rows with equal ``keys`` of a sorted partition: tables of whole runs, with their starts and
+    ends. A run over many batches is put together once."""
 
-        n = table.num_rows
-        change = np.zeros(n, dtype=bool)
-        change[0] = True
+    def changes(b: pa.RecordBatch | pa.Table) -> np.ndarray:
+        change = np.zeros(b.num_rows, dtype=bool)
         for k in keys:
-            a = table.column(k).to_numpy()
+            a = b.column(k).to_numpy()
             change[1:] |= a[1:] != a[:-1]
-        at = np.flatnonzero(change)
-        return at, np.append(at[1:], n)
+        return np.flatnonzero(change)
 
+    def whole(parts: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(parts)
+        starts = np.concatenate(([0], changes(table)))
+        return table, starts, np.append(starts[1:], table.num_rows)
+
+    held: list[pa.RecordBatch] = []
     for b in batches:
         if not b.num_rows:
             continue
-        table = pa.Table.from_batches([*held, b])
-        starts, ends = spans(table)
-        yield table, starts[:-1], ends[:-1]
-        held = table.slice(starts[-1]).combine_chunks().to_batches()
+        at = changes(b)
+        joins = bool(held) and all(held[-1].column(k)[-1] == b.column(k)[0] for k in keys)
+        if held and not joins:
+            yield whole(held)
+            held = []
+        if len(at):
+            yield whole([*held, b.slice(0, at[-1])])
+            held = [b.slice(at[-1])]
+        else:
+            held.append(b)
     if held:
-        table = pa.Table.from_batches(held)
-        starts, ends = spans(table)
-        yield table, starts, ends
+        yield whole(held)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -117,12 +126,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Returns (node, root) for every node but the roots; root is the least node of the component.
     Each round is a few shuffled joins and partial aggregates and ends in a written table; nothing
-    but a count and a checksum comes to the driver. A hot centre is split by AQE's skew join.
+    but a count and two sums of 64-bit digests comes to the driver. A hot centre is split by AQE's skew join.
     """
 
     def stamp(df):
-        r = df.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1000003)).first()
-        return r[0], r[1]
+        digest = lambda seed: F.sum(F.xxhash64("u", "v", F.lit(seed)).cast("decimal(20,0)"))
+        return tuple(df.agg(F.count("*"), digest(1), digest(2)).first())
 
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = cut(e, "edges")

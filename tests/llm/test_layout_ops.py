@@ -64,6 +64,16 @@ def test_split_budget(spark, budget, children):
     assert sum(got.values()) == min(budget, sum(cap for _, cap in children.values()))
 
 
+def test_mixing_without_weight(spark):
+    """A leaf without weight takes nothing, and what it could take goes to the rest of the tree."""
+    leaves = spark.createDataFrame([("d0", "x", "a", 100), ("d0", "x", "b", 10), ("d1", "x", "c", 1000)], "domain string, lang string, source string, tokens long")
+    plan = mixing.leaf_plan(leaves, 200, 1110, 1, {"domain": {}, "lang": {}, "source": {"a": 0}}).collect()
+    given = {r["source"]: r["full"] * {"a": 100, "b": 10, "c": 1000}[r["source"]] + r["rest"] for r in plan}
+    assert given == {"a": 0, "b": 10, "c": 190}
+    df = docs(spark, [f"tok {i} " * (i % 9) for i in range(150)])
+    same_as_sql(spark, df, weights={"domain": {"d1": 0}, "lang": {"en": 3, "(none)": 0}, "source": {"odd": -1}})
+
+
 def test_mixing_edges(spark, tmp_path):
     assert mixing.copies(empty(spark)).count() == 0 and mixing.mix(saved(empty(spark), tmp_path, "none")).count() == 0
     df = saved(docs(spark, ["a b c"] * 40, [7] * 40), tmp_path)

@@ -136,6 +136,23 @@ def test_ppm_null_ids_and_repeats(spark):
     assert len(rows) == 3 and len({r["score"] for r in rows}) == 1 and not any(r["held_out"] for r in rows if r["doc_id"] is None)
 
 
+def test_machine_learns_from_a_bounded_sample(spark):
+    """Repeated rows of a labelled id count once, and different ones only up to the bound."""
+    texts, ids = ["good text of words"] * 500 + [f"bad {i} !!" for i in range(300)], []
+    good, bad = [i for i in range(20) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    ids = [good] * 500 + [bad] * 300
+    labels = spark.createDataFrame([(good, 1), (bad, 0)], "doc_id long, quality int")
+    seen = []
+    plain = quality.fit
+    quality.fit = lambda rows, **k: seen.append(len(rows)) or plain(rows, **k)
+    try:
+        quality.learn(docs(spark, texts, ids), labels, sample=50)
+        quality.learn(docs(spark, texts, ids), labels, sample=4096)
+    finally:
+        quality.fit = plain
+    assert seen == [50, 301]
+
+
 def plain_fm(machine, ids, x):
     out = machine.bias + sum(machine.w[i] * v for i, v in zip(ids, x))
     for a in range(len(ids)):
