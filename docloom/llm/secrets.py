@@ -6,14 +6,17 @@ or more of 0-9a-f). The field tags tokens as begin, inside or outside of a secre
 their neighbours and features of the file, and Viterbi finds the best tags. Its spans are of kind ``crf``;
 one that overlaps a base span is left out, and base spans always stay.
 
-A tag other than outside can only stand in a run without white space that holds a candidate token (8 or
-more of A-Za-z0-9+/_- with a digit), and begin only on a candidate itself. That is a constraint of the
-field, not a shortcut: outside is then certain everywhere else, the chain falls apart at certain tags,
-and decoding the runs alone gives the best tags of the whole text.
-
-The field is fitted on the driver to the base spans of at most ``sample`` documents that have some and as
-many that have a candidate but none: those with the smallest md5 of the doc_id. The secrets' values are never weights of
-their own: a token's text is a feature only where it is a short lower-case word or a single sign.
+Begin can only stand on a candidate token: 6 or more of A-Za-z0-9+/_- that hold a digit, change from a small
+to a capital letter, or follow a sign (= : or a quote) or, within two words, a credential's name. That is a constraint of
+the field: outside is then certain in every run without white space that holds none, the chain falls apart
+there, and decoding the other runs alone gives the best tags of the whole text. (A word of small letters
+after neither sign nor name is no candidate.) A long run is decoded as it streams: tags are given out once all
+ways that are left agree on them, so memory does not grow with the run.
+
+The field is fitted on the driver to stretches of runs, labelled by the base spans: at most ``sample`` that hold
+one and twice as many that hold none, those with the smallest md5 of doc_id and place. A stretch ends at the first token
+outside of a secret after ``STRETCH`` tokens. Only feature numbers and tags come to the driver, no text. The secrets'
+values are never weights of their own: a token's text is a feature only where it is a short word or a single sign.
 
 Defined cases: a null text counts as empty (no spans, digest of the empty string); repeated rows are
 scanned each; a corpus without base spans adds none; offsets are code points, end exclusive; an empty table
@@ -26,7 +29,11 @@ import hashlib
 import math
 import re
 import zlib
+from array import array
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +48,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ("passw", "passwd", "secret", "token", "api_key", "apikey")
 KINDS = ("assign", "access", "hex", "crf")
 
-DIGIT = re.compile(r"[0-9]")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{8,}")
+LEAST = 6
+STRETCH = 200
+MARK = re.compile(r"[0-9]|[a-z][A-Z]")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{6,}")
+#: a sign, or a credential's name and at most one short word, before a token
+SIGNED = re.compile(r"[=:\"'`]\x20*[\"'`]?(?=[A-Za-z0-9+/_-]{6})")
+NAMED = re.compile(r"(?:passw|passphrase|passcode|pwd|secret|token|api_?key|credential|bearer|auth)[A-Za-z_]{0,12}[^A-Za-z0-9+/_-]{1,4}(?:[A-Za-z]{1,5}[^A-Za-z0-9+/_-]{1,4})?(?=[A-Za-z0-9+/_-]{6})", re.IGNORECASE)
+SPACE = re.compile(r"\s")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]+|.", re.DOTALL)
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 WIDTH = 1 << 14
@@ -69,24 +82,51 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, k, b in spans)
 
 
-def runs(text: str) -> list[tuple[int, list[tuple[int, int, bool]]]]:
-    """Of every run with a candidate: its start, and its tokens as (start, end, candidate)."""
-    out, done = [], -1
-    for m in CANDIDATE.finditer(text):
-        if m.start() < done or not DIGIT.search(m.group()):
+def candidates(text: str) -> set[int]:
+    """Starts of the tokens on which a secret may begin."""
+    found = {m.start() for m in CANDIDATE.finditer(text) if MARK.search(text, m.start(), m.end())}
+    for pattern in (SIGNED, NAMED):
+        found.update(m.end() for m in pattern.finditer(text))
+    return found
+
+
+def _word_before(text: str, at: int) -> tuple[int, str]:
+    """Start and text of the last word before ``at``; (0, "") if none."""
+    while at > 0 and text[at - 1].isspace():
+        at -= 1
+    end = at
+    while at > 0 and not text[at - 1].isspace():
+        at -= 1
+    return at, text[at:end]
+
+
+class Run:
+    """A stretch of text without white space that holds a candidate: its place, the two words before it and the one after."""
+
+    def __init__(self, text: str, start: int, end: int, begins: set[int]) -> None:
+        self.text, self.start, self.end, self.begins = text, start, end, begins
+        at, one = _word_before(text, start)
+        self.before = [_word(w) if w else "<s>" for w in (_word_before(text, at)[1], one)]
+        after = re.compile(r"\S+").search(text, end)
+        self.after = _word(after.group()) if after else "</s>"
+
+    def tokens(self):
+        """(start, end, candidate) of every token."""
+        for m in TOKEN.finditer(self.text, self.start, self.end):
+            yield m.start(), m.end(), m.start() in self.begins and m.end() - m.start() >= LEAST
+
+
+def runs(text: str):
+    begins, done = candidates(text), -1
+    for at in sorted(begins):
+        if at < done:
             continue
-        start = m.start()
+        start = at
         while start > 0 and not text[start - 1].isspace():
             start -= 1
-        tokens, at = [], start
-        for t in TOKEN.finditer(text, start):
-            if t.group().isspace():
-                break
-            tokens.append((t.start(), t.end(), t.end() - t.start() >= 8 and bool(DIGIT.search(t.group()))))
-            at = t.end()
-        done = at
-        out.append((start, tokens))
-    return out
+        stop = SPACE.search(text, at)
+        done = stop.start() if stop else len(text)
+        yield Run(text, start, done, begins)
 
 
 def _hash(name: str) -> int:
@@ -100,8 +140,13 @@ def _shape(w: str) -> str:
 
 def _word(w: str) -> str:
     """A neighbour as a feature: short words and signs by themselves, anything else by its shape."""
+    return _known_word(w) if len(w) <= 64 else _shape(w[:64])
+
+
+@lru_cache(50_000)
+def _known_word(w: str) -> str:
     low = w.lower().strip("\"'`,;()[]{}<>")
-    return low if low.isalpha() and len(low) <= 10 else _shape(w[:64])
+    return low if low.isalpha() and len(low) <= 10 else _shape(w)
 
 
 def _file(text: str) -> list[str]:
@@ -112,21 +157,37 @@ def _file(text: str) -> list[str]:
     return [f"digits{min(9, int(digits * 100))}", f"signs{min(9, int(signs * 100))}", f"length{min(20, n.bit_length())}", f"names{any(k in low for k in NAMES)}"]
 
 
-def emissions(text: str, tokens: list[tuple[int, int, bool]], file: list[str]) -> list[list[int]]:
-    """Feature ids of every token of a run."""
-    before = text[max(0, tokens[0][0] - 80) : tokens[0][0]].split()[-2:]
-    after = text[tokens[-1][1] : tokens[-1][1] + 80].split()[:1]
-    line = ["<s>", "<s>", *map(_word, before)][-2:] + [text[a:b] for a, b, _ in tokens] + [*map(_word, after), "</s>"][:1]
-    out = []
-    for i, (a, b, candidate) in enumerate(tokens, 2):
-        w = text[a:b]
-        kinds = Counter("0" if c.isdigit() else "A" if c.isupper() else "a" if c.islower() else "-" for c in w)
-        entropy = -sum(n / len(w) * math.log2(n / len(w)) for n in Counter(w).values())
-        f = ["bias", f"c{candidate}", "s" + _shape(w), f"l{min(12, len(w) // 4)}", "k" + "".join(sorted(kinds)), f"e{int(entropy * 2)}", f"x{all(c in '0123456789abcdef' for c in w)}"]
-        f += [f"d{kinds['0'] * 5 // len(w)}", f"u{w[:4]}" if w[:4].isupper() and len(w) > 8 else f"s1{_shape(w[:3])}", "p" + _word(line[i - 1]), "q" + _word(line[i - 2]), "n" + _word(line[i + 1])]
-        f += [f"pq{_word(line[i - 2])}|{_word(line[i - 1])}", f"cp{candidate}{_word(line[i - 1])}", *(f"{x}c{candidate}" for x in file)]
-        out.append([_hash(x) for x in f])
-    return out
+def _token_names(w: str, candidate: bool) -> list[str]:
+    """Features of a token by itself."""
+    kinds = Counter("0" if c.isdigit() else "A" if c.isupper() else "a" if c.islower() else "-" for c in w)
+    entropy = -sum(n / len(w) * math.log2(n / len(w)) for n in Counter(w).values())
+    f = ["bias", f"c{candidate}", "s" + _shape(w), f"l{min(12, len(w) // 4)}", "k" + "".join(sorted(kinds)), f"e{int(entropy * 2)}", f"x{all(c in '0123456789abcdef' for c in w)}"]
+    return f + [f"d{kinds['0'] * 5 // len(w)}", f"u{w[:4]}" if w[:4].isupper() and len(w) > 8 else f"s1{_shape(w[:3])}"]
+
+
+def _around_names(two: str, one: str, after: str, candidate: bool) -> list[str]:
+    """Features of the words beside a token: two before and one after it."""
+    return ["p" + one, "q" + two, "n" + after, f"pq{two}|{one}", f"cp{candidate}{one}"]
+
+
+def _line(run: Run):
+    """Of every token: its place, itself, and the words beside it. Only one token is looked ahead."""
+    two, one, held = *run.before, None
+    for a, b, candidate in run.tokens():
+        if held:
+            yield *held, _word(run.text[a:b])
+            two, one = one, _word(held[3])
+        held = a, b, candidate, run.text[a:b], two, one
+    if held:
+        yield *held, run.after
+
+
+def emissions(run: Run, file: list[str]) -> list[tuple[int, int, bool, list[int]]]:
+    """Place, candidacy and feature ids of every token of a run."""
+    return [
+        (a, b, c, [_hash(x) for x in [*_token_names(w, c), *_around_names(two, one, after, c), *(f"{x}c{c}" for x in file)]])
+        for a, b, c, w, two, one, after in _line(run)
+    ]
 
 
 def _allowed(candidate: bool) -> np.ndarray:
@@ -144,21 +205,70 @@ class Field:
     def __init__(self, weights: np.ndarray | None = None, trans: np.ndarray | None = None) -> None:
         self.weights = np.zeros((WIDTH, 3)) if weights is None else weights
         self.trans = np.zeros((3, 3)) if trans is None else trans
-
-    def potentials(self, features: list[list[int]], tokens) -> np.ndarray:
-        return np.stack([self.weights[f].sum(0) + _allowed(c) for f, (_, _, c) in zip(features, tokens)])
-
-    def viterbi(self, e: np.ndarray) -> list[int]:
-        step, back = self.trans + STEP, []
-        at = e[0] + START
-        for row in e[1:]:
-            s = at[:, None] + step
-            back.append(s.argmax(0))
-            at = s.max(0) + row
-        tags = [int(at.argmax())]
-        for b in reversed(back):
-            tags.append(int(b[tags[-1]]))
-        return tags[::-1]
+        self.held: dict[tuple, tuple] = {}
+
+    def potentials(self, features: list[list[int]], candidate: list[bool]) -> np.ndarray:
+        return np.stack([self.weights[f].sum(0) + _allowed(c) for f, c in zip(features, candidate)])
+
+    def rows(self, run: Run, file: list[str], places: array):
+        """The potentials of a run's tokens, one after another; their places are added to ``places``. Sums of a
+        token's and of its neighbours' weights are remembered."""
+        held = self.held
+        if len(held) > 50_000:
+            held.clear()
+        tuples = lambda names: tuple(self.weights[[_hash(x) for x in names]].sum(0).tolist())
+        of_file = {c: tuples([f"{x}c{c}" for x in file]) for c in (False, True)}
+        for a, b, c, w, two, one, after in _line(run):
+            own = held.get((w, c))
+            if own is None:
+                own = tuples(_token_names(w, c))
+                if len(w) <= 64:
+                    held[w, c] = own
+            near = held.get((two, one, after, c))
+            if near is None:
+                near = held[two, one, after, c] = tuples(_around_names(two, one, after, c))
+            f = of_file[c]
+            places.append(a)
+            places.append(b)
+            yield own[0] + near[0] + f[0], own[1] + near[1] + f[1] if c else -math.inf, own[2] + near[2] + f[2]
+
+    def viterbi(self, rows, block: int = 1024):
+        """The best tags of rows of potentials, given out as soon as all ways agree on them."""
+        step = (self.trans + STEP).tolist()
+        rows, back = iter(rows), bytearray()  # of each row the best ways into its tags, as one number
+        first = next(rows, None)
+        if first is None:
+            return
+        at = [x + y for x, y in zip(first, START.tolist())]
+
+        def way(tag: int) -> bytearray:
+            tags = bytearray([tag])
+            for b in reversed(back):
+                tag = b // (1, 3, 9)[tag] % 3
+                tags.append(tag)
+            tags.reverse()
+            return tags
+
+        limit = block
+        for row in rows:
+            code, now = 0, []
+            for tag in (OUTSIDE, BEGIN, INSIDE):
+                ways = [at[k] + step[k][tag] for k in (OUTSIDE, BEGIN, INSIDE)]
+                best = max(ways)
+                code += ways.index(best) * (1, 3, 9)[tag]
+                now.append(best + row[tag])
+            back.append(code)
+            at = now
+            if len(back) >= limit:
+                every = [way(tag) for tag in (OUTSIDE, BEGIN, INSIDE) if at[tag] > -math.inf]
+                agreed = next((k for k in range(len(back), -1, -1) if len({w[k] for w in every}) == 1), -1)
+                if agreed > 0:  # the tag at ``agreed`` stays, as the beginning of all ways that are left
+                    yield from every[0][:agreed]
+                    del back[:agreed]
+                    top = max(at)
+                    at = [x - top for x in at]
+                limit = max(block, 2 * len(back))
+        yield from way(at.index(max(at)))
 
     def gradient(self, e: np.ndarray, tags: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Expected minus observed: token marginals (n x 3) and pair marginals (3 x 3)."""
@@ -180,12 +290,22 @@ class Field:
         return one, pair
 
 
-def gold(text: str, tokens, spans: list[Span]) -> list[int]:
-    """Tags by the base spans' values: begin on a span's first candidate, inside after it."""
-    values = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6] + [(a, b) for a, k, b in spans if k != "assign"]
-    tags, open_ = [], -1
+def secret_values(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """Places of the base spans' values, in order."""
+    return sorted([(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST] + [(a, b) for a, k, b in spans if k != "assign"])
+
+
+def gold(tokens: list[tuple[int, int, bool]], values: list[tuple[int, int]]) -> list[int]:
+    """Tags by the secrets' values: begin on a value's first candidate, inside after it."""
+    tags, open_, k, widest = [], -1, 0, max((b - a for a, b in values), default=0)
+    starts = [a for a, _ in values]
     for a, b, candidate in tokens:
-        hit = next((v for v in values if v[0] <= a and b <= v[1]), None)
+        k = bisect_right(starts, a)
+        hit = None
+        while k > 0 and starts[k - 1] >= a - widest:
+            k -= 1
+            if values[k][0] <= a and b <= values[k][1]:
+                hit = values[k]
         if hit is None:
             open_ = -1
             tags.append(OUTSIDE)
@@ -199,21 +319,34 @@ def gold(text: str, tokens, spans: list[Span]) -> list[int]:
     return tags
 
 
-def fit(samples: list[tuple[str, list[str]]], epochs: int = 8, seed: int = 3) -> Field:
-    """Maximum likelihood with a quadratic penalty, by stochastic steps (AdaGrad), from parts of texts
-    and the features of their files."""
-    data = []
-    for text, file in samples:
-        spans = base_spans(text)
-        for _, tokens in runs(text):
-            if len(tokens) <= 200:  # longer runs are decoded, but teach nothing that short ones do not
-                data.append((emissions(text, tokens, file), tokens, gold(text, tokens, spans)))
+Stretch = tuple[list[list[int]], list[bool], list[int]]
+
+
+def stretches(text: str) -> list[tuple[int, Stretch]]:
+    """(start, (features, candidacy, tags)) of a text's runs; long ones in parts that end outside of secrets."""
+    out, values, file = [], None, None
+    for run in runs(text):
+        if file is None:
+            file, values = _file(text), secret_values(text, base_spans(text))
+        e = emissions(run, file)
+        tags = gold([x[:3] for x in e], values)
+        first = 0
+        for i, tag in enumerate(tags):
+            if i == len(tags) - 1 or (i - first >= STRETCH and tag == OUTSIDE):
+                part = e[first : i + 1]
+                out.append((part[0][0], ([x[3] for x in part], [x[2] for x in part], tags[first : i + 1])))
+                first = i + 1
+    return out
+
+
+def fit(data: list[Stretch], epochs: int = 8, seed: int = 3) -> Field:
+    """Maximum likelihood with a quadratic penalty, by stochastic steps (AdaGrad)."""
     field, rng = Field(), np.random.default_rng(seed)
     gw, gt = np.full((WIDTH, 3), 1e-2), np.full((3, 3), 1e-2)
     for _ in range(epochs):
         for i in rng.permutation(len(data)):
-            features, tokens, tags = data[i]
-            one, pair = field.gradient(field.potentials(features, tokens), tags)
+            features, candidate, tags = data[i]
+            one, pair = field.gradient(field.potentials(features, candidate), tags)
             ids, inv = np.unique(np.concatenate(features), return_inverse=True)
             g = np.zeros((len(ids), 3))
             np.add.at(g, inv, np.repeat(one, [len(f) for f in features], axis=0))
@@ -228,10 +361,15 @@ def fit(samples: list[tuple[str, list[str]]], epochs: int = 8, seed: int = 3) ->
 def crf_spans(text: str, field: Field) -> list[Span]:
     out: list[Span] = []
     file = None
-    for _, tokens in runs(text):
+    for run in runs(text):
         file = file or _file(text)
-        tags = field.viterbi(field.potentials(emissions(text, tokens, file), tokens))
-        for (a, b, _), tag in zip(tokens, tags):
+        places, k = array("q"), 0
+        for tag in field.viterbi(field.rows(run, file, places)):
+            a, b = places[k], places[k + 1]
+            k += 2
+            if k >= 1 << 16:
+                del places[:k]
+                k = 0
             if tag == BEGIN:
                 out.append((a, "crf", b))
             elif tag == INSIDE:
@@ -244,7 +382,9 @@ def spans(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
     base = base_spans(text)
     if field is None:
         return base, base
-    extra = [s for s in crf_spans(text, field) if not any(a < s[2] and s[0] < b for a, _, b in base)]
+    # base spans by start, with the furthest end so far: one that overlaps starts before a span's end and reaches beyond its start
+    starts, ends = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
+    extra = [s for s in crf_spans(text, field) if (k := bisect_left(starts, s[2])) == 0 or ends[k - 1] <= s[0]]
     return base, ordered(base + extra) if extra else base
 
 
@@ -253,48 +393,39 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 
 def learn(docs: DataFrame, sample: int = 256) -> Field | None:
-    """The field, or None without base spans. Two bounded samples come to the driver: of documents with
-    base spans and of documents with candidates alone; parts of texts around candidates, and the
-    features of the whole file."""
+    """The field, or None without base spans. Two bounded samples of stretches come to the driver, as numbers."""
 
     def run(batches):
         for b in batches:
             for s in slices(b, "text"):
-                ids, parts, files, kinds = [], [], [], []
+                rows = []
                 for i, t in zip(s.column("doc_id").to_pylist(), s.column("text").to_pylist()):
-                    found = runs(t) if t and DIGIT.search(t) else []
-                    if found:
-                        some = base_spans(t)
-                        at = some[0][0] if some else found[0][0]
-                        ids.append(i)
-                        parts.append(t[max(0, at - 500) : at + 1000])
-                        files.append(_file(t))
-                        kinds.append(bool(some))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.string()), pa.array(files, pa.list_(pa.string())), pa.array(kinds, pa.bool_())], names=["doc_id", "part", "file", "has"])
-
-    parts = arrow_map(_narrow(docs), run, "doc_id long, part string, file array<string>, has boolean")
-    h = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("has").cast("string")).cast("binary"))
-    rows = parts.select("has", h.alias("h"), "part", "file")
-
+                    for at, (features, candidate, tags) in stretches(t or ""):
+                        h = hashlib.md5(f"{'' if i is None else i}:{at}".encode()).hexdigest()
+                        flat = np.array([x for f in features for x in f], "<i4")
+                        rows.append((h, any(tags), flat.tobytes(), np.array([len(f) for f in features], "<i4").tobytes(), np.array(candidate, "u1").tobytes(), np.array(tags, "u1").tobytes()))
+                kinds = (pa.string(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["h", "has", "ids", "sizes", "candidate", "tags"])
+
+    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     total = docs.count()
-
-    def first(kind: DataFrame, n: int) -> list:
-        """The n rows with the smallest digests. Every task would send its own n, so digests are first held
-        under a bound that n rows in 64 n fall below; should that be too few, all rows take part. The rows
-        are written before they are collected, so that tasks' firsts meet in a shuffle, not on the driver."""
-        share = min(1.0, 64 * n / max(1, total))
-        for bound in dict.fromkeys((share, 1.0)):
-            some = kind if bound == 1.0 else kind.where(F.col("h") < format(int(bound * 2**32), "08x"))
-            found = cut(some.orderBy("h", "part").limit(n), "secret-sample").orderBy("h", "part").collect()
-            if len(found) == n or bound == 1.0:
-                break
-        return found
-
-    got = first(rows, 8 * sample)  # both kinds in one pass
-    chosen = [[(r["part"], r["file"]) for r in got if r["has"] == kind][:sample] for kind in (True, False)]
-    if len(chosen[0]) < sample and len(got) == 8 * sample:
-        chosen[0] = [(r["part"], r["file"]) for r in first(rows.where("has"), sample)]
-    return fit(chosen[0] + chosen[1]) if chosen[0] else None
+    # documents are held under a bound of their digest that 64 * sample of them fall below; should they not have enough secrets, all take part
+    share = min(1.0, 64 * sample / max(1, total))
+    for bound in dict.fromkeys((share, 1.0)):
+        some = _narrow(docs)
+        if bound < 1.0:
+            some = some.where(digest < format(int(bound * 2**32), "08x"))
+        rows = cut(arrow_map(some, run, "h string, has boolean, ids binary, sizes binary, candidate binary, tags binary"), "secret-stretches")
+        got = [r for kind, n in (("has", sample), ("not has", 2 * sample)) for r in rows.where(kind).orderBy("h", "ids", "tags").limit(n).collect()]
+        if sum(r["has"] for r in got) >= sample // 2:
+            break
+    if not any(r["has"] for r in got):
+        return None
+    data = []
+    for r in got:
+        ids, edge = np.frombuffer(r["ids"], "<i4"), np.cumsum(np.frombuffer(r["sizes"], "<i4"))
+        data.append(([x.tolist() for x in np.split(ids, edge[:-1])], [bool(x) for x in r["candidate"]], list(r["tags"])))
+    return fit(data)
 
 
 def find(docs: DataFrame, sample: int = 256) -> DataFrame:

@@ -247,7 +247,29 @@ def test_viterbi_is_the_best_path():
         e = rng.normal(size=(n, 3))
         step = field.trans + secrets.STEP
         value = lambda tags: e[0][tags[0]] + secrets.START[tags[0]] + sum(step[a, b] + e[i + 1][b] for i, (a, b) in enumerate(zip(tags, tags[1:])))  # noqa: E731, B023
-        assert math.isclose(value(field.viterbi(e)), max(map(value, product(range(3), repeat=n))))
+        assert math.isclose(value(list(field.viterbi(e.tolist()))), max(map(value, product(range(3), repeat=n))))
+
+
+def test_viterbi_in_blocks():
+    """Tags given out early are those of the whole chain."""
+    rng = np.random.default_rng(6)
+    for scale in (0.5, 3):
+        field = secrets.Field(trans=rng.normal(size=(3, 3)))
+        e = (rng.normal(size=(3000, 3)) * scale).tolist()
+        assert list(field.viterbi(e, block=16)) == list(field.viterbi(e, block=10**6))
+
+
+def test_secrets_in_a_long_run(spark):
+    """A text of a megabyte without white space is decoded in one stream, and its secrets are found."""
+    import resource
+
+    key = "0123456789abcdef" * 2
+    text = "".join(f'"k{i % 50}":{i % 7},' for i in range(90_000)) + f'"token":"{key}"' + "x=y;" * 20_000
+    field = secrets.fit([x for _, x in secrets.stretches(f'a token = "{key}" b {{"n":12,"m":"{key[::-1]}"}}')])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    base, both = secrets.spans(text, field)
+    assert {k for _, k, _ in base} == {"assign", "hex"} and set(base) <= set(both)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 100_000
 
 
 def test_field_gradient():
@@ -262,7 +284,7 @@ def test_field_finds_what_patterns_miss():
     rng = np.random.default_rng(5)
     token = lambda n: "".join(rng.choice(list("abcdef0123456789"), n))
     samples = [f"some plain words here token = \"{token(40)}\" and more words" for _ in range(60)] + [f"call me at 555{rng.integers(10**7)} or 4111{rng.integers(10**12):012d} any day" for _ in range(60)]
-    field = secrets.fit([(t, secrets._file(t)) for t in samples])
+    field = secrets.fit([x for t in samples for _, x in secrets.stretches(t)])
     assert secrets.crf_spans("call me at 5551234567 or tomorrow", field) == []
     text = f"nothing here token = \"{token(12).upper()}{token(28)}\" nothing"
     base, both = secrets.spans(text, field)
@@ -270,3 +292,35 @@ def test_field_finds_what_patterns_miss():
     secret = token(9) + "XYZ" + token(22)
     found = secrets.crf_spans(f"and words token = \"{secret}\" end", field)
     assert [f"and words token = \"{secret}\" end"[a:b] for a, _, b in found] == [secret]
+
+
+def test_field_takes_secrets_of_letters_and_short_ones():
+    """Secrets of letters alone or of six characters, which base patterns know only after their own names."""
+    rng = np.random.default_rng(8)
+    letters = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"), n))
+    samples = [f"we know that the password: {letters(rng.integers(6, 20))} was used here" for _ in range(80)] + [f"he said: \"something {w}\" about McDonald or iPhone7 and more" for w in ("plain", "other", "simple") * 20]
+    field = secrets.fit([x for t in samples for _, x in secrets.stretches(t)])
+    for text, secret in (("we know that the pwd: CorrectHorseBattery was used here", "CorrectHorseBattery"), ("that the passphrase: aXbYcZ was used", "aXbYcZ")):
+        assert secrets.base_spans(text) == [] and [text[a:b] for a, _, b in secrets.crf_spans(text, field)] == [secret]
+    assert secrets.crf_spans("he said: \"something plain\" about McDonald or iPhone7 and more", field) == []
+
+
+def test_field_on_a_driver_table(spark):
+    """Left to itself the field finds the secrets of documents that it has not learned from, and hardly anything else;
+    where the name before a secret is taken away, so that the pattern for it misses, it adds the span."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    field = secrets.learn(rows.where("doc_id % 2 = 0"))
+    right = wrong = missed = added = cut = 0
+    for r in rows.where("doc_id % 2 = 1").collect():
+        text = r["text"] or ""
+        values = set(secrets.secret_values(text, secrets.base_spans(text)))
+        found = {(a, b) for a, _, b in secrets.crf_spans(text, field)}
+        right, wrong, missed = right + len(found & values), wrong + len(found - values), missed + len(values - found)
+        for a, k, b in secrets.base_spans(text):
+            if k == "assign":
+                cut += 1
+                other = text[:a] + "tokem" + text[a + 5 : b - 20] + text[b - 20 : b].upper() + text[b:]  # no name, no hex
+                base, both = secrets.spans(other, field)
+                added += any(k == "crf" and x < b and a < y for x, k, y in both)
+    print("field:", right, wrong, missed, added, cut)
+    assert right + missed > 50 and right / (right + wrong) >= 0.95 and right / (right + missed) >= 0.9 and added / cut >= 0.5
