@@ -52,12 +52,21 @@ def sweep(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Spark removes the shuffle files of a query when it has ended
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` as Parquet in the shared folder and reads it again: cuts the lineage with
-    files that outlive any executor, unlike a local checkpoint."""
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes ``df`` as Parquet in the shared folder and reads it again: cuts the lineage with files that
+    outlive any executor, unlike a local checkpoint. Once they are there, the query's shuffle files have no more use."""
+    spark = df.sparkSession
+    path, before = new_path(spark, label), spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -526,23 +526,61 @@ def _gram_answers(costs: DataFrame, requests: DataFrame) -> DataFrame:
     return arrow_map(left.union(right).repartition("shard").sortWithinPartitions("shard", "kind"), run, "chunk long, shard int, keys binary, cost binary")
 
 
-def _corrections(misses: DataFrame, grams: DataFrame) -> DataFrame:
-    """(chunk, shard, idx, more): what excluding the long context's symbols adds to the cost of a miss.
+def exclusion(gram: np.ndarray, seen: np.ndarray, of: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """What leaving out the symbols of the long context adds to the log10 cost of each miss (``gram``; its symbols are
+    those of ``seen`` where ``of`` has its number, ascending). ``grams`` (sorted) and ``counts`` are the training texts'.
 
     The cost of its gram was computed without; exclusion at order ORDER changes the total there, and the
     number of symbols that an escape is shared among, or leaves that order out if no symbol is left."""
-    trained = grams.where("n > 0")
-    total = trained.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    own = misses.select("chunk", "shard", "idx", "gram", F.shiftright("gram", 8).alias("context"), F.size("seen").alias("gone"), "seen")
-    spent = (
-        own.select("chunk", "shard", "idx", F.explode(F.transform("seen", lambda x: F.shiftleft("context", 8) + x)).alias("gram")).join(trained, "gram")
-        .groupBy("chunk", "shard", "idx").agg(F.sum("n").alias("spent"))
+    context = gram >> U8(8)
+    low, high = np.searchsorted(grams, context << U8(8)), np.searchsorted(grams, (context << U8(8)) | U8(255), "right")
+    sums = np.concatenate(([0], np.cumsum(counts)))
+    total, kinds = (sums[high] - sums[low]).astype("f8"), (high - low).astype("f8")
+    gone = np.bincount(of, minlength=len(gram))
+    spent = np.bincount(of, counts[np.searchsorted(grams, (context[of] << U8(8)) | seen.astype("u8"))], len(gram))
+    hit = grams[np.minimum(np.searchsorted(grams, gram), len(grams) - 1)] == gram
+    less = total / np.maximum(total - spent, 1)
+    return np.log10(np.where(hit, less, np.where(kinds > gone, less * np.maximum(kinds - gone, 1) / kinds, 2 * total / kinds)))
+
+
+def _corrections(misses: DataFrame, grams: DataFrame, most: int = 500_000) -> DataFrame:
+    """(chunk, shard, idx, more) of all misses, by ``exclusion``. Misses are dealt by their context's last two bytes; where
+    more than ``most`` have the same, they are dealt over several tasks, each with the grams of those bytes."""
+    pair = F.shiftright("gram", 8 * (ORDER - 1)).cast("int")
+    told = misses.select(pair.alias("pair"), "gram", "chunk", "shard", "idx", "seen")
+    many = told.groupBy("pair").agg(F.ceil(F.count("*") / most).cast("int").alias("k")).collect()  # at most 256 x 256 rows
+    parts = misses.sparkSession.createDataFrame([(r["pair"], r["k"]) for r in many], "pair int, k int")
+    left = (
+        grams.where("n > 0").select(pair.alias("pair"), "gram", "n").join(F.broadcast(parts), "pair").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        .select("pair", "part", F.lit(0).alias("kind"), "gram", "n", F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("int").alias("shard"), F.lit(None).cast("int").alias("idx"), F.lit(None).cast("array<int>").alias("seen"))
     )
-    known = trained.select("gram", F.lit(True).alias("hit"))
-    all_of = own.drop("seen").join(total, "context").join(spent, ["chunk", "shard", "idx"]).join(known, "gram", "left")
-    less = F.col("total") / (F.col("total") - F.col("spent"))
-    factor = F.when(F.col("hit"), less).when(F.col("kinds") > F.col("gone"), less * (F.col("kinds") - F.col("gone")) / F.col("kinds")).otherwise(2 * F.col("total") / F.col("kinds"))
-    return all_of.select("chunk", "shard", "idx", F.log10(factor).alias("more"))
+    right = told.join(F.broadcast(parts), "pair").select("pair", F.pmod(F.xxhash64("chunk", "shard", "idx"), F.col("k")).cast("int"), F.lit(1), "gram", F.lit(None).cast("long"), "chunk", "shard", "idx", "seen")
+
+    def run(batches):
+        key, held, ready = None, [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            k = np.stack([b.column(c).to_numpy().astype("i8") for c in ("pair", "part", "kind")], axis=1)
+            edges = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(1))))
+            for i, j in zip(edges.tolist(), [*edges[1:].tolist(), b.num_rows]):
+                part = b.slice(i, j - i)
+                if tuple(k[i, :2]) != key:
+                    key, held, ready = tuple(k[i, :2]), [], None
+                if k[i, 2] == 0:
+                    held.append((part.column("gram").to_numpy(), part.column("n").to_numpy()))
+                    continue
+                if ready is None:
+                    g, n = (np.concatenate(x) for x in zip(*held))
+                    by = np.argsort(g)
+                    ready = g[by].view("u8"), n[by]
+                seen = part.column("seen")
+                more = exclusion(part.column("gram").to_numpy().view("u8"), seen.flatten().to_numpy(), np.repeat(np.arange(part.num_rows), pc.list_value_length(seen).to_numpy()), *ready)
+                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("shard"), part.column("idx"), pa.array(more)], names=["chunk", "shard", "idx", "more"])
+        trim()
+
+    dealt = left.union(right).repartition("pair", "part").sortWithinPartitions("pair", "part", "kind")
+    return arrow_map(dealt, run, "chunk long, shard int, idx int, more double")
 
 
 def _word_requests(table: DataFrame, shards: int) -> DataFrame:
