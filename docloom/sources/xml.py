@@ -8,6 +8,7 @@ does not parse becomes a problem row instead of ending the run.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
@@ -245,9 +246,14 @@ def metadata_of(root, parent: dict, format_id: str | None) -> dict:
 class Shredder:
     """Blocks and relations of one document, in document order."""
 
-    def __init__(self, root, doc_id: str, format_id: str | None) -> None:
-        self.root, self.doc_id, self.format_id = root, doc_id, format_id
+    def __init__(self, root, doc_id: str, format_id: str | None, lineage: bool = True) -> None:
+        self.root, self.doc_id, self.format_id, self.lineage = root, doc_id, format_id, lineage
         self.parent = {c: p for p in root.iter() for c in p}
+        self.steps: dict = {}  # of elements whose children were asked for: each child's step of a path
+        self.paths: dict = {}
+        self.applic: dict[str, object] = {}
+        for a in root.iter("applic"):
+            self.applic.setdefault(a.get("id"), a)
         self.rules = C.content_rules(format_id) if format_id else {}
         self.blocks: list[dict] = []
         self.relations: list[dict] = []
@@ -257,19 +263,33 @@ class Shredder:
         self.count += 1
         return f"{self.doc_id}-{self.count:06d}"
 
+    def step_of(self, el) -> str:
+        """An element's step of a path; an index only among siblings of the same tag. Siblings are counted once."""
+        up = self.parent.get(el)
+        if up is None:
+            return el.tag
+        if up not in self.steps:
+            many, nth, steps = Counter(c.tag for c in up), Counter(), {}
+            for c in up:
+                nth[c.tag] += 1
+                steps[c] = c.tag if many[c.tag] == 1 else f"{c.tag}[{nth[c.tag]}]"
+            self.steps[up] = steps
+        return self.steps[up][el]
+
     def path(self, el) -> str:
-        """Absolute path; an index only among siblings of the same tag."""
-        parts = []
-        while el is not None:
-            up = self.parent.get(el)
-            same = [x for x in up if x.tag == el.tag] if up is not None else [el]
-            parts.append(el.tag if len(same) == 1 else f"{el.tag}[{next(i for i, x in enumerate(same, 1) if x is el)}]")
-            el = up
-        return "/" + "/".join(reversed(parts))
+        """Absolute path; an ancestor's is made once."""
+        way = []
+        while el is not None and el not in self.paths:
+            way.append(el)
+            el = self.parent.get(el)
+        found = self.paths[el] if el is not None else ""
+        for x in reversed(way):
+            found = self.paths[x] = f"{found}/{self.step_of(x)}"
+        return found
 
     def block(self, kind: str, text: str, el=None, **more) -> dict:
         b = {"page": 1, "block_type": kind, "text": text, "confidence": 1.0, "level": S.PARAGRAPH_LEVEL, "context_path": [], "parent_id": None, "block_id": more.pop("block_id", None) or self.new_id(), **more}
-        if el is not None:  # the fragment keeps the text after the element's end
+        if el is not None and self.lineage:  # the fragment keeps the text after the element's end
             b |= {"source_xpath": self.path(el), "source_element_name": el.tag, "xml_fragment": ET.tostring(el, encoding="unicode")}
         return b
 
@@ -392,7 +412,7 @@ class Shredder:
             text = " ".join(filter(None, texts)).strip()
             if ref := el.get("applicRefId"):
                 held["applicRefId"] = ref
-                found = next((a for a in self.root.iter("applic") if a.get("id") == ref), None)
+                found = self.applic.get(ref)
                 if found is not None:
                     held["applicTree"] = applic_tree(found)
             if text or nested or any(v for v in held.values() if isinstance(v, list)):
@@ -411,16 +431,30 @@ def _person(x: dict) -> dict:
     return {k: x.get(k) for k in ("name", "entityType", "role", "affiliation", "organizationType")}
 
 
-def parse(path: str, doc_id: str, data: bytes) -> dict:
+#: what a document is taken apart into; lineage is the blocks' paths, element names and fragments
+PARTS = ("blocks", "lineage", "relations", "metadata")
+
+
+def parse(path: str, doc_id: str, data: bytes, parts: tuple[str, ...] = PARTS) -> dict:
     row: dict = {"path": path, "doc_id": doc_id, "format": None, "error": None, "blocks": [], "relations": [], "metadata": None}
     try:
         root = ET.fromstring(data)
     except (ET.ParseError, ValueError) as e:
         return row | {"error": str(e)}
     fmt = C.detect(root.tag)
-    shredder = Shredder(root, doc_id, fmt)
-    shredder.run()
-    meta = metadata_of(root, shredder.parent, fmt)
+    row["format"] = fmt or "generic"
+    shredder = Shredder(root, doc_id, fmt, "lineage" in parts)
+    if "blocks" in parts or "relations" in parts:
+        shredder.run()
+        for i, b in enumerate(shredder.blocks, 1):
+            b["pos"] = i
+        row |= {k: getattr(shredder, k) for k in ("blocks", "relations") if k in parts}
+    if "metadata" in parts:
+        row["metadata"] = _metadata_row(metadata_of(root, shredder.parent, fmt))
+    return row
+
+
+def _metadata_row(meta: dict) -> dict:
     for k in ("dc_creator", "dc_contributor", "dc_publisher"):
         if meta.get(k):
             meta[k] = [_person(x) for x in meta[k]]
@@ -429,13 +463,12 @@ def parse(path: str, doc_id: str, data: bytes) -> dict:
     for k in ("dc_date", "dc_rights"):
         if meta.get(k) is not None:
             meta[k] = {a: str(b) for a, b in meta[k].items() if b is not None} or None
-    for i, b in enumerate(shredder.blocks, 1):
-        b["pos"] = i
-    return row | {"format": fmt or "generic", "blocks": shredder.blocks, "relations": shredder.relations, "metadata": {n: meta.get(n) for n in META_FIELDS}}
+    return {n: meta.get(n) for n in META_FIELDS}
 
 
-def shred(files: DataFrame) -> DataFrame:
-    """files (path, doc_id, content: binary) -> one row a document: format, error, blocks, relations, metadata."""
+def shred(files: DataFrame, parts: tuple[str, ...] = PARTS) -> DataFrame:
+    """files (path, doc_id, content: binary) -> one row a document: format, error, blocks, relations, metadata.
+    Only ``parts`` are made; a Python stage does not see which of its columns are read, so it must be told."""
 
     ship(files.sparkSession)
 
@@ -448,7 +481,7 @@ def shred(files: DataFrame) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 500):  # documents are expanded a few at a time
                 part = b.slice(at, 500)
-                rows = [parse(p, d, c) for p, d, c in zip(*(part.column(n).to_pylist() for n in ("path", "doc_id", "content")))]
+                rows = [parse(p, d, c, parts) for p, d, c in zip(*(part.column(n).to_pylist() for n in ("path", "doc_id", "content")))]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return files.select("path", F.col("doc_id").cast("string").alias("doc_id"), F.col("content").cast("binary").alias("content")).mapInArrow(run, PARSED)
