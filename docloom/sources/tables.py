@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -14,3 +18,22 @@ def spread(rows: DataFrame, key: str) -> DataFrame:
     what follows is heavy per row. A table of many splits is left alone, so nothing large is shuffled for it."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where that is unset and Spark
+    runs in one process, as in tests, a temporary folder of this driver, remembered on the SparkContext."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if not getattr(sc, "_docloom_shared", None):
+        sc._docloom_shared = "file://" + tempfile.mkdtemp(prefix="docloom-shared-")
+    return sc._docloom_shared
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A folder of this application's own in the shared one."""
+    return f"{shared_dir(spark)}/docloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

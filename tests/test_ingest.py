@@ -176,6 +176,48 @@ def test_incremental_is_idempotent(spark, folder, tmp_path):
     assert store.read("ssot_docs").count() == 3
 
 
+def test_upsert_rewrites_only_its_buckets(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s", buckets=8)
+    rows = lambda lo, hi, v: spark.range(lo, hi).select("id", F.lit(v).alias("v"))
+    store.upsert("t", rows(0, 100, 1), ["id"], ["v"])
+    before = store._commit("t")["parts"]
+    store.upsert("t", rows(5, 6, 2), ["id"], ["v"])
+    after = store._commit("t")["parts"]
+    assert sum(before[b] != after[b] for b in after) == 1 and set(before) == set(after)
+    assert {r["id"]: r["v"] for r in store.read("t").collect()} == {i: 2 if i == 5 else 1 for i in range(100)}
+    for v in range(3, 8):
+        store.upsert("t", rows(5, 6, v), ["id"], ["v"])
+    assert len(store._numbers("t")) == 2 and store.read("t").count() == 100
+    store.upsert("t", rows(0, 0, 1), ["id"], ["v"])
+    assert store.read("t").count() == 100
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    """A writer that finds its number taken starts again on what the other one wrote."""
+    one, two = (Store(spark, f"file://{tmp_path}/s", buckets=2) for _ in range(2))
+    rows = lambda k: spark.createDataFrame([(k, 1)], "k string, v long")
+    one.upsert("t", rows("a"), ["k"], ["v"])
+    plain, between = one._put, []
+
+    def late(table, commit, number):
+        if not between:
+            between.append(1)
+            two.upsert("t", rows("b"), ["k"], ["v"])
+        return plain(table, commit, number)
+
+    one._put = late
+    one.upsert("t", rows("c"), ["k"], ["v"])
+    assert {r["k"] for r in two.read("t").collect()} == {"a", "b", "c"}
+
+
+def test_problems_of_all_batches_stay(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s")
+    bad = lambda name: spark.createDataFrame([(f"/{name}", name, b"<broken")], "path string, doc_id string, content binary")
+    for name in ("a", "b", "b"):
+        pipeline.ingest(spark, bad(name), "2024-01-01T00:00:00Z", target=store)
+    assert sorted(r["instance"] for r in store.read("problems").where("type = 'xml-syntax'").collect()) == ["a", "b"]
+
+
 def test_upsert_last_wins(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}/s")
     rows = lambda *x: spark.createDataFrame(list(x), "k string, v int")
