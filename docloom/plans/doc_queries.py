@@ -54,36 +54,28 @@ def info_code_type(spark, sf_dir):
     return parsed_modules(spark, sf_dir).withColumns(X.attributes_at(F.col("xml"), at)).select("o_orderkey", X.info_code_type(F.col("a")).alias("doc_type"))
 
 
-def shredded(spark, sf_dir):
+def shredded(spark, sf_dir, *parts: str):
     m = modules(spark, sf_dir).select(F.lit("").alias("path"), F.col("o_orderkey").cast("string").alias("doc_id"), F.encode("xml", "utf-8").alias("content"))
-    return xml.shred(spread(m, "doc_id"))
+    return xml.shred(spread(m, "doc_id"), parts or xml.PARTS)
 
 
 def xml_shred_roundtrip(spark, sf_dir):
     """Blocks of every module: their kinds, levels, paths and parents."""
-    b = xml.blocks(shredded(spark, sf_dir))
+    b = xml.blocks(shredded(spark, sf_dir, "blocks", "lineage"))
     return b.select(F.col("doc_id").cast("long").alias("o_orderkey"), F.col("pos").cast("int").alias("pos"), "block_type", "text", "level", F.array_join("context_path", "/").alias("path"), F.col("parent_id").isNotNull().alias("has_parent"), "section_label", "source_xpath")
 
 
 def xml_metadata(spark, sf_dir):
-    m = xml.metadata(shredded(spark, sf_dir))
+    m = xml.metadata(shredded(spark, sf_dir, "metadata"))
     return m.select(F.col("doc_id").cast("long").alias("o_orderkey"), "dc_title", "dc_type", F.col("dc_identifier")[0]["value"].alias("identifier"), F.col("dc_date")["issued"].alias("issued"), F.col("dc_rights")["accessRights"].alias("access_rights"))
 
 
 def step_suppression(spark, sf_dir):
     """Steps per module and what hangs on their section: an empty step leaves its note to the section."""
-    b = xml.blocks(shredded(spark, sf_dir))
+    b = xml.blocks(shredded(spark, sf_dir, "blocks"))
     return b.groupBy(F.col("doc_id").cast("long").alias("o_orderkey")).agg(F.count_if(F.col("block_type") == "procedureStep").alias("steps"), F.count_if((F.col("block_type") == "note") & F.col("parent_id").endswith("-000002")).alias("notes_of_section"))
 
 
-def applic_join(spark, sf_dir):
-    """Steps with the first applicability of their reference in document order."""
-    li = load(spark, sf_dir, "lineitem").where("l_orderkey % 20 = 0")
-    steps = li.select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit("app-"), F.col("l_linenumber") % 5).alias("applic_ref"), "l_partkey")
-    trees = li.groupBy(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit("app-"), F.col("l_suppkey") % 5).alias("applic_ref")).agg(F.min_by("l_returnflag", F.struct("l_partkey", "l_returnflag")).alias("tree"))
-    return steps.join(trees, ["doc_id", "applic_ref"], "left").select("doc_id", "applic_ref", "l_partkey", "tree")
-
-
 def catalog_detect(spark, sf_dir):
     """Page tags against the catalogs' parts; the first format by priority wins."""
     tags = load(spark, sf_dir, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("html"), F.lit("<([a-z0-9]+)"), F.lit(1)))).alias("tag"))
@@ -184,13 +176,6 @@ def doc_assemble(spark, sf_dir):
     return r.select("documentId", F.col("metadata.`dc:title`").alias("title"), F.col("metadata.`dc:type`").alias("type"), F.col("metadata.`dc:language`").alias("language"), F.col("provenance.validationStatus").alias("status"), F.size("content").cast("long").alias("n_blocks"))
 
 
-def fragment_lookup(spark, sf_dir):
-    d = load(spark, sf_dir, "documents")
-    stored = d.where("doc_id % 3 = 0").select(T.fragment_key(F.concat(F.lit("doc:"), F.col("doc_id"), F.lit("/é"))).alias("fragment_key"), F.col("source").alias("xml_fragment"))
-    asked = d.select("doc_id", T.fragment_key(F.concat(F.lit("doc:"), F.col("doc_id"), F.lit("/é"))).alias("fragment_key"))
-    return asked.join(stored, "fragment_key", "left").select("doc_id", "fragment_key", "xml_fragment")
-
-
 def json_props(spark, sf_dir):
     e = load(spark, sf_dir, "events")
     return e.select("event_id", F.try_variant_get(F.parse_json("props"), "$.k", "long").alias("k"))
@@ -219,23 +204,6 @@ def problem_summary(spark, sf_dir):
     return p.groupBy("problem_type", F.col("error.target").alias("target"), F.col("error.errorClass").alias("error_class")).agg(F.count("*").alias("n"))
 
 
-def doc_store_upsert(spark, sf_dir):
-    o = load(spark, sf_dir, "orders")
-    return store.last_wins(o.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], [F.col("o_orderkey")])
-
-
-def ingest_summary(spark, sf_dir):
-    """Counts of the whole path over modules: documents, blocks, terms mined, promoted and refused."""
-    parsed = shredded(spark, sf_dir)
-    b = xml.blocks(parsed)
-    d = parsed.agg(F.count("*").alias("documents"), F.count_if(F.col("error").isNotNull()).alias("failed"))
-    n = b.agg(F.count("*").alias("blocks"))
-    chunks = terms.first_chunk(b).agg(F.count("*").alias("chunks"))
-    t = validate.promotion(merged(spark, sf_dir)).agg(F.count_if(F.col("problem_type").isNull()).alias("promoted"), F.count_if(F.col("problem_type").isNotNull()).alias("refused"))
-    one = lambda df: df.withColumn("_one", F.lit(1))
-    return one(d).join(one(n), "_one").join(one(chunks), "_one").join(one(t), "_one").drop("_one")
-
-
 _DMC = """concat('DMC-M', o_custkey, '-A-', substring(o_orderpriority, 1, 1), '0-', o_orderkey % 9, '0-00-00AA-', CASE o_orderkey % 3 WHEN 0 THEN '040' WHEN 1 THEN '520' ELSE '999' END, 'A-A', CASE WHEN o_orderkey % 2 = 0 THEN '_001-00' ELSE '' END)"""
 _TYPE = "CASE WHEN o_orderkey % 3 = 0 THEN 'TechnicalReport' ELSE 'Procedure' END"
 _ACCESS = "CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 4 = 0 THEN 'restricted' ELSE 'public' END"
@@ -252,8 +220,6 @@ SQL = {
         UNION ALL SELECT o_orderkey, 4, 'procedureStep', concat('Step of ', o_orderstatus), 2, head, true, NULL, {_HEAD}/proceduralStep[1]' FROM s UNION ALL SELECT o_orderkey, 5, 'note', 'Only a note', 999, head, true, NULL, {_HEAD}/proceduralStep[2]/note' FROM s""",
     "xml_metadata": f"SELECT o_orderkey, concat('Order ', o_orderkey, ' - ', o_orderpriority) AS dc_title, {_TYPE} AS dc_type, {_DMC} AS identifier, strftime(o_orderdate, '%Y-%m-%d') AS issued, {_ACCESS} AS access_rights FROM orders",
     "step_suppression": "SELECT o_orderkey, CAST(1 AS BIGINT) AS steps, CAST(1 AS BIGINT) AS notes_of_section FROM orders",
-    "applic_join": """WITH l AS (SELECT * FROM lineitem WHERE l_orderkey % 20 = 0), t AS (SELECT l_orderkey AS doc_id, concat('app-', l_suppkey % 5) AS applic_ref, arg_min(l_returnflag, (l_partkey, l_returnflag)) AS tree FROM l GROUP BY ALL)
-        SELECT l_orderkey AS doc_id, concat('app-', l_linenumber % 5) AS applic_ref, l_partkey, tree FROM l LEFT JOIN t ON t.doc_id = l_orderkey AND t.applic_ref = concat('app-', l_linenumber % 5)""",
     "catalog_detect": """WITH t AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(lower(html), '<([a-z0-9]+)', 1)) AS tag FROM pages), r AS (SELECT * FROM (VALUES (0, 's1000d', 'dmodule'), (1, 'jats', 'article'), (1, 'jats', 'pm')) AS v(priority, format, part))
         SELECT page_id, tag, arg_min(format, priority) AS format FROM t JOIN r ON contains(tag, part) GROUP BY ALL""",
     "html_blocks": r"""WITH f AS (SELECT page_id, regexp_extract_all(html, '<((?:p|h1|li)[^>]*>[^<]*)', 1) AS hits FROM pages), u AS (SELECT page_id, unnest(hits) AS hit, generate_subscripts(hits, 1) - 1 AS pos FROM f)
@@ -283,7 +249,6 @@ SQL = {
     "metadata_override": "SELECT d.doc_id, CASE WHEN quality = 1 THEN concat('t', d.doc_id) ELSE source END AS dc_title, lang AS dc_language, 'draft' AS doc_status FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id",
     "doc_assemble": """SELECT CAST(d.doc_id AS VARCHAR) AS "documentId", CASE WHEN quality = 1 THEN source ELSE 'Unknown title (from PDF)' END AS title, CASE WHEN toxic = 1 THEN 'Other' ELSE 'TechnicalReport' END AS type, CASE WHEN d.doc_id % 2 = 0 THEN lang ELSE 'ko' END AS language,
         CASE d.doc_id % 3 WHEN 0 THEN 'partial' WHEN 1 THEN 'validated' ELSE 'draft' END AS status, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_blocks FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
-    "fragment_lookup": "SELECT doc_id, concat('doc_', doc_id, '_é') AS fragment_key, CASE WHEN doc_id % 3 = 0 THEN source END AS xml_fragment FROM documents",
     "json_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "json_records": """SELECT concat('{"n_nationkey":"', n_nationkey, '","n_name":"', CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE '' END, '"}') AS record FROM nation""",
     "flatten_columns": "SELECT s_suppkey AS s_s_suppkey, s_name AS s_who_s_name, s_nationkey AS s_who_s_nationkey FROM supplier",
@@ -292,14 +257,11 @@ SQL = {
     "problem_summary": _CHECKED + """, e AS (SELECT 'term-missing-fields' AS problem_type, 'definition_en' AS target, 'user_input' AS error_class FROM p WHERE missing
         UNION ALL SELECT 'term-schema-validation', 'definition_en', 'system_bug' FROM p WHERE NOT missing AND e1 UNION ALL SELECT 'term-schema-validation', 'definition_ko', 'system_bug' FROM p WHERE NOT missing AND e2
         UNION ALL SELECT 'term-schema-validation', 'domain[0]', 'system_bug' FROM p WHERE NOT missing AND e3) SELECT problem_type, target, error_class, count(*) AS n FROM e GROUP BY ALL""",
-    "doc_store_upsert": "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1",
-    "ingest_summary": _CHECKED + """ SELECT (SELECT count(*) FROM orders) AS documents, CAST(0 AS BIGINT) AS failed, (SELECT 5 * count(*) FROM orders) AS blocks,
-        (SELECT count(*) FROM orders WHERE length(concat('Order ', o_orderkey, ' - ', o_orderpriority)) > 20) AS chunks, CAST(count_if(NOT missing AND bad = 0) AS BIGINT) AS promoted, CAST(count_if(missing OR bad > 0) AS BIGINT) AS refused FROM p""",
 }
 QUERIES = {
     f.__name__: f
     for f in (
-        dmc_assemble, date_from_attrs, security_rights, info_code_type, xml_shred_roundtrip, xml_metadata, step_suppression, applic_join, catalog_detect, html_blocks, relation_edges, relation_vocab, structured_keys, content_mapping,
-        layout_types, author_names, contributor_route, role_accumulate, metadata_two_track, metadata_override, doc_assemble, fragment_lookup, json_props, json_records, flatten_columns, schema_errors, problem_summary, doc_store_upsert, ingest_summary,
+        dmc_assemble, date_from_attrs, security_rights, info_code_type, xml_shred_roundtrip, xml_metadata, step_suppression, catalog_detect, html_blocks, relation_edges, relation_vocab, structured_keys, content_mapping,
+        layout_types, author_names, contributor_route, role_accumulate, metadata_two_track, metadata_override, doc_assemble, json_props, json_records, flatten_columns, schema_errors, problem_summary,
     )
 }

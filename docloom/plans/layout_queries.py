@@ -21,8 +21,10 @@ BLOCKS = """
 LABELLED = """SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 4 = 0 THEN p_name WHEN l_suppkey % 4 = 1 THEN concat(CAST(l_linenumber AS VARCHAR(9)), '.', CAST(l_suppkey % 10 AS VARCHAR(9)), ' ', p_name)
     WHEN l_suppkey % 4 = 2 THEN concat('appendix C  ', p_name) ELSE concat(CAST(l_linenumber AS VARCHAR(9)), '. ', p_name) END AS text FROM {lineitem} JOIN {part} ON l_partkey = p_partkey"""
 TURNS = """SELECT CAST(conv_id AS BIGINT) AS doc_id, CAST(turn AS BIGINT) AS pos, CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 ELSE CASE WHEN turn % 3 = 0 THEN 999 ELSE 2 END END AS level, text, role FROM {conversations}"""
-BOXES = """SELECT CAST(l_orderkey % 50 AS BIGINT) AS doc_id, CAST(1 + l_linenumber % 4 AS INT) AS page, l_partkey, CAST(l_partkey % 500 AS DOUBLE) AS x0, CAST(l_partkey % 500 + 20 AS DOUBLE) AS x1, CAST(l_suppkey % 97 * 8 AS DOUBLE) AS y0, CAST(l_suppkey % 97 * 8 + 6 AS DOUBLE) AS y1,
-    CASE WHEN l_quantity < 10 THEN 'abcd' ELSE 'text of a box' END AS text, l_returnflag FROM {lineitem} WHERE l_orderkey % 10 = 0"""
+# boxes of the lines of 256 order keys a document (of one, for supplement_sort)
+BOXES = """SELECT CAST(floor(l_orderkey / 256.0) AS BIGINT) AS doc_id, CAST(1 + l_linenumber % 4 AS INT) AS page, l_partkey, CAST(l_partkey % 500 AS DOUBLE) AS x0, CAST(l_partkey % 500 + 20 AS DOUBLE) AS x1, CAST(l_suppkey % 97 * 8 AS DOUBLE) AS y0, CAST(l_suppkey % 97 * 8 + 6 AS DOUBLE) AS y1,
+    CASE WHEN l_quantity < 10 THEN 'abcd' ELSE 'text of a box' END AS text, l_returnflag FROM {lineitem}"""
+ORDER_BOXES = BOXES.replace("floor(l_orderkey / 256.0)", "l_orderkey")
 
 
 def section_label(spark, sf_dir):
@@ -73,7 +75,7 @@ def document_identifiers(spark, sf_dir):
 
 
 def scanned_route(spark, sf_dir):
-    pages = load(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "lang").alias("doc_id"), F.col("doc_id").alias("page"), F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 60)).otherwise("").alias("text"))
+    pages = load(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "lang").alias("doc_id"), F.col("doc_id").alias("page"), F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise("").alias("text"))
     return layout.source_route(pages, F.col("page") % 11 == 0, True).select("doc_id", F.round("chars_per_page", 6).alias("chars_per_page"), "route")
 
 
@@ -120,7 +122,7 @@ def equation_flag(spark, sf_dir):
 
 def _equation_turns(spark, sf_dir) -> DataFrame:
     t = turns(spark, sf_dir)
-    text = F.when(F.col("pos") % 4 == 1, F.concat(F.lit("N = C / S ("), F.col("pos").cast("string"), F.lit(".1)"))).when(F.col("pos") % 4 == 0, F.concat(F.substring("text", 1, 40), F.lit(" given by"))).when(F.col("pos") % 4 == 2, F.concat(F.lit("where "), F.substring("text", 1, 150))).otherwise(F.substring("text", 1, 60))
+    text = F.when(F.col("pos") % 4 == 1, F.concat(F.lit("N = C / S ("), F.col("pos").cast("string"), F.lit(".1)"))).when(F.col("pos") % 4 == 0, F.concat("text", F.lit(" given by"))).when(F.col("pos") % 4 == 2, F.concat(F.lit("where "), "text")).otherwise(F.col("text"))
     return t.select("doc_id", "pos", F.lit("paragraph").alias("block_type"), text.alias("text"))
 
 
@@ -135,9 +137,9 @@ def overlap_anti(spark, sf_dir):
 
 
 def supplement_sort(spark, sf_dir):
-    b = derive(spark, sf_dir, BOXES, "lineitem").where("x0 < 100")
-    have = b.where("l_returnflag = 'A' AND doc_id % 2 = 0").groupBy("doc_id", "page", "x0", "y0").agg((F.min("l_partkey") * 10000 + F.col("page") * 1000 + F.col("y0")).cast("long").alias("pos")).withColumn("text", F.lit("a paragraph")).withColumn("block_type", F.lit("paragraph"))
-    extra = b.where("l_returnflag = 'R' AND doc_id % 4 = 0").groupBy("doc_id", "page", "x0", "y0").agg((F.min("l_partkey") * 10000 + F.col("page") * 1000 + F.col("y0")).cast("long").alias("pos")).withColumn("text", F.concat(F.lit("a = b  c ("), F.col("pos").cast("string"), F.lit(".2)")))
+    b = derive(spark, sf_dir, ORDER_BOXES, "lineitem")
+    have = b.where("l_returnflag <> 'R'").groupBy("doc_id", "page", "x0", "y0").agg((F.min("l_partkey") * 10000 + F.col("page") * 1000 + F.col("y0")).cast("long").alias("pos")).withColumn("text", F.lit("a paragraph")).withColumn("block_type", F.lit("paragraph"))
+    extra = b.where("l_returnflag = 'R'").groupBy("doc_id", "page", "x0", "y0").agg((F.min("l_partkey") * 10000 + F.col("page") * 1000 + F.col("y0")).cast("long").alias("pos")).withColumn("text", F.concat(F.lit("a = b  c ("), F.col("pos").cast("string"), F.lit(".2)")))
     out = equations.supplement(have, extra.select("doc_id", "page", "x0", "y0", "pos", "text"))
     return out.select("doc_id", F.col("pos").cast("long").alias("pos"), "page", "y0", "block_type", F.col("equation_data.latex").alias("latex"), F.col("equation_data.equationNumber").alias("number"))
 
@@ -184,7 +186,7 @@ SQL = {
             FROM b WHERE page = 1 OR y0 < page_height * 0.1 OR y1 > page_height * 0.9), u AS (SELECT doc_id, value, min(pos * 1000 + i) AS k FROM f GROUP BY ALL)
         SELECT doc_id, count(*) AS n, string_agg(value, ',' ORDER BY k) AS ids FROM u GROUP BY doc_id""",
     "document_identifiers": """WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][A-Z0-9]{1,}[-/][A-Z0-9][-A-Z0-9/.-]*')) AS value FROM documents) SELECT doc_id, value, count(*) AS n FROM f GROUP BY ALL""",
-    "scanned_route": """WITH p AS (SELECT concat_ws('/', source, lang) AS d, doc_id AS page, CASE WHEN doc_id % 3 = 0 THEN left(text, 60) ELSE '' END AS text FROM documents),
+    "scanned_route": """WITH p AS (SELECT concat_ws('/', source, lang) AS d, doc_id AS page, CASE WHEN doc_id % 3 = 0 THEN text ELSE '' END AS text FROM documents),
         g AS (SELECT d AS doc_id, sum(length(text)) / count(DISTINCT page) AS per, bool_or(page % 11 = 0) AS s FROM p GROUP BY d) SELECT doc_id, round(per, 6) AS chars_per_page, CASE WHEN per < 50 THEN 'vision' WHEN s THEN 'structural' ELSE 'layout' END AS route FROM g""",
     "frontmatter_prune": """SELECT conv_id, turn AS page FROM conversations QUALIFY turn <= 4 OR turn > max(turn) OVER (PARTITION BY conv_id) - 2""",
     "language_detect": """WITH t AS (SELECT doc_id, text AS raw, CASE WHEN doc_id % 4 = 0 THEN translate(text, 'aeiou', '가나다라마') ELSE text END AS x FROM documents),
@@ -203,7 +205,7 @@ SQL = {
     "equation_flag": r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
         c AS (SELECT *, length(line) - length(regexp_replace(line, '[∑∫√±αβγδεζηθικλμνξοπρστυφχψωΔΓΘΛΞΠΣΦΨΩ=+*/<>≤≥≈≠-]', '', 'g')) AS n FROM l WHERE line <> '')
         SELECT doc_id, CAST(pos AS INT) AS pos, regexp_matches(trim(line), '\(\d+(\.\d+)*\)$') OR (length(line) > 3 AND (n >= 3 OR n / length(line) > 0.1)) AS is_equation, CAST(n AS INT) AS signs FROM c""",
-    "equation_context": rf"""WITH t AS ({_TURNS}), x AS (SELECT doc_id, pos, trim(CASE pos % 4 WHEN 1 THEN concat('N = C / S (', pos, '.1)') WHEN 0 THEN concat(left(text, 40), ' given by') WHEN 2 THEN concat('where ', left(text, 150)) ELSE left(text, 60) END, ' ' || chr(10)) AS s FROM t),
+    "equation_context": rf"""WITH t AS ({_TURNS}), x AS (SELECT doc_id, pos, trim(CASE pos % 4 WHEN 1 THEN concat('N = C / S (', pos, '.1)') WHEN 0 THEN concat(text, ' given by') WHEN 2 THEN concat('where ', text) ELSE text END, ' ' || chr(10)) AS s FROM t),
         n AS (SELECT *, lower(coalesce(lag(s) OVER w, '')) AS p, lower(coalesce(lead(s) OVER w, '')) AS q, length(s) - length(regexp_replace(s, '[∑∫√±αβγδεζηθικλμνξοπρστυφχψωΔΓΘΛΞΠΣΦΨΩ=+*/<>≤≥≈≠-]', '', 'g')) AS g, contains(s, '=') AS eq FROM x WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
         k AS (SELECT *, CASE WHEN length(s) < 100 THEN 1 ELSE 0 END + CASE WHEN regexp_matches(s, '\(\d+(\.\d+)*[a-zA-Z]?\)\s*$') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(p, '(where|given by|defined as|as follows|expressed as|is|equation|equation:|식|다음과 같다)$') THEN 2 ELSE 0 END
             + CASE WHEN regexp_matches(q, '^(where|from|in which|here|여기서)') THEN 1 ELSE 0 END + CASE WHEN regexp_matches(concat(p, ' ', q), '\b(eq\.|eqs\.|equation|수식)\b') THEN 1 ELSE 0 END + CASE WHEN eq OR g >= 2 THEN 2 ELSE 0 END
@@ -212,8 +214,8 @@ SQL = {
         SELECT doc_id, pos, CASE WHEN score >= 3 AND s <> '' THEN 'equation' ELSE 'paragraph' END AS block_type, CASE WHEN score >= 3 AND s <> '' THEN regexp_extract(s, '\((\d+(\.\d+)*[a-zA-Z]?)\)\s*$', 1) END AS number FROM k""",
     "overlap_anti": f"""WITH b AS ({duck(BOXES)}), r AS (SELECT *, CASE WHEN 800 - y1 < 0 OR 800 - y0 < 0 THEN y0 ELSE 800 - y1 END - 5 AS a, CASE WHEN 800 - y1 < 0 OR 800 - y0 < 0 THEN y1 ELSE 800 - y0 END + 5 AS z FROM b WHERE l_returnflag <> 'R' AND length(text) >= 5)
         SELECT doc_id, page, l_partkey, x0, y0 FROM b WHERE l_returnflag = 'R' AND NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = b.doc_id AND r.page = b.page AND NOT (b.x1 < r.x0 - 5 OR b.x0 > r.x1 + 5 OR b.y1 < r.a OR b.y0 > r.z))""",
-    "supplement_sort": f"""WITH b AS (SELECT * FROM ({duck(BOXES)}) WHERE x0 < 100), h AS (SELECT doc_id, page, x0, y0, min(l_partkey) AS p, 0 AS new FROM b WHERE l_returnflag = 'A' AND doc_id % 2 = 0 GROUP BY ALL),
-        e AS (SELECT doc_id, page, x0, y0, min(l_partkey) AS p, 1 AS new FROM b WHERE l_returnflag = 'R' AND doc_id % 4 = 0 GROUP BY ALL), u AS (SELECT *, CAST(p * 10000 + page * 1000 + y0 AS BIGINT) AS pos FROM (SELECT * FROM h UNION ALL SELECT * FROM e)), g AS (SELECT *, max(new) OVER (PARTITION BY doc_id) AS any_new FROM u)
+    "supplement_sort": f"""WITH b AS ({duck(ORDER_BOXES)}), h AS (SELECT doc_id, page, x0, y0, min(l_partkey) AS p, 0 AS new FROM b WHERE l_returnflag <> 'R' GROUP BY ALL),
+        e AS (SELECT doc_id, page, x0, y0, min(l_partkey) AS p, 1 AS new FROM b WHERE l_returnflag = 'R' GROUP BY ALL), u AS (SELECT *, CAST(p * 10000 + page * 1000 + y0 AS BIGINT) AS pos FROM (SELECT * FROM h UNION ALL SELECT * FROM e)), g AS (SELECT *, max(new) OVER (PARTITION BY doc_id) AS any_new FROM u)
         SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN any_new > 0 THEN page END, CASE WHEN any_new > 0 THEN y0 END, new, pos) AS pos, page, y0, CASE WHEN new = 1 THEN 'equation' ELSE 'paragraph' END AS block_type,
             CASE WHEN new = 1 THEN 'a = b c' END AS latex, CASE WHEN new = 1 THEN concat(g.pos, '.2') END AS number FROM g""",
 }
