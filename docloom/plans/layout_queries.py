@@ -145,7 +145,7 @@ def supplement_sort(spark, sf_dir):
 
 
 def inline_eq_split(spark, sf_dir):
-    """Pieces of paragraphs with equations in them; without SQL, held against a plain version in tests."""
+    """Pieces of paragraphs with equations in them."""
     t = derive(spark, sf_dir, LABELLED, "lineitem", "part")
     text = F.concat(F.lit("The life of "), F.col("text"), F.lit(" is given by N = C / "), F.col("l_orderkey").cast("string"), F.lit(" ("), F.col("l_linenumber").cast("string"), F.lit(".1) and then more text as S = 2 ("), F.col("l_linenumber").cast("string"), F.lit("). End"))
     b = t.select("l_orderkey", "l_linenumber", F.lit("paragraph").alias("block_type"), F.when(F.col("l_linenumber") % 3 == 0, F.col("text")).otherwise(text).alias("text"))
@@ -218,6 +218,10 @@ SQL = {
         e AS (SELECT doc_id, page, x0, y0, min(l_partkey) AS p, 1 AS new FROM b WHERE l_returnflag = 'R' GROUP BY ALL), u AS (SELECT *, CAST(p * 10000 + page * 1000 + y0 AS BIGINT) AS pos FROM (SELECT * FROM h UNION ALL SELECT * FROM e)), g AS (SELECT *, max(new) OVER (PARTITION BY doc_id) AS any_new FROM u)
         SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN any_new > 0 THEN page END, CASE WHEN any_new > 0 THEN y0 END, new, pos) AS pos, page, y0, CASE WHEN new = 1 THEN 'equation' ELSE 'paragraph' END AS block_type,
             CASE WHEN new = 1 THEN 'a = b c' END AS latex, CASE WHEN new = 1 THEN concat(g.pos, '.2') END AS number FROM g""",
+    "inline_eq_split": f"""WITH t AS ({duck(LABELLED)}), w AS (SELECT * FROM t WHERE l_linenumber % 3 <> 0)
+        SELECT l_orderkey, l_linenumber, 'paragraph' AS block_type, text, CAST(0 AS INT) AS part, NULL AS number FROM t WHERE l_linenumber % 3 = 0
+        UNION ALL SELECT l_orderkey, l_linenumber, 'paragraph', concat('The life of ', text, ' is given by'), 0, NULL FROM w UNION ALL SELECT l_orderkey, l_linenumber, 'equation', concat('N = C / ', l_orderkey), 1, concat(l_linenumber, '.1') FROM w
+        UNION ALL SELECT l_orderkey, l_linenumber, 'equation', 'and then more text as S = 2', 2, CAST(l_linenumber AS VARCHAR) FROM w UNION ALL SELECT l_orderkey, l_linenumber, 'paragraph', '. End', 3, NULL FROM w""",
 }
 QUERIES = {
     f.__name__: f

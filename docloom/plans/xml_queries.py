@@ -166,5 +166,8 @@ SQL = {
         SELECT event_id, split_part(x, '|', 1) AS target, split_part(x, '|', 2) AS validator FROM k WHERE x IS NOT NULL""",
     "doc_store_upsert": """SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'O' DESC, o_orderkey DESC) = 1""",
     "fragment_lookup": "SELECT doc_id, concat('doc:', doc_id, '/é') AS block_id, CASE WHEN doc_id % 3 = 0 THEN source END AS xml_fragment FROM documents",
+    # a record each of 5 blocks; the one term that stands for no model's answer is never promoted
+    "ingest_summary": """SELECT count(*) FILTER (o_orderkey % 10 <> 1) AS documents, CAST(0 AS BIGINT) AS promoted_terms, count(*) FILTER (o_orderkey % 10 = 1) + 1 AS problems, count(*) FILTER (o_orderkey % 10 <> 1) AS stored,
+        5 * count(*) FILTER (o_orderkey % 10 <> 1) AS stored_blocks, count(*) FILTER (o_orderkey % 10 = 1) AS broken FROM orders""",
 }
 QUERIES = {f.__name__: f for f in (article_blocks, article_relations, applic_join, module_steps, generic_blocks, record_errors, doc_store_upsert, fragment_lookup, ingest_summary)}

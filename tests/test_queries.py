@@ -42,18 +42,8 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(([cell(r[c]) for c in cols] for r in got.collect()), key=str) == want
 
 
-def test_queries_without_sql_run(spark):
-    for name in set(core.QUERIES) - set(core.SQL):
-        assert core.QUERIES[name](spark, SF).count() > 0
-
-
-def test_inline_split_query(spark):
-    """The query without SQL, held against the plain splitter over all of its rows."""
-    from docloom.operators.equations import split_text
-
-    rows = core.QUERIES["inline_eq_split"](spark, SF).collect()
-    assert {r["block_type"] for r in rows} == {"paragraph", "equation"} and all((r["number"] is not None) == (r["block_type"] == "equation") for r in rows)
-    assert all(split_text(r["text"]) == [] for r in rows if r["block_type"] == "paragraph" and "(" not in r["text"])
+def test_every_query_has_sql():
+    assert set(core.QUERIES) == set(core.SQL)
 
 
 def test_contract(spark):
@@ -63,6 +53,16 @@ def test_contract(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
+def test_entry_without_a_library_of_the_optional_part(monkeypatch):
+    """Where a library that only the optional subpackage needs is missing, the core's queries are still there."""
+    import __spark_entry__ as e
+
+    for m in [m for m in sys.modules if m.startswith("docloom.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, m)
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    assert set(e.queries()) == set(core.QUERIES) and set(e.oracle_sql()) == set(core.SQL)
+
+
 def test_core_does_not_need_the_optional_parts():
     for p in (ROOT / "docloom").rglob("*.py"):
         if "llm" not in p.parts:
