@@ -150,7 +150,7 @@ def role_accumulate(spark, sf_dir):
 
 
 def metadata_two_track(spark, sf_dir):
-    d = load(spark, sf_dir, "documents")
+    d = spread(load(spark, sf_dir, "documents"), "doc_id")
     rules = d.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 20)).alias("title"), F.when(F.col("doc_id") % 4 == 0, F.array(F.struct(F.lit("DOCKET").alias("scheme"), F.lit("NUREG/CR-1").alias("value")))).alias("identifier"), T.language(F.col("text")).alias("language"))
     l = load(spark, sf_dir, "labels")
     model = l.select(
@@ -193,7 +193,7 @@ def flatten_columns(spark, sf_dir):
 
 def schema_errors(spark, sf_dir):
     """Errors of content items, one row each."""
-    e = load(spark, sf_dir, "events")
+    e = spread(load(spark, sf_dir, "events"), "event_id")
     b = e.select("event_id", F.when(F.col("event_id") % 5 == 0, None).otherwise(F.concat(F.lit("b"), F.col("event_id"))).alias("blockId"), F.when(F.col("event_id") % 2 == 0, "paragraph").otherwise(F.col("event_type")).alias("blockType"), F.when(F.col("event_id") % 7 == 0, None).otherwise(F.col("props")).alias("text"))
     x = b.select("event_id", F.explode(validate.errors(validate.BLOCK_RULES, "DOC_SCHEMA_VALIDATION_FAILED")).alias("e"))
     return x.select("event_id", F.col("e.target").alias("target"), F.col("e.validator").alias("validator"), F.col("e.code").alias("code"))
