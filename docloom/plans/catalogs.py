@@ -42,8 +42,8 @@ FORMATS = {
 }
 
 
-def content_rules(format_id: str) -> dict[str, dict]:
-    return {tag: rule for rule in FORMATS[format_id]["content"] for tag in rule["tag"]}
+def content_rules(format_id: str, formats: dict | None = None) -> dict[str, dict]:
+    return {tag: rule for rule in (formats or FORMATS)[format_id]["content"] for tag in rule["tag"]}
 
 
 def from_yaml(text: str) -> tuple[str, dict] | None:

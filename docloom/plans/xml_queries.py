@@ -11,7 +11,7 @@ from ..operators import validate
 from ..operators.store import Store
 from ..sources import xml
 from ..sources.tables import load, new_path, spread
-from . import pipeline
+from . import catalogs, pipeline
 from .doc_queries import modules
 
 
@@ -107,6 +107,51 @@ def record_errors(spark, sf_dir):
     return out.select("event_id", F.col("e.target").alias("target"), F.col("e.validator").alias("validator"))
 
 
+#: a user's catalog, as they would write it
+MANUAL = """
+format_id: manual
+detect: {root_tag_contains: [manual]}
+metadata:
+  dc_title: {xpath: .//name, combine_with: .//maker, separator: " / "}
+  dc_subject: {xpath: .//tags, split_by: ","}
+  dc_language: {xpath: .//lang, truncate: 2}
+  dc_description: [{xpath: .//grade, attribute: code, template: "Grade {value}"}, {xpath: .//brand, join_separator: " | "}]
+  dc_rights: {xpath: .//access, dumb_down: {S: {accessRights: restricted}, _default: {accessRights: public}}}
+  dc_contributor: {xpath: .//maker, role: reviewer, entity_type: person}
+  dc_identifier: [{xpath: .//id, scheme: DOI}, {static: fixed}]
+  dc_coverage: {xpath: .//place}
+content:
+  mappings: [{tag: hint, block_type: note, prefix: "Hint: "}, {tag: [danger], block_type_from_tag: true, prefix_template: "[{TAG}]"}]
+"""
+
+
+def _manuals(spark, sf_dir, *parts: str) -> DataFrame:
+    p = load(spark, sf_dir, "part")
+    key = _str("p_partkey")
+    body = _text(
+        "<manual><name>", F.col("p_name"), "</name><maker>", F.col("p_type"), "</maker><tags>", F.regexp_replace("p_name", " ", " , "), "</tags><lang>", F.when(F.col("p_partkey") % 2 == 0, "ENG").otherwise("de-DE"), '</lang><grade code="', _str("p_size"), '"/><brand>', F.col("p_brand"),
+        "</brand><access>", F.when(F.col("p_partkey") % 3 == 0, "S").otherwise("T"), "</access><id>", key, "</id><place>Hall ", _str("p_size"), "</place><content><hint>Look at ", key, "</hint><danger>Hot</danger></content></manual>",
+    )
+    formats = dict([catalogs.from_yaml(MANUAL), *catalogs.FORMATS.items()])
+    return xml.shred(_files(p.select(F.col("p_partkey").alias("l_orderkey"), body.alias("xml"))), parts, formats)
+
+
+def rule_options(spark, sf_dir):
+    """Every option of metadata rules, by a catalog that comes as YAML (TRE9, SRC9, UDF2)."""
+    m = xml.metadata(_manuals(spark, sf_dir, "metadata"))
+    ids = F.array_join(F.transform("dc_identifier", lambda x: F.concat_ws(":", x["scheme"], x["value"])), ",")
+    return m.select(
+        F.col("doc_id").cast("long").alias("p_partkey"), "dc_title", F.array_join("dc_subject", "|").alias("subjects"), "dc_language", "dc_description", F.col("dc_rights")["accessRights"].alias("access"),
+        F.concat_ws(":", F.col("dc_contributor")[0]["name"], F.col("dc_contributor")[0]["role"], F.col("dc_contributor")[0]["entityType"]).alias("contributor"), ids.alias("ids"), "dc_coverage",
+    )
+
+
+def prefixed_blocks(spark, sf_dir):
+    """Prefixes of block rules (TRE12), by the same catalog."""
+    b = xml.blocks(_manuals(spark, sf_dir, "blocks"))
+    return b.where("block_type <> 'title'").select(F.col("doc_id").cast("long").alias("p_partkey"), "block_type", "text")
+
+
 def _store(spark, label: str) -> Store:
     return Store(spark, new_path(spark, label), buckets=4)
 
@@ -164,10 +209,13 @@ SQL = {
             CASE WHEN event_id % 6 = 0 THEN 'relations[0].relationType|oneOf' END, CASE WHEN event_id % 7 = 0 THEN 'relations[0].confidence|maximum' END, CASE WHEN event_id % 8 = 0 THEN 'documentId|pattern' END, CASE WHEN event_id % 9 = 0 THEN 'version|pattern' END,
             CASE WHEN event_id % 10 = 0 THEN 'metadata.dc:title|minLength' END, CASE WHEN event_id % 11 = 0 THEN 'metadata|required' END, CASE WHEN event_id % 13 = 0 THEN '<record>|additionalProperties' END]) AS x FROM events)
         SELECT event_id, split_part(x, '|', 1) AS target, split_part(x, '|', 2) AS validator FROM k WHERE x IS NOT NULL""",
+    "rule_options": """SELECT p_partkey, concat(p_name, ' / ', p_type) AS dc_title, replace(p_name, ' ', '|') AS subjects, CASE WHEN p_partkey % 2 = 0 THEN 'en' ELSE 'de' END AS dc_language, concat('Grade ', p_size, ' | ', p_brand) AS dc_description,
+        CASE WHEN p_partkey % 3 = 0 THEN 'restricted' ELSE 'public' END AS access, concat(p_type, ':reviewer:person') AS contributor, concat('DOI:', p_partkey, ',URI:fixed') AS ids, concat('{"spatialCoverage": "Hall ', p_size, '"}') AS dc_coverage FROM part""",
+    "prefixed_blocks": "SELECT p_partkey, 'note' AS block_type, concat('Hint: Look at ', p_partkey) AS text FROM part UNION ALL SELECT p_partkey, 'danger', '[DANGER] Hot' FROM part",
     "doc_store_upsert": """SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'O' DESC, o_orderkey DESC) = 1""",
     "fragment_lookup": "SELECT doc_id, concat('doc:', doc_id, '/é') AS block_id, CASE WHEN doc_id % 3 = 0 THEN source END AS xml_fragment FROM documents",
     # a record each of 5 blocks; the one term that stands for no model's answer is never promoted
     "ingest_summary": """SELECT count(*) FILTER (o_orderkey % 10 <> 1) AS documents, CAST(0 AS BIGINT) AS promoted_terms, count(*) FILTER (o_orderkey % 10 = 1) + 1 AS problems, count(*) FILTER (o_orderkey % 10 <> 1) AS stored,
         5 * count(*) FILTER (o_orderkey % 10 <> 1) AS stored_blocks, count(*) FILTER (o_orderkey % 10 = 1) AS broken FROM orders""",
 }
-QUERIES = {f.__name__: f for f in (article_blocks, article_relations, applic_join, module_steps, generic_blocks, record_errors, doc_store_upsert, fragment_lookup, ingest_summary)}
+QUERIES = {f.__name__: f for f in (article_blocks, article_relations, applic_join, module_steps, generic_blocks, record_errors, rule_options, prefixed_blocks, doc_store_upsert, fragment_lookup, ingest_summary)}

@@ -10,12 +10,13 @@ from ..functions.text import stable_id
 GLOB = "*.{pdf,PDF,xml,XML}"
 
 
-def scan(spark: SparkSession, folder: str, glob: str = GLOB, recursive: bool = False) -> DataFrame:
-    """path, doc_id (of path and content), suffix, content of the matching files; order is a sort away and is
-    not paid for unless asked for."""
+def scan(spark: SparkSession, folder: str, glob: str = GLOB, recursive: bool = False, ordered: bool = False) -> DataFrame:
+    """path, doc_id (of path and content), suffix, content of the matching files; by path if ``ordered``, which
+    is a sort of all and not paid for unless asked for."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(folder)
     suffix = F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))
-    return files.select("path", stable_id("DOC_", F.col("path"), F.sha2("content", 256)).alias("doc_id"), suffix.alias("suffix"), "content")
+    found = files.select("path", stable_id("DOC_", F.col("path"), F.sha2("content", 256)).alias("doc_id"), suffix.alias("suffix"), "content")
+    return found.orderBy("path") if ordered else found
 
 
 def media_problems(uploads: DataFrame, accepted: tuple[str, ...] = ("application/pdf",)) -> tuple[DataFrame, DataFrame]:

@@ -231,11 +231,11 @@ class Rules:
         return out
 
 
-def metadata_of(root, parent: dict, format_id: str | None) -> dict:
+def metadata_of(root, parent: dict, format_id: str | None, formats: dict = C.FORMATS) -> dict:
     rules = Rules(root, parent)
     base = rules.apply(C.BASE)
     if format_id:
-        own = rules.apply(C.FORMATS[format_id]["metadata"])
+        own = rules.apply(formats[format_id]["metadata"])
         base |= {k: v for k, v in own.items() if v and k != "doc_status"}
     return base
 
@@ -246,15 +246,15 @@ def metadata_of(root, parent: dict, format_id: str | None) -> dict:
 class Shredder:
     """Blocks and relations of one document, in document order."""
 
-    def __init__(self, root, doc_id: str, format_id: str | None, lineage: bool = True) -> None:
-        self.root, self.doc_id, self.format_id, self.lineage = root, doc_id, format_id, lineage
+    def __init__(self, root, doc_id: str, format_id: str | None, lineage: bool = True, formats: dict = C.FORMATS) -> None:
+        self.root, self.doc_id, self.format_id, self.lineage, self.formats = root, doc_id, format_id, lineage, formats
         self.parent = {c: p for p in root.iter() for c in p}
         self.steps: dict = {}  # of elements whose children were asked for: each child's step of a path
         self.paths: dict = {}
         self.applic: dict[str, object] = {}
         for a in root.iter("applic"):
             self.applic.setdefault(a.get("id"), a)
-        self.rules = C.content_rules(format_id) if format_id else {}
+        self.rules = C.content_rules(format_id, formats) if format_id else {}
         self.blocks: list[dict] = []
         self.relations: list[dict] = []
         self.count = 0
@@ -301,7 +301,7 @@ class Shredder:
             text = text_of(self.root)
             self.blocks += [self.block("paragraph", text)] if text else []
             return
-        catalog = C.FORMATS[self.format_id]
+        catalog = self.formats[self.format_id]
         self.title(catalog)
         for rule in catalog["relations"]:
             for el in self.root.findall(rule["xpath"]):
@@ -435,22 +435,22 @@ def _person(x: dict) -> dict:
 PARTS = ("blocks", "lineage", "relations", "metadata")
 
 
-def parse(path: str, doc_id: str, data: bytes, parts: tuple[str, ...] = PARTS) -> dict:
+def parse(path: str, doc_id: str, data: bytes, parts: tuple[str, ...] = PARTS, formats: dict = C.FORMATS) -> dict:
     row: dict = {"path": path, "doc_id": doc_id, "format": None, "error": None, "blocks": [], "relations": [], "metadata": None}
     try:
         root = ET.fromstring(data)
     except (ET.ParseError, ValueError) as e:
         return row | {"error": str(e)}
-    fmt = C.detect(root.tag)
+    fmt = C.detect(root.tag, formats)
     row["format"] = fmt or "generic"
-    shredder = Shredder(root, doc_id, fmt, "lineage" in parts)
+    shredder = Shredder(root, doc_id, fmt, "lineage" in parts, formats)
     if "blocks" in parts or "relations" in parts:
         shredder.run()
         for i, b in enumerate(shredder.blocks, 1):
             b["pos"] = i
         row |= {k: getattr(shredder, k) for k in ("blocks", "relations") if k in parts}
     if "metadata" in parts:
-        row["metadata"] = _metadata_row(metadata_of(root, shredder.parent, fmt))
+        row["metadata"] = _metadata_row(metadata_of(root, shredder.parent, fmt, formats))
     return row
 
 
@@ -466,9 +466,10 @@ def _metadata_row(meta: dict) -> dict:
     return {n: meta.get(n) for n in META_FIELDS}
 
 
-def shred(files: DataFrame, parts: tuple[str, ...] = PARTS) -> DataFrame:
+def shred(files: DataFrame, parts: tuple[str, ...] = PARTS, formats: dict = C.FORMATS) -> DataFrame:
     """files (path, doc_id, content: binary) -> one row a document: format, error, blocks, relations, metadata.
-    Only ``parts`` are made; a Python stage does not see which of its columns are read, so it must be told."""
+    Only ``parts`` are made; a Python stage does not see which of its columns are read, so it must be told.
+    ``formats`` are the catalogs by name, those of a user (catalogs.from_yaml) among them."""
 
     ship(files.sparkSession)
 
@@ -481,7 +482,7 @@ def shred(files: DataFrame, parts: tuple[str, ...] = PARTS) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 500):  # documents are expanded a few at a time
                 part = b.slice(at, 500)
-                rows = [parse(p, d, c, parts) for p, d, c in zip(*(part.column(n).to_pylist() for n in ("path", "doc_id", "content")))]
+                rows = [parse(p, d, c, parts, formats) for p, d, c in zip(*(part.column(n).to_pylist() for n in ("path", "doc_id", "content")))]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return files.select("path", F.col("doc_id").cast("string").alias("doc_id"), F.col("content").cast("binary").alias("content")).mapInArrow(run, PARSED)

@@ -239,6 +239,8 @@ def test_media_gate_records_and_flatten(spark):
 def test_scan_takes_four_globs(spark, folder):
     assert sorted(r["suffix"] for r in files.scan(spark, f"file://{folder}").collect()) == ["xml"] * 3
     assert files.scan(spark, f"file://{folder}").select("doc_id").distinct().count() == 3
+    paths = [r["path"] for r in files.scan(spark, f"file://{folder}", ordered=True).collect()]
+    assert paths == sorted(paths)
 
 
 def test_equation_text(spark):
