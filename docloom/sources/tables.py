@@ -13,11 +13,12 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
+def spread(rows: DataFrame, key: str | None = None) -> DataFrame:
     """rows over all cores where the scan has fewer splits than there are: one small file is one split, and
-    what follows is heavy per row. A table of many splits is left alone, so nothing large is shuffled for it."""
+    what follows is heavy per row. That moves the table once, whatever its size, but a table of more splits than cores is
+    left alone. Rows are dealt in turn, not by ``key``, so a repeated key is no heavy task."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def shared_dir(spark: SparkSession) -> str:
