@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -13,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from ..sources.tables import load, spread
+from ..sources.tables import load, new_path, shared_dir, spread
 
 __all__ = ["UID", "WORD_RE", "arrow_map", "components", "cut", "grouped_runs", "load", "new_path", "own_dir", "shared_dir", "ship", "slices", "spread", "sweep", "trim"]
 
@@ -22,29 +19,11 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 UID = "_docloom_uid"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where that is unset and Spark
-    runs in one process, as in tests, a temporary folder of this driver, remembered on the SparkContext."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not re.fullmatch(r"local(\[.*\])?", sc.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    if not getattr(sc, "_docloom_shared", None):
-        sc._docloom_shared = "file://" + tempfile.mkdtemp(prefix="docloom-shared-")
-    return sc._docloom_shared
-
-
 def own_dir(spark: SparkSession) -> str:
     """This application's part of the shared folder."""
     return f"{shared_dir(spark)}/docloom/{spark.sparkContext.applicationId}"
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{own_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
 def sweep(spark: SparkSession) -> None:
     """Deletes the tables that this application's operators wrote in the shared folder. Results that are
     still read from them (every lazily returned DataFrame) must be written elsewhere before."""

@@ -3,8 +3,8 @@
 A text is lower-cased (A-Z only), cut into chunks where a rolling gear hash of its last 16 bytes has
 zero low bits, and turned into its *recipe*: the ordered list of its chunks' identifiers. Chunks move
 once, compressed, to be deduplicated: an identifier is the chunk's SHA-256 prefix, and all chunks with
-the same prefix are compared by content. Where they differ, the identifier gets the full digest of
-the content as a suffix, so equal identifiers always mean equal bytes. Documents are then equal
+the same prefix are compared by content. Where they differ, the recipes of the documents that hold such a chunk get
+the SHA-256 of the whole text as a suffix, so equal recipes mean equal texts. Documents are then equal
 when their recipes are; from there on only recipes and ids move, not texts.
 
 Defined cases: a null text counts as empty, and all empty texts are equal; of repeated rows (same
