@@ -268,3 +268,17 @@ def test_spread_leaves_split_tables_alone(spark, tmp_path):
     assert spread(one, "id").rdd.getNumPartitions() == cores and spread(one, "id").count() == 100
     many = spark.range(100).repartition(cores + 3)
     assert spread(many, "id") is many
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    """Only one process may fall back to a folder of its own; executors of a cluster do not see it."""
+    from types import SimpleNamespace as N
+
+    from docloom.sources import tables
+
+    made = lambda master, folder=None: N(sparkContext=N(master=master, applicationId="a", getConf=lambda: N(get=lambda k: folder)), conf=N(get=lambda k, d: d))
+    assert tables.shared_dir(made("yarn", "hdfs:///x/")) == "hdfs:///x" and tables.new_path(made("yarn", "hdfs:///x/"), "t").startswith("hdfs:///x/docloom/a/t-")
+    assert tables.shared_dir(made("local[8]")).startswith("file:///")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
+        with pytest.raises(ValueError):
+            tables.shared_dir(made(master))
