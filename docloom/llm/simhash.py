@@ -10,7 +10,8 @@ goes only to the fingerprints that can match in it:
 
 * ``component_ids`` (radius links, exact): 64 bits are cut into 6 blocks. Two fingerprints at 4 or
   fewer differing bits agree on at least 2 blocks, so the 15 pairs of blocks are the shard keys and
-  each link meets in at least one shard.
+  each link meets in at least one shard. Beyond some 4 billion fingerprints it is 3 of 7 blocks, and so on,
+  so that shards stay small.
 * ``near_groups`` (similarity links): MinHash bands of the same shingles are the shard keys, the
   BK-tree tells which fingerprint to try first, and pairs of a shard are verified on whole shingle sets.
 
@@ -208,13 +209,18 @@ def block_keys(fp, blocks: int, chosen: int):
     return keys
 
 
-def component_ids(docs: DataFrame, shingle: int = 4, radius: int = 4, piece: int = 2048) -> DataFrame:
+def component_ids(docs: DataFrame, shingle: int = 4, radius: int = 4, piece: int = 2048, chosen: int | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row, exactly: fingerprints link at ``radius`` or
-    fewer differing bits and component_id is the smallest doc_id that links reach."""
+    fewer differing bits and component_id is the smallest doc_id that links reach. Shard keys are ``chosen`` of
+    radius + chosen bit blocks: 2, and more where shards of random fingerprints would pass ``piece``."""
     rows = cut(fingerprints(docs, shingle), "fingerprints")
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
+    if chosen is None:
+        n, chosen = distinct.count(), 2
+        while n / 2 ** (64 * chosen // (radius + chosen)) > piece:
+            chosen += 1
     # radius + chosen blocks: the differing bits spoil at most radius of them
-    keys = block_keys(F.col("fp"), radius + 2, 2)
+    keys = block_keys(F.col("fp"), radius + chosen, chosen)
     dealt = distinct.select(F.explode(F.array(*keys)).alias("shard"), F.col("fp").alias("node"), "fp")
     roots = components(_linked(dealt, _forest(radius), piece))
     linked = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -50,8 +50,8 @@ def test_fingerprints_and_components(spark):
     assert got[0]["fingerprint"] == "0" * 16 and got[0]["component_id"] == 0
 
 
-@pytest.mark.parametrize("piece", [3, 2048])
-def test_links_survive_pieces(spark, piece):
+@pytest.mark.parametrize("piece,chosen", [(3, 2), (2048, 2), (3, 3), (2048, 4)])
+def test_links_survive_pieces(spark, piece, chosen):
     """A chain of fingerprints 4 bits apart is one component, whatever the pieces of a hot shard."""
     rng = random.Random(1)
     fps, f = [], rng.getrandbits(64)
@@ -62,7 +62,7 @@ def test_links_survive_pieces(spark, piece):
     rows = spark.createDataFrame([(simhash._signed(x), simhash._signed(x)) for x in fps], "node long, fp long")
     from pyspark.sql import functions as F
 
-    dealt = rows.select(F.explode(F.array(*simhash.block_keys(F.col("fp"), 6, 2))).alias("shard"), "node", "fp")
+    dealt = rows.select(F.explode(F.array(*simhash.block_keys(F.col("fp"), 4 + chosen, chosen))).alias("shard"), "node", "fp")
     from docloom.llm.common import components
 
     roots = {r["node"]: r["root"] for r in components(simhash._linked(dealt, simhash._forest(4), piece)).collect()}
@@ -257,3 +257,24 @@ def test_collisions_are_told_apart(spark):
 
 def test_base_text_is_long_enough():
     assert len(BASE.split()) > 20
+
+
+def test_components_do_not_depend_on_the_blocks(spark):
+    """More blocks to a key, as for large corpora, link the same."""
+    rows = [sorted(tuple(r) for r in simhash.component_ids(docs(spark), chosen=c).collect()) for c in (None, 3)]
+    assert rows[0] == rows[1]
+
+
+def test_grouped_runs():
+    """Runs over any number of batches come whole and once."""
+    import pyarrow as pa
+
+    from docloom.llm.common import grouped_runs
+
+    rng = random.Random(1)
+    for _ in range(30):
+        keys = sorted(rng.choice([1, 2, 3, 4, 5, 60]) for _ in range(rng.randrange(1, 60)))
+        edges = sorted({0, len(keys), *(rng.randrange(len(keys) + 1) for _ in range(5))})
+        batches = [pa.RecordBatch.from_pydict({"k": pa.array(keys[i:j], pa.int64()), "v": list(range(i, j))}) for i, j in zip(edges, edges[1:])]
+        runs = [t.slice(i, j - i).to_pydict() for t, starts, ends in grouped_runs(batches, ["k"]) for i, j in zip(starts.tolist(), ends.tolist())]
+        assert [x for r in runs for x in r["v"]] == list(range(len(keys))) and [set(r["k"]) for r in runs] == [{k} for k in sorted(set(keys))]
