@@ -263,20 +263,46 @@ def _by_two(digest: np.ndarray, head: np.ndarray) -> np.ndarray:
     return order
 
 
+def _closed(head: np.ndarray) -> np.ndarray:
+    """Bytes of a head up to the blank that closes the token, REACH at most."""
+    out = np.full(len(head), REACH)
+    for j in range(REACH - 1, -1, -1):
+        out[(head >> np.uint32(8 * (REACH - 1 - j)) & np.uint32(255)) == 32] = j + 1
+    return out
+
+
 def long_costs(digest: np.ndarray, head: np.ndarray, n: np.ndarray, tail: np.ndarray):
     """For items of a shard: log10 cost by long contexts, depth (bytes that they predict), and misses as
     (item, gram, symbols seen): the context knew other symbols than the byte that follows."""
     order = _by_two(digest, head)
-    digest, head, n, tail = digest[order], head[order], n[order].astype("i8"), tail[order]
-    size = len(order)
+    d = digest[order]
+    same = d[1:] == d[:-1]
+    alone = ~(np.concatenate((same, [False])) | np.concatenate(([False], same)))
+    out, deep = np.zeros(len(order), "<f4"), np.zeros(len(order), "u1")
+    # a context with one item is certain of it, or was never seen
+    one = order[alone]
+    one = one[n[one] > 0]
+    deep[one] = _closed(head[one])
+    out[one] = deep[one] * np.log10((n[one] - 0.5) / n[one])
+    order = order[~alone]
+    cost, depth, misses = _shared_contexts(digest[order], head[order], n[order].astype("i8"), tail[order])
+    out[order], deep[order] = cost, depth
+    return out, deep, [(order[i], g, seen) for i, g, seen in misses]
+
+
+def _shared_contexts(digest: np.ndarray, head: np.ndarray, n: np.ndarray, tail: np.ndarray):
+    """long_costs for items in the order of digest and head."""
+    size = len(digest)
+    if not size:
+        return np.zeros(0), np.zeros(0, "i8"), []
     sums = np.concatenate(([0], np.cumsum(n)))
     other = digest[1:] != digest[:-1]
     starts = [_starts(other)] + [_starts(other | (head[1:] >> np.uint32(8 * (REACH - 1 - j)) != head[:-1] >> np.uint32(8 * (REACH - 1 - j)))) for j in range(REACH)]
     counts = [sums[np.append(s[1:], size)] - sums[s] for s in starts]
     group = [np.repeat(np.arange(len(s)), np.diff(np.append(s, size))) for s in starts]
     symbol = [(head >> np.uint32(8 * (REACH - 1 - j)) & np.uint32(255)).astype("i8") for j in range(REACH)]
-    closed = np.stack([s == 32 for s in symbol] + [np.ones(size, bool)], axis=1).argmax(1) + 1
-    cost, depth, alive = np.zeros(size), np.minimum(closed, REACH), np.ones(size, bool)
+    closed = _closed(head)
+    cost, depth, alive = np.zeros(size), closed.copy(), np.ones(size, bool)
     misses = []
     for j in range(REACH):
         now = alive & (j < closed)
@@ -298,10 +324,8 @@ def long_costs(digest: np.ndarray, head: np.ndarray, n: np.ndarray, tail: np.nda
                 context = (symbol[k][at].astype("u8") << U8(8 * (ORDER - 1))) | (context >> U8(8))
             gram = (context << U8(8)) | symbol[j][at].astype("u8")
             trained, of = counts[j + 1] > 0, symbol[j][starts[j + 1]]
-            misses += [(order[i], g, of[a:b][trained[a:b]].tolist()) for i, g, a, b in zip(at.tolist(), gram.tolist(), first.tolist(), last.tolist())]
-    out, deep = np.empty(size, "<f4"), np.empty(size, "u1")
-    out[order], deep[order] = cost, depth
-    return out, deep, misses
+            misses += [(i, g, of[a:b][trained[a:b]].tolist()) for i, g, a, b in zip(at.tolist(), gram.tolist(), first.tolist(), last.tolist())]
+    return cost, depth, misses
 
 
 def _by_shard(batches, columns):
