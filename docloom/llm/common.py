@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 from ..sources.tables import load, new_path, shared_dir, spread
 
-__all__ = ["UID", "WORD_RE", "arrow_map", "components", "cut", "grouped_runs", "load", "new_path", "own_dir", "shared_dir", "ship", "slices", "spread", "sweep", "trim"]
+__all__ = ["UID", "WORD_RE", "arrow_map", "components", "cut", "discard", "grouped_runs", "load", "new_path", "own_dir", "shared_dir", "ship", "slices", "spread", "sweep", "trim"]
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
 #: a row's number within a table on disk, under a name that no input column has
@@ -45,7 +45,16 @@ def cut(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._docloom_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``cut`` wrote, once all that is made of them is written too."""
+    for t in tables:
+        path = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t._docloom_path)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

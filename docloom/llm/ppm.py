@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, slices, trim
+from .common import arrow_map, cut, discard, slices, trim
 
 ORDER, HISTORY, REACH = 5, 16, 4
 CHUNK_BYTES = 8 << 20
@@ -655,13 +655,15 @@ def scores(docs: DataFrame) -> DataFrame:
     low = grams.groupBy(F.shiftright("gram", 8 * ORDER).cast("int").alias("a"), F.col("gram").bitwiseAND(255).cast("int").alias("b")).agg(F.sum("n").alias("n"))
     for r in low.collect():  # at most 256 x 256 rows
         pairs[r["a"], r["b"]] = r["n"]
-    short = _gram_answers(_gram_costs(grams, pairs, shards), asked)
+    short = cut(_gram_answers(_gram_costs(grams, pairs, shards), asked), "short")
+    more = cut(_corrections(long.where("gram is not null"), grams), "exclusions")
+    discard(asked, grams)
     none = lambda kind: F.lit(None).cast(kind)
     answers = (
         long.where("cost is not null").select("chunk", F.lit(0).alias("kind"), "shard", F.col("cost").alias("a"), F.col("depth").alias("b"), none("int").alias("idx"), none("double").alias("more"))
         .union(short.select("chunk", F.lit(1), "shard", "cost", "keys", none("int"), none("double")))
         .union(words.where("chunk is not null").select("chunk", F.lit(2), "shard", "n", none("binary"), none("int"), none("double")))
-        .union(_corrections(long.where("gram is not null"), grams).select("chunk", F.lit(3), "shard", none("binary"), none("binary"), "idx", "more"))
+        .union(more.select("chunk", F.lit(3), "shard", none("binary"), none("binary"), "idx", "more"))
     )
     base_of = lambda c: np.log10((c + 0.5) / (n_all + 0.5 * (v_all + 1)))
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
