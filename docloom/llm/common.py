@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 from ..sources.tables import load, new_path, shared_dir, spread
 
-__all__ = ["UID", "WORD_RE", "arrow_map", "components", "cut", "discard", "grouped_runs", "load", "new_path", "own_dir", "shared_dir", "ship", "slices", "spread", "sweep", "trim"]
+__all__ = ["UID", "WORD_RE", "arrow_map", "chunks", "components", "cut", "discard", "grouped_runs", "load", "new_path", "own_dir", "shared_dir", "ship", "slices", "spread", "sweep", "trim"]
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
 #: a row's number within a table on disk, under a name that no input column has
@@ -71,6 +71,20 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iter
         yield batch.slice(i, step)
 
 
+def chunks(batches: Iterable[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.Table]:
+    """The rows as tables of about ``size`` bytes of ``column``; a larger row is one by itself."""
+    held, n = [], 0
+    for b in batches:
+        for s in slices(b, column, size):
+            held.append(s)
+            n += s.column(column).nbytes
+            if n >= size:
+                yield pa.Table.from_batches(held)
+                held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def trim() -> None:
     """Gives freed memory back to the system: Python workers stay alive between tasks."""
     import ctypes

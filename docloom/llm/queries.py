@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, mtree, packing, ppm, quality, secrets, sentpiece, simhash, tokenbin
+from . import align, exact, mixing, mtree, packing, ppm, quality, secrets, sentpiece, simhash, spelling, suffix, tokenbin
 from .common import load, spread
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -59,11 +60,24 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentpiece.digests(documents(spark, sf_dir), PIECE_MODEL)
 
 
+def op11_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.report(documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
+
+
+def op12_parity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_byte_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(documents(spark, sf_dir), BYTE_MODEL, PIECE_MODEL)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_bktree, op2_crf_secrets, op3_hierarchical_mixing, op4_ppm, op5_factorisation_machine,
         op6_mtree, op7_vector_packing, op8_seekable_tokens, op9_chunk_recipes, op10_sentencepiece,
+        op11_suffix_arrays, op12_parity_bands, op13_byte_labels,
     )
 }
 
@@ -75,4 +89,6 @@ SQL = {
                doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
         FROM (SELECT doc_id, translate(coalesce(text, ''), {ALPHABET}) AS t FROM documents)
         WINDOW g AS (PARTITION BY t)""",
+    "op11_suffix_arrays": suffix.SQL,
+    "op12_parity_bands": spelling.SQL,
 }
