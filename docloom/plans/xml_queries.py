@@ -153,7 +153,7 @@ def prefixed_blocks(spark, sf_dir):
 
 
 def _store(spark, label: str) -> Store:
-    return Store(spark, new_path(spark, label), buckets=4)
+    return Store(spark, new_path(spark, label))
 
 
 def doc_store_upsert(spark, sf_dir):

@@ -1,6 +1,7 @@
 """XML documents, catalogs, schemas, stores and the ingestion plan, batch and incremental."""
 
 import json
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -176,38 +177,95 @@ def test_incremental_is_idempotent(spark, folder, tmp_path):
     assert store.read("ssot_docs").count() == 3
 
 
-def test_upsert_rewrites_only_its_buckets(spark, tmp_path):
-    store = Store(spark, f"file://{tmp_path}/s", buckets=8)
-    rows = lambda lo, hi, v: spark.range(lo, hi).select("id", F.lit(v).alias("v"))
-    store.upsert("t", rows(0, 100, 1), ["id"], ["v"])
-    before = store._commit("t")["parts"]
-    store.upsert("t", rows(5, 6, 2), ["id"], ["v"])
-    after = store._commit("t")["parts"]
-    assert sum(before[b] != after[b] for b in after) == 1 and set(before) == set(after)
-    assert {r["id"]: r["v"] for r in store.read("t").collect()} == {i: 2 if i == 5 else 1 for i in range(100)}
-    for v in range(3, 8):
-        store.upsert("t", rows(5, 6, v), ["id"], ["v"])
-    assert len(store._numbers("t")) == 2 and store.read("t").count() == 100
-    store.upsert("t", rows(0, 0, 1), ["id"], ["v"])
-    assert store.read("t").count() == 100
-
-
-def test_two_writers_lose_nothing(spark, tmp_path):
-    """A writer that finds its number taken starts again on what the other one wrote."""
-    one, two = (Store(spark, f"file://{tmp_path}/s", buckets=2) for _ in range(2))
+def table_bytes(store, table):
+    return {str(f): f.stat().st_size for f in Path(store.root.removeprefix("file://"), table).rglob("*.parquet")}
+
+
+def test_upsert_writes_its_own_rows_alone(spark, tmp_path):
+    """What an upsert of a few rows writes does not grow with the table, and readers of before still read."""
+    wrote = []
+    for n in (100, 20_000):
+        store = Store(spark, f"file://{tmp_path}/s{n}")
+        rows = lambda lo, hi, v: spark.range(lo, hi).select("id", F.lit(v).alias("v"))
+        store.upsert("t", rows(0, n, 1), ["id"], ["v"])
+        opened, before = store.read("t"), table_bytes(store, "t")
+        store.upsert("t", rows(5, 8, 2), ["id"], ["v"])
+        after = table_bytes(store, "t")
+        assert before.items() <= after.items()
+        wrote.append(sum(size for f, size in after.items() if f not in before))
+        assert opened.where("v = 2").isEmpty() and opened.count() == n
+        assert {r["id"]: r["v"] for r in store.read("t").collect()} == {i: 2 if 5 <= i < 8 else 1 for i in range(n)}
+        assert [tuple(r) for r in store.lookup("t", spark.range(7, 9)).orderBy("id").collect()] == [(7, 2), (8, 1)]
+        assert store.lookup("t", spark.range(0, n), most=10).count() == n
+    assert wrote[0] == wrote[1]
+
+
+def test_segments_are_merged_by_levels(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s", fan=3)
+    want = {}
+    for v in range(11):
+        store.upsert("t", spark.range(v % 4, v % 4 + 2).select("id", F.lit(v).alias("v")), ["id"], ["v"])
+        want |= {v % 4: v, v % 4 + 1: v}
+        assert {r["id"]: r["v"] for r in store.read("t").collect()} == want
+    assert [s["level"] for s in store._commit("t")["segments"]] == [2, 0, 0]  # 9 rows of one, and two more
+    store.upsert("t", spark.range(0).select("id", F.lit(1).alias("v")), ["id"], ["v"])
+    assert store.read("t").count() == len(want)
+    store.compact("t", whole=True)
+    assert len(store._commit("t")["segments"]) == 1 and {r["id"]: r["v"] for r in store.read("t").collect()} == want
+    opened = store.read("t")
+    assert store.vacuum("t") == 0 and store.vacuum("t", 0) > 0 and len(store._numbers("t")) == 1
+    assert opened.count() == len(want)
+    with pytest.raises(ValueError):
+        store.upsert("t", spark.range(1).select("id", F.lit(1).alias("v")), ["v"], ["id"])
+
+
+def test_a_later_upsert_may_bring_columns(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s")
+    store.upsert("t", spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), ["id"], ["v"])
+    store.upsert("t", spark.createDataFrame([(2, "c", 5)], "id long, v string, more int"), ["id"], ["v"])
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "a", None), (2, "c", 5)]
+
+
+@pytest.mark.parametrize("held_at", ["before", "after"])
+def test_two_writers_lose_nothing(spark, tmp_path, held_at):
+    """A writer held between its segment and its commit, or with the commit written beside the log: the other's rows and
+    its own are both there, and its segment is not written again."""
+    one, two = (Store(spark, f"file://{tmp_path}/s") for _ in range(2))
     rows = lambda k: spark.createDataFrame([(k, 1)], "k string, v long")
     one.upsert("t", rows("a"), ["k"], ["v"])
-    plain, between = one._put, []
+    plain, between, create = one._put, [], one.fs
 
     def late(table, commit, number):
         if not between:
             between.append(1)
+            if held_at == "after":  # half a commit lies beside the log
+                Path(tmp_path, "s", "t", "_commits", ".half").write_text('{"schema": ')
             two.upsert("t", rows("b"), ["k"], ["v"])
+            two.upsert("t", rows("d"), ["k"], ["v"])
         return plain(table, commit, number)
 
     one._put = late
     one.upsert("t", rows("c"), ["k"], ["v"])
-    assert {r["k"] for r in two.read("t").collect()} == {"a", "b", "c"}
+    assert create is one.fs and {r["k"] for r in two.read("t").collect()} == {"a", "b", "c", "d"}
+    assert len(list(Path(tmp_path, "s", "t", "data").iterdir())) == 4
+
+
+def test_a_merge_that_was_overtaken_is_dropped(spark, tmp_path):
+    one, two = (Store(spark, f"file://{tmp_path}/s", fan=100) for _ in range(2))
+    for k in range(4):
+        one.upsert("t", spark.createDataFrame([(k, 1)], "k long, v long"), ["k"], ["v"])
+    plain, between = one._segment, []
+
+    def late(*args):
+        made = plain(*args)
+        if not between:
+            between.append(1)
+            two.compact("t", whole=True)
+        return made
+
+    one._segment = late
+    one.compact("t", whole=True)
+    assert {r["k"] for r in one.read("t").collect()} == {0, 1, 2, 3} and len(one._commit("t")["segments"]) == 1
 
 
 def test_problems_of_all_batches_stay(spark, tmp_path):
