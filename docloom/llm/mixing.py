@@ -32,6 +32,8 @@ SOURCE_WEIGHTS = {"src0": 3, "src5": 2, "src10": 2}
 WEIGHTS = {"domain": DOMAIN_WEIGHTS, "lang": LANG_WEIGHTS, "source": SOURCE_WEIGHTS}
 NONE = "(none)"
 BUCKET_DIGITS = 3
+#: whole numbers beyond 64 bits, and factors whose products still are such
+WHOLE, FACTOR = "decimal(38,0)", "decimal(20,0)"
 
 
 def domain_of(source: Column) -> Column:
@@ -47,25 +49,52 @@ def _weight(column: str, weights: dict[str, int]) -> Column:
     return out
 
 
-def split_budget(nodes: DataFrame, parent: list[str], name: str, weights: dict[str, int]) -> DataFrame:
+def _total(rows: DataFrame, keys: list[str], name: str, value: Column, wide: bool) -> DataFrame:
+    """rows with the sum of ``value`` over each set of equal keys; where that may be any number of rows, summed
+    before it is shuffled and joined back."""
+    value = F.coalesce(F.sum(value) if wide else F.sum(value).over(Window.partitionBy(*keys)), F.lit(0)).alias(name)
+    return rows.join(rows.groupBy(*keys).agg(value), keys) if wide else rows.withColumn(name, value)
+
+
+def running(rows: DataFrame, keys: list[str], order: list[str], sums: dict[str, str], wide: bool) -> DataFrame:
+    """rows with, for every new name in ``sums``, the sum of its column over the rows of the same keys that come
+    before. ``order`` must tell all rows of a key apart. ``wide`` is for keys of any number of rows: these are dealt
+    out by ranges of keys and order, so that one key is many tasks; a range's rows add to the sum of the ranges before,
+    of which there are few."""
+    window = lambda by, within: Window.partitionBy(*by).orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c, by, within: F.coalesce(F.sum(c).over(window(by, within)), F.lit(0)).cast(WHOLE)
+    if not wide:
+        return rows.withColumns({new: before(c, keys, order) for new, c in sums.items()})
+    # written once: the ranges are drawn by sampling, so another run could draw others
+    ranged = cut(rows.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    parts = ranged.groupBy(*keys, "_range").agg(*(F.sum(c).alias(f"_sum{i}") for i, c in enumerate(sums.values())))
+    parts = parts.select(*keys, "_range", *(before(f"_sum{i}", keys, ["_range"]).alias(f"_upto{i}") for i in range(len(sums))))
+    told = ranged.join(parts, [*keys, "_range"])
+    told = told.withColumns({new: (F.col(f"_upto{i}") + before(c, [*keys, "_range"], order)).cast(WHOLE) for i, (new, c) in enumerate(sums.items())})
+    return told.drop("_range", *(f"_upto{i}" for i in range(len(sums))))
+
+
+def split_budget(nodes: DataFrame, parent: list[str], name: str, weights: dict[str, int], wide: bool = False) -> DataFrame:
     """nodes (parent.., name, cap, parent_budget) with ``budget``: each parent's split among children.
 
     With children in ascending order of cap / weight, those are full whose cap is at most their share of
-    what the fuller ones leave; the rest share the remainder by weight, rounded so that it is used up."""
-    key = [F.col(p) for p in parent] or [F.lit(0)]
-    by_ratio = Window.partitionBy(*key).orderBy(F.col("cap") * F.lit(1.0) / F.col("w"), name)
-    before, after = by_ratio.rowsBetween(Window.unboundedPreceding, -1), by_ratio.rowsBetween(0, Window.unboundedFollowing)
-    by_name = Window.partitionBy(*key, "full").orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
-    all_of = Window.partitionBy(*key)
-    n = nodes.withColumn("w", _weight(name, weights))
-    zero = n.where("w <= 0").withColumn("budget", F.lit(0).cast("long")).drop("w")
-    n = n.where("w > 0").withColumn("left_budget", F.col("parent_budget") - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-    n = n.withColumn("full", F.col("cap") * F.sum("w").over(after) <= F.col("left_budget") * F.col("w"))
-    n = n.withColumn("rest", F.col("parent_budget") - F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))).over(all_of), F.lit(0)))
-    n = n.withColumn("w_sum", F.sum(F.when(~F.col("full"), F.col("w"))).over(all_of)).withColumn("s", F.sum("w").over(by_name))
-    share = F.expr("rest * s div w_sum - rest * (s - w) div w_sum")
-    n = n.withColumn("budget", F.when(F.col("full"), F.col("cap")).otherwise(share))
-    return n.drop("left_budget", "full", "rest", "w_sum", "s", "w").unionByName(zero)
+    what the fuller ones leave; the rest share the remainder by weight, rounded so that it is used up.
+    Weights still to come are the total less those before, so every sum is a running one; products are
+    decimals of 38 digits, which no corpus outgrows. ``wide`` where a parent can have any number of children."""
+    n = nodes.withColumn("w", _weight(name, weights)).withColumn("_all", F.lit(0))
+    keys = parent or ["_all"]
+    zero = n.where("w <= 0").withColumn("budget", F.lit(0).cast("long")).drop("w", "_all")
+    n = n.where("w > 0").withColumn("ratio", F.col("cap") * F.lit(1.0) / F.col("w"))
+    n = running(n, keys, ["ratio", name], {"cap_before": "cap", "w_before": "w"}, wide)
+    n = _total(n, keys, "w_all", F.col("w"), wide)
+    n = n.withColumn("full", F.expr(f"cap * cast(w_all - w_before as {FACTOR}) <= cast(parent_budget - cap_before as {FACTOR}) * w"))
+    n = n.drop("ratio", "cap_before", "w_before", "w_all")
+    n = cut(n, "full") if wide else n
+    n = _total(_total(n, keys, "taken", F.when(F.col("full"), F.col("cap")), wide), keys, "w_sum", F.when(~F.col("full"), F.col("w")), wide)
+    n = running(n, [*keys, "full"], [name], {"s": "w"}, wide)
+    part = lambda upto: f"cast(parent_budget - taken as {FACTOR}) * cast({upto} as {FACTOR}) div w_sum"
+    n = n.withColumn("budget", F.when(F.col("full"), F.col("cap")).otherwise(F.expr(f"{part('s + w')} - {part('s')}")))
+    return n.drop("full", "taken", "w_sum", "s", "w", "_all").unionByName(zero)
 
 
 def leaf_plan(leaves: DataFrame, numerator: int, denominator: int, max_epochs: int, weights: dict) -> DataFrame:
@@ -79,7 +108,7 @@ def leaf_plan(leaves: DataFrame, numerator: int, denominator: int, max_epochs: i
         parent, names = list(LEVELS[:i]), list(LEVELS[: i + 1])
         caps = at.groupBy(*names).agg(F.sum("cap").alias("cap"))
         nodes = caps.withColumn("parent_budget", F.lit(total).cast("long")) if budgets is None else caps.join(budgets, parent)
-        budgets = split_budget(nodes, parent, level, weights[level]).select(*names, F.col("budget").alias("parent_budget"))
+        budgets = split_budget(nodes, parent, level, weights[level], wide=level == LEVELS[-1]).select(*names, F.col("budget").alias("parent_budget"))
     plan = at.join(budgets, list(LEVELS)).withColumnRenamed("parent_budget", "budget")
     full = F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(0).cast("long"))
     return plan.withColumn("full", full).select(*LEVELS, "full", (F.col("budget") - F.col("full") * F.col("tokens")).alias("rest"))

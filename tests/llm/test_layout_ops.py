@@ -64,6 +64,28 @@ def test_split_budget(spark, budget, children):
     assert sum(got.values()) == min(budget, sum(cap for _, cap in children.values()))
 
 
+@settings(max_examples=4, deadline=None)
+@given(st.integers(0, 40_000), st.lists(st.tuples(st.integers(0, 4), st.integers(0, 500)), min_size=1, max_size=90))
+def test_wide_branches_split_alike(spark, budget, children):
+    """Children dealt over tasks by ranges get what they get in one."""
+    named = {f"s{i:03d}": c for i, c in enumerate(children)}
+    weights = {k: w for k, (w, _) in named.items()}
+    nodes = spark.createDataFrame([("p", k, cap, budget) for k, (_, cap) in named.items()], "lang string, source string, cap long, parent_budget long")
+    got = {r["source"]: r["budget"] for r in mixing.split_budget(nodes, ["lang"], "source", weights, wide=True).collect()}
+    some = {k: c for k, c in named.items() if c[0] > 0}
+    assert got == {k: 0 for k in named} | plain_split(budget, some)
+
+
+def test_mixing_of_many_sources_and_tokens(spark):
+    """A branch of 100,000 sources, and 2e13 tokens with weights whose products pass 64 bits."""
+    for n, each in ((100_000, 200_000_000), (2_000, 10_000_000_000)):
+        leaves = spark.range(n).selectExpr("'d0' as domain", "'en' as lang", "concat('host', id) as source", f"{each}L + id * 7919 % 10007 as tokens")
+        weights = {"domain": {}, "lang": {}, "source": {f"host{i}": 1_000_000 + i for i in range(40)}}
+        plan = mixing.leaf_plan(leaves, 4, 5, 2, weights).join(leaves, list(mixing.LEVELS))
+        given, all_tokens = plan.selectExpr("sum(full * tokens + rest)", "sum(tokens)").first()
+        assert all_tokens > 1.9e13 and given == all_tokens * 4 // 5
+
+
 def test_mixing_without_weight(spark):
     """A leaf without weight takes nothing, and what it could take goes to the rest of the tree."""
     leaves = spark.createDataFrame([("d0", "x", "a", 100), ("d0", "x", "b", 10), ("d1", "x", "c", 1000)], "domain string, lang string, source string, tokens long")
