@@ -26,6 +26,7 @@ import itertools
 import json
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +38,9 @@ from pyspark.sql import functions as F
 from .common import arrow_map, chunks, cut, ship, slices, trim
 
 #: bytes of text to a chunk, and of joined segments to one call of a tokenizer
-CHUNK, BLOCK = 16 << 20, 32 << 10
+CHUNK, BLOCK = 8 << 20, 32 << 10
+#: segments of documents whose pairs are told apart at once
+AT_ONCE = 200_000
 #: pairs of tokens of a group beyond which its distinct ids are paired
 MANY = 1 << 16
 
@@ -132,14 +135,15 @@ class Aligner:
             return [text]
         return CUT_RE.split(text) if UNLIKE_RE.search(text) else text.split(" ")
 
-    def _encoded(self, blocks: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of A and B for each block after a space; None where either's bytes are not the block's."""
-        out = []
-        for block, a, b in zip(blocks, self.tok.encode_batch_fast([" " + x for x in blocks], add_special_tokens=False), self.sp.encode(blocks, num_threads=1)):
-            data = b" " + block.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, a.ids)) == data and b"".join(map(self.b_bytes.__getitem__, b)) == data
-            out.append((a.ids, b) if same else None)
-        return out
+    def _encoded(self, blocks: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of A and B for each block after a space; None where either's bytes are not the block's. The
+        libraries are given a few blocks at a time: what they return is many times the size of the ids."""
+        for i in range(0, len(blocks), 8):
+            few = blocks[i : i + 8]
+            for block, a, b in zip(few, self.tok.encode_batch_fast([" " + x for x in few], add_special_tokens=False), self.sp.encode(few, num_threads=1)):
+                data = b" " + block.encode()
+                same = b"".join(map(self.a_bytes.__getitem__, a.ids)) == data and b"".join(map(self.b_bytes.__getitem__, b)) == data
+                yield (np.array(a.ids, "i8"), np.array(b, "i8")) if same else None
 
     def scan(self, parts: list[str]) -> tuple[Scan, np.ndarray]:
         """The scan of all parts, and which of them both tokenizers spell; the others are empty in it."""
@@ -168,8 +172,8 @@ class Aligner:
                 if f is None:
                     good[ks] = False
                     continue
-                a_ids.append(np.array(f[0], "i8"))
-                b_ids.append(np.array(f[1], "i8"))
+                a_ids.append(f[0])
+                b_ids.append(f[1])
                 order += ks
                 lengths += [len(parts[k].encode()) + 1 for k in ks]
         flat = lambda x: np.concatenate([*x, np.empty(0, "i8")]).astype("i8")
@@ -234,7 +238,7 @@ class Aligner:
         bad = set(np.flatnonzero(~good).tolist())
         spelt = np.array([bool(x) and bad.isdisjoint(x) for x in lists], bool) if bad else np.array([bool(x) for x in lists], bool)
         for i in [i for i, (x, ok) in enumerate(zip(lists, spelt)) if x and not ok]:
-            if len(lists[i]) > 1 and self._encoded([texts[i]])[0] is not None:  # spelt whole, though not in parts
+            if len(lists[i]) > 1 and next(self._encoded([texts[i]])) is not None:  # spelt whole, though not in parts
                 held, self.by_segment = self.by_segment, False
                 try:
                     return self.texts(texts)
@@ -260,6 +264,20 @@ def _unplaned(blob: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, "u1").reshape(4, n).T.copy().view("<u4").ravel().astype("i8")
 
 
+def _distinct(doc: np.ndarray, seg: np.ndarray, scan: Scan) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of documents, as document << 32 | pair, with the number of their links; from the segments of
+    each, counted first."""
+    seg, seen = np.unique(doc << 32 | seg, return_counts=True)
+    which = seg & 0xFFFFFFFF
+    size = np.diff(scan.pair_at)[which]
+    take = _ranges(scan.pair_at[which], size)
+    key = np.repeat(seg >> 32, size) << 32 | scan.pair[take]
+    order = np.argsort(key)
+    key, weight = key[order], (np.repeat(seen, size) * scan.times[take])[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, "i8")
+    return key[first], np.add.reduceat(weight, first) if len(first) else weight
+
+
 DIGESTS = "chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_pairs int, at binary, times binary, pair int, docs int"
 
 
@@ -269,21 +287,17 @@ def _passed(aligner: Aligner, table: pa.Table) -> list[pa.RecordBatch]:
     n = table.num_rows
     scan, flat, doc, spelt = aligner.texts([t or "" for t in table.column("text").to_pylist()])
     per_doc = lambda x: np.bincount(doc, x[flat], n).astype("i8")
-    sha, at = [], np.append(0, np.cumsum(np.bincount(doc, minlength=n))).tolist()
-    each = flat.tolist()
-    for i in range(n):
-        sha.append(hashlib.sha256(b"".join([scan.text[k] for k in each[at[i] : at[i + 1]]])[:-1]).hexdigest() if spelt[i] else "")
-    # distinct segments of a document, then its distinct pairs
-    seg, seen = np.unique(doc << 32 | flat, return_counts=True)
-    which, size = seg & 0xFFFFFFFF, None
-    size = np.diff(scan.pair_at)[which]
-    take = _ranges(scan.pair_at[which], size)
-    key = np.repeat(seg >> 32, size) << 32 | scan.pair[take]
-    order = np.argsort(key)
-    key, weight = key[order], (np.repeat(seen, size) * scan.times[take])[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, "i8")
-    weight = np.add.reduceat(weight, first) if len(first) else weight
-    key = key[first]
+    at = np.append(0, np.cumsum(np.bincount(doc, minlength=n)))
+    sha = [hashlib.sha256(b"".join([scan.text[k] for k in flat[i:j].tolist()])[:-1]).hexdigest() if ok else "" for i, j, ok in zip(at.tolist(), at[1:].tolist(), spelt.tolist())]
+    keys, weights = [np.empty(0, "i8")], [np.empty(0, "i8")]
+    edges = [0]
+    while edges[-1] < n:  # a few documents at a time
+        edges.append(max(edges[-1] + 1, int(np.searchsorted(at, at[edges[-1]] + AT_ONCE))))
+    for i, j in zip(edges, edges[1:]):
+        k, w = _distinct(doc[at[i] : at[min(j, n)]], flat[at[i] : at[min(j, n)]], scan)
+        keys.append(k)
+        weights.append(w)
+    key, weight = np.concatenate(keys), np.concatenate(weights)
     pairs, place, docs = np.unique(key & 0xFFFFFFFF, return_inverse=True, return_counts=True)
     bound = np.searchsorted(key >> 32, np.arange(n + 1)).tolist()
     places = [_planes(np.diff(place[i:j], prepend=0)) for i, j in zip(bound, bound[1:])]
@@ -369,10 +383,9 @@ def groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for b in batches:
             for s in slices(b, "text", 1 << 20):
                 for doc_id, text in zip(s.column("doc_id").to_pylist(), s.column("text").to_pylist()):
-                    found = aligner._encoded([text])[0] if text else None
-                    if found is None:
+                    ids = next(aligner._encoded([text])) if text else None
+                    if ids is None:
                         continue
-                    ids = [np.array(x, "i8") for x in found]
                     end, *sizes = aligner.spans(*ids)
                     lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(i.astype("i4"))) for i, n in zip(ids, sizes)]
                     yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(end), pa.int64()), pa.array(np.append(0, end[:-1])), pa.array(end), *lists], names=["doc_id", "start", "end", "a", "b"])

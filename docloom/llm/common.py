@@ -75,7 +75,7 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int, column: str = "text") -
     """The rows as tables of about ``size`` bytes of ``column``; a larger row is one by itself."""
     held, n = [], 0
     for b in batches:
-        for s in slices(b, column, size):
+        for s in slices(b, column, size // 8):
             held.append(s)
             n += s.column(column).nbytes
             if n >= size:
