@@ -8,7 +8,7 @@ import json
 import logging
 import secrets
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _trace: contextvars.ContextVar[str] = contextvars.ContextVar("trace", default="")
@@ -34,7 +34,34 @@ class JsonLines(logging.Formatter):
         return json.dumps(line, ensure_ascii=False)
 
 
-def counted(rows: DataFrame, name: str, failed: str = "error") -> tuple[DataFrame, Observation]:
-    """rows with counters (total, failed) that fill as an action reads them, without a pass of their own."""
+def counted(rows: DataFrame, name: str, failed: str = "error", added: str | None = None) -> tuple[DataFrame, Observation]:
+    """rows with counters (total, failed, succeeded and, where ``added`` names a column of numbers, its sum over those
+    that did not fail) that fill as an action reads them, without a pass of their own."""
     seen = Observation(name)
-    return rows.observe(seen, F.count("*").alias("total"), F.count_if(F.col(failed).isNotNull()).alias("failed")), seen
+    bad = F.col(failed).isNotNull()
+    more = [F.coalesce(F.sum(F.when(~bad, F.col(added).cast("long"))), F.lit(0)).alias("added")] if added else []
+    return rows.observe(seen, F.count("*").alias("total"), F.count_if(bad).alias("failed"), F.count_if(~bad).alias("succeeded"), *more), seen
+
+
+class Counters:
+    """The counters of a run's stages, gathered from the queries that did the work; ``rows`` has them as a table, and
+    every stage is a line in the log as it ends."""
+
+    def __init__(self, spark: SparkSession, run: str) -> None:
+        self.spark, self.run, self.seen, self.told = spark, run, {}, set()
+
+    def watch(self, stage: str, rows: DataFrame, failed: str = "error", added: str | None = None) -> DataFrame:
+        """``rows``, counted under ``stage`` as soon as an action has read them."""
+        out, self.seen[stage] = counted(rows, f"{self.run}-{stage}-{len(self.seen)}", failed, added)
+        return out
+
+    def rows(self) -> DataFrame:
+        """(run, stage, counter, n); stages that no action has read would be waited for, so ask afterwards."""
+        made = []
+        for stage, seen in self.seen.items():
+            held = seen.get
+            made += [(self.run, stage, k, int(v)) for k, v in held.items()]
+            if stage not in self.told:
+                self.told.add(stage)
+                logging.getLogger("docloom").info("%s %s", stage, json.dumps(held))
+        return self.spark.createDataFrame(made, "run string, stage string, counter string, n long")
