@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import yaml
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # The namespaces of Dublin Core elements.
 DC = ("http://purl.org/dc/elements/1.1/", "http://www.purl.org/dc/elements/1.1/")
@@ -71,3 +73,13 @@ def detect(root_tag: str, formats: dict | None = None) -> str | None:
 def detection_rows(formats: dict | None = None) -> list[tuple[int, str, str]]:
     """(priority, format, part) for a join."""
     return [(i, name, part) for i, (name, f) in enumerate((formats or FORMATS).items()) for part in f["detect"]]
+
+
+def detected(tags: DataFrame, tag: str = "tag", formats: dict | None = None) -> DataFrame:
+    """tags with ``format``: the first by priority one of whose parts the lower-cased tag contains, null if none. The rules
+    are a fixed few, so the join is with a table of them that is sent along; each distinct tag is tried once."""
+    spark = tags.sparkSession
+    rules = spark.createDataFrame(detection_rows(formats), "priority int, format string, part string")
+    each = tags.select(F.col(tag)).distinct()
+    hits = each.join(F.broadcast(rules), F.lower(tag).contains(F.col("part"))).groupBy(tag).agg(F.min_by("format", "priority").alias("format"))
+    return tags.join(hits, tag, "left")

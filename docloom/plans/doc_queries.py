@@ -77,25 +77,42 @@ def step_suppression(spark, sf_dir):
 
 
 def catalog_detect(spark, sf_dir):
-    """Page tags against the catalogs' parts; the first format by priority wins."""
+    """Page tags against the catalogs' parts; the first format by priority wins (JOI5)."""
     tags = load(spark, sf_dir, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("html"), F.lit("<([a-z0-9]+)"), F.lit(1)))).alias("tag"))
-    rules = spark.createDataFrame(catalogs.detection_rows(), "priority int, format string, part string")
-    hits = tags.join(F.broadcast(rules), F.col("tag").contains(F.col("part")))  # the rules are a fixed few
-    return hits.groupBy("page_id", "tag").agg(F.min_by("format", "priority").alias("format"))
+    return catalogs.detected(tags).where("format is not null").select("page_id", "tag", "format")
+
+
+#: a user's catalog of web pages
+WEB = """
+format_id: web
+detect: {root_tag_contains: webpage}
+relations: [{xpath: .//a, relation_type: RELATED_TO}]
+content:
+  mappings: [{tag: h1, block_type: title}, {tag: li, block_type: listItem}, {tag: p, block_type: paragraph}]
+"""
+
+
+def web_pages(spark, sf_dir, *parts: str):
+    """Headings, items, paragraphs and anchors of pages as XML, through a user's catalog."""
+    escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    piece = lambda h: F.concat(F.lit("<"), F.regexp_extract(h, "^(p|h1|li)", 1), F.lit(">"), escaped(F.trim(F.regexp_replace(F.regexp_replace(h, "^[^>]*>", ""), "[ \n\r\t]+", " "))), F.lit("</"), F.regexp_extract(h, "^(p|h1|li)", 1), F.lit(">"))
+    found = F.regexp_extract_all("html", F.lit(r"<((?:p|h1|li)[^>]*>[^<]*)"), F.lit(1))
+    links = F.transform(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1)), lambda a: F.concat(F.lit("<a>"), escaped(a), F.lit("</a>")))
+    text = F.concat(F.lit("<webpage><links>"), F.array_join(links, ""), F.lit("</links><content>"), F.array_join(F.transform(found, piece), ""), F.lit("</content></webpage>"))
+    p = spread(load(spark, sf_dir, "pages").select(F.lit("").alias("path"), F.col("page_id").cast("string").alias("doc_id"), F.encode(text, "utf-8").alias("content")))
+    return xml.shred(p, parts, dict([catalogs.from_yaml(WEB), *catalogs.FORMATS.items()]))
 
 
 def html_blocks(spark, sf_dir):
-    """Paragraphs and headings of pages in order, as blocks by tag."""
-    found = load(spark, sf_dir, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"<((?:p|h1|li)[^>]*>[^<]*)"), F.lit(1))).alias("pos", "hit"))
-    tag = F.regexp_extract("hit", "^(p|h1|li)", 1)
-    kind = F.when(tag == "h1", "title").when(tag == "li", "listItem").otherwise("paragraph")
-    return found.select("page_id", "pos", kind.alias("block_type"), F.trim(F.regexp_replace(F.regexp_replace("hit", "^[^>]*>", ""), "[ \n\r\t]+", " ")).alias("text"))
+    """Paragraphs, headings and items of pages that have text, in order, by a user's content rules (TRE1, JOI6)."""
+    b = xml.blocks(web_pages(spark, sf_dir, "blocks"))
+    return b.select(F.col("doc_id").cast("long").alias("page_id"), (F.col("pos") - 1).cast("int").alias("pos"), "block_type", "text")
 
 
 def relation_edges(spark, sf_dir):
-    """Anchors of pages as edges."""
-    p = load(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("href=\"([^\"]+)\""), F.lit(1))).alias("target"))
-    return p.groupBy("page_id", "target").agg(F.count("*").alias("n"))
+    """Anchors of pages as edges, by a user's relation rule (TRE6)."""
+    r = xml.relations(web_pages(spark, sf_dir, "relations"))
+    return r.groupBy(F.col("doc_id").cast("long").alias("page_id"), "target").agg(F.count("*").alias("n"))
 
 
 def relation_vocab(spark, sf_dir):
@@ -151,7 +168,7 @@ def role_accumulate(spark, sf_dir):
 
 def metadata_two_track(spark, sf_dir):
     d = spread(load(spark, sf_dir, "documents"), "doc_id")
-    rules = d.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 20)).alias("title"), F.when(F.col("doc_id") % 4 == 0, F.array(F.struct(F.lit("DOCKET").alias("scheme"), F.lit("NUREG/CR-1").alias("value")))).alias("identifier"), T.language(F.col("text")).alias("language"))
+    rules = d.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("text")).alias("title"), F.when(F.col("doc_id") % 4 == 0, F.array(F.struct(F.lit("DOCKET").alias("scheme"), F.lit("NUREG/CR-1").alias("value")))).alias("identifier"), T.language(F.col("text")).alias("language"))
     l = load(spark, sf_dir, "labels")
     model = l.select(
         "doc_id", F.concat(F.lit("Model title "), F.col("doc_id")).alias("dc_title"), F.when(F.col("quality") == 1, "en").otherwise("x").alias("dc_language"), F.when(F.col("toxic") == 1, "Rant").otherwise("TechnicalReport").alias("dc_type"),
@@ -177,8 +194,9 @@ def doc_assemble(spark, sf_dir):
 
 
 def json_props(spark, sf_dir):
-    e = load(spark, sf_dir, "events")
-    return e.select("event_id", F.try_variant_get(F.parse_json("props"), "$.k", "long").alias("k"))
+    """The events' JSON as flat columns (SNK7)."""
+    e = load(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint").alias("props"))
+    return files.flatten(e).select("event_id", F.col("`props.k`").alias("k"))
 
 
 def json_records(spark, sf_dir):
@@ -222,8 +240,9 @@ SQL = {
     "step_suppression": "SELECT o_orderkey, CAST(1 AS BIGINT) AS steps, CAST(1 AS BIGINT) AS notes_of_section FROM orders",
     "catalog_detect": """WITH t AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(lower(html), '<([a-z0-9]+)', 1)) AS tag FROM pages), r AS (SELECT * FROM (VALUES (0, 's1000d', 'dmodule'), (1, 'jats', 'article'), (1, 'jats', 'pm')) AS v(priority, format, part))
         SELECT page_id, tag, arg_min(format, priority) AS format FROM t JOIN r ON contains(tag, part) GROUP BY ALL""",
-    "html_blocks": r"""WITH f AS (SELECT page_id, regexp_extract_all(html, '<((?:p|h1|li)[^>]*>[^<]*)', 1) AS hits FROM pages), u AS (SELECT page_id, unnest(hits) AS hit, generate_subscripts(hits, 1) - 1 AS pos FROM f)
-        SELECT page_id, CAST(pos AS INT) AS pos, CASE regexp_extract(hit, '^(p|h1|li)', 1) WHEN 'h1' THEN 'title' WHEN 'li' THEN 'listItem' ELSE 'paragraph' END AS block_type, trim(regexp_replace(regexp_replace(hit, '^[^>]*>', ''), '[ \n\r\t]+', ' ', 'g')) AS text FROM u""",
+    "html_blocks": r"""WITH f AS (SELECT page_id, regexp_extract_all(html, '<((?:p|h1|li)[^>]*>[^<]*)', 1) AS hits FROM pages), u AS (SELECT page_id, unnest(hits) AS hit, generate_subscripts(hits, 1) AS pos FROM f),
+        t AS (SELECT *, trim(regexp_replace(regexp_replace(hit, '^[^>]*>', ''), '[ \n\r\t]+', ' ', 'g')) AS text FROM u)
+        SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS INT) AS pos, CASE regexp_extract(hit, '^(p|h1|li)', 1) WHEN 'h1' THEN 'title' WHEN 'li' THEN 'listItem' ELSE 'paragraph' END AS block_type, text FROM t WHERE text <> ''""",
     "relation_edges": """WITH u AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS target FROM pages) SELECT page_id, target, count(*) AS n FROM u GROUP BY ALL""",
     "relation_vocab": """WITH k AS (SELECT CASE event_id % 3 WHEN 0 THEN 'CITES' WHEN 1 THEN concat('custom:', event_type) ELSE upper(event_type) END AS relation_type FROM events)
         SELECT relation_type, relation_type IN ('CITES', 'REFERENCES', 'IS_CITED_BY', 'SUPERSEDES', 'IS_SUPERSEDED_BY', 'SUPPLEMENTS', 'IS_SUPPLEMENTED_BY', 'REQUIRES', 'IS_REQUIRED_BY', 'RELATED_TO', 'DERIVES_FROM', 'HAS_VERSION', 'IMPLEMENTS', 'CONTRADICTS')
@@ -243,7 +262,7 @@ SQL = {
         SELECT s.s_nationkey, string_agg(s_name, '; ' ORDER BY s_suppkey) FILTER (s_suppkey % 2 = 0) AS joined, string_agg(s_name, ',' ORDER BY s_suppkey) AS list, arg_max(s_name, s_suppkey) FILTER (s_suppkey % 3 = 0) AS single, any_value(entries) AS entries
         FROM supplier s JOIN m ON m.s_nationkey = s.s_nationkey GROUP BY s.s_nationkey""",
     "metadata_two_track": """WITH h AS (SELECT doc_id, text, length(left(text, 2000)) - length(regexp_replace(left(text, 2000), '[A-Za-z]', '', 'g')) AS e FROM documents)
-        SELECT d.doc_id, coalesce(CASE WHEN d.doc_id % 3 = 0 THEN nullif(left(text, 20), '') END, CASE WHEN l.doc_id IS NOT NULL THEN concat('Model title ', l.doc_id) END) AS dc_title, CASE WHEN quality = 1 THEN 'en' ELSE CASE WHEN text = '' THEN 'ko' ELSE 'en' END END AS dc_language,
+        SELECT d.doc_id, coalesce(CASE WHEN d.doc_id % 3 = 0 THEN nullif(text, '') END, CASE WHEN l.doc_id IS NOT NULL THEN concat('Model title ', l.doc_id) END) AS dc_title, CASE WHEN quality = 1 THEN 'en' ELSE CASE WHEN text = '' THEN 'ko' ELSE 'en' END END AS dc_language,
             CASE WHEN toxic = 0 THEN 'TechnicalReport' END AS dc_type, CASE WHEN d.doc_id % 4 = 0 THEN 'DOCKET:NUREG/CR-1' WHEN l.doc_id IS NOT NULL THEN concat('DOCKET:AB-', l.doc_id) END AS identifier, CASE WHEN l.doc_id IS NOT NULL THEN '2024-01-02' END AS created, CAST(NULL AS VARCHAR) AS issued
         FROM h d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "metadata_override": "SELECT d.doc_id, CASE WHEN quality = 1 THEN concat('t', d.doc_id) ELSE source END AS dc_title, lang AS dc_language, 'draft' AS doc_status FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id",

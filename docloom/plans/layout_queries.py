@@ -75,7 +75,7 @@ def document_identifiers(spark, sf_dir):
 
 
 def scanned_route(spark, sf_dir):
-    pages = load(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "lang").alias("doc_id"), F.col("doc_id").alias("page"), F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise("").alias("text"))
+    pages = load(spark, sf_dir, "documents").select(F.expr("doc_id div 2").alias("doc_id"), F.col("doc_id").alias("page"), "text")
     return layout.source_route(pages, F.col("page") % 11 == 0, True).select("doc_id", F.round("chars_per_page", 6).alias("chars_per_page"), "route")
 
 
@@ -186,7 +186,7 @@ SQL = {
             FROM b WHERE page = 1 OR y0 < page_height * 0.1 OR y1 > page_height * 0.9), u AS (SELECT doc_id, value, min(pos * 1000 + i) AS k FROM f GROUP BY ALL)
         SELECT doc_id, count(*) AS n, string_agg(value, ',' ORDER BY k) AS ids FROM u GROUP BY doc_id""",
     "document_identifiers": """WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][A-Z0-9]{1,}[-/][A-Z0-9][-A-Z0-9/.-]*')) AS value FROM documents) SELECT doc_id, value, count(*) AS n FROM f GROUP BY ALL""",
-    "scanned_route": """WITH p AS (SELECT concat_ws('/', source, lang) AS d, doc_id AS page, CASE WHEN doc_id % 3 = 0 THEN text ELSE '' END AS text FROM documents),
+    "scanned_route": """WITH p AS (SELECT doc_id // 2 AS d, doc_id AS page, text FROM documents),
         g AS (SELECT d AS doc_id, sum(length(text)) / count(DISTINCT page) AS per, bool_or(page % 11 = 0) AS s FROM p GROUP BY d) SELECT doc_id, round(per, 6) AS chars_per_page, CASE WHEN per < 50 THEN 'vision' WHEN s THEN 'structural' ELSE 'layout' END AS route FROM g""",
     "frontmatter_prune": """SELECT conv_id, turn AS page FROM conversations QUALIFY turn <= 4 OR turn > max(turn) OVER (PARTITION BY conv_id) - 2""",
     "language_detect": """WITH t AS (SELECT doc_id, text AS raw, CASE WHEN doc_id % 4 = 0 THEN translate(text, 'aeiou', '가나다라마') ELSE text END AS x FROM documents),
