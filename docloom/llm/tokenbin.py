@@ -7,9 +7,9 @@ and the low 32 bits of its content's XXH64, and a footer. A reader takes the tai
 the documents that it wants, and decompresses and verifies those alone. Any zstandard decoder reads
 the frames as they are.
 
-Documents are range-partitioned and sorted by doc_id, encoded and written in one pass. A task writes a
-file of its own name and reports it; only reported files count, so a lost or repeated task leaves
-nothing wrong behind.
+Documents are range-partitioned and sorted by doc_id, encoded and written in one pass. A task writes
+files of bounded size and of its own names and reports them; only reported files count, so a lost or repeated
+task leaves nothing wrong behind.
 
 Defined cases: a null text counts as empty (the end id alone); repeated rows are written each, beside
 one another; a null doc_id sorts first; extra columns are ignored; an empty table gives an empty result.
@@ -21,6 +21,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from .common import arrow_map, cut, new_path, slices
 #: fixed values of the seekable format
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC = 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 1 << 20
+#: bytes of ids and documents at which a file ends: what a writer and a reader's index hold is bounded by them
+FILE_BYTES, FILE_DOCS = 256 << 20, 1_000_000
 NO_ID = -(1 << 63)
 TAILS = b".,;:!?"
 #: the model lowers A-Z and drops line ends as it drops blanks
@@ -248,36 +251,38 @@ class Reader:
                     at += 4 * t
 
 
-def write(docs: DataFrame, model_path: str, folder: str, end_id: int = 2) -> DataFrame:
+def write(docs: DataFrame, model_path: str, folder: str, end_id: int = 2, file_bytes: int = FILE_BYTES, file_docs: int = FILE_DOCS) -> DataFrame:
     """Writes the files into ``folder`` (any URI that pyarrow's file systems open) in ascending doc_id
-    order and returns their manifest: path, first_id, first_uid, n_docs, n_tokens."""
+    order and returns their manifest: path, first_id, first_uid, n_docs, n_tokens. A file ends with the document
+    at which it has ``file_bytes`` of ids or ``file_docs`` documents, however many there are in a partition."""
 
     def run(batches: Iterable[pa.RecordBatch]):
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
-        writer = sink = None
         enc = Encoder.of(model_path)
         end = np.array([end_id], "<u4").tobytes()
-        name = f"{base}/{uuid.uuid4().hex}.zst"
-        first, docs_n, tokens_n = None, 0, 0
+        writer = sink = None
+
+        def closed():
+            writer.close()
+            sink.close()
+            return pa.RecordBatch.from_pydict({"path": [name], "first_id": pa.array([first[0]], pa.int64()), "first_uid": [first[1]], "n_docs": [len(writer.ids)], "n_tokens": [sum(writer.tokens)]})
+
         for b in batches:
             for s in slices(b, "text", 4 << 20):
-                if not s.num_rows:
-                    continue
-                if writer is None:
-                    fs.create_dir(base, recursive=True)
-                    sink = fs.open_output_stream(name, compression=None)
-                    writer = Writer(sink)
-                    first = (s.column("doc_id")[0].as_py(), s.column("uid")[0].as_py())
-                for i, ids in zip(s.column("doc_id").to_pylist(), enc.encode([t or "" for t in s.column("text").to_pylist()])):
+                texts = [t or "" for t in s.column("text").to_pylist()]
+                for i, uid, ids in zip(s.column("doc_id").to_pylist(), s.column("uid").to_pylist(), enc.encode(texts) if texts else ()):
+                    if writer is None:
+                        name, first, size = f"{base}/{uuid.uuid4().hex}.zst", (i, uid), 0
+                        fs.create_dir(base, recursive=True)
+                        sink = fs.open_output_stream(name, compression=None)
+                        writer = Writer(sink)
                     writer.add(i, ids + end)
-                    docs_n += 1
-                    tokens_n += len(ids) // 4 + 1
+                    size += len(ids) + 4
+                    if size >= file_bytes or len(writer.ids) >= file_docs:
+                        yield closed()
+                        writer = None
         if writer is not None:
-            writer.close()
-            sink.close()
-            yield pa.RecordBatch.from_pydict(
-                {"path": [name], "first_id": pa.array([first[0]], pa.int64()), "first_uid": [first[1]], "n_docs": [docs_n], "n_tokens": [tokens_n]}
-            )
+            yield closed()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("uid"))
     ordered = narrow.repartitionByRange("doc_id", "uid").sortWithinPartitions("doc_id", "uid")
@@ -298,15 +303,15 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
         fs, _ = pyarrow.fs.FileSystem.from_uri(folder)
         for b in batches:
             for path, start in zip(b.column("path").to_pylist(), b.column("begin").to_pylist()):
-                ids, starts, tokens, crc = [], [], [], []
                 with fs.open_input_file(path) as source:
-                    for doc_id, data in Reader(source).documents():
-                        ids.append(doc_id)
-                        starts.append(start)
-                        tokens.append(len(data) // 4)
-                        crc.append(zlib.crc32(data))
-                        start += len(data) // 4
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(tokens, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    each = Reader(source).documents()
+                    while rows := list(islice(each, 10_000)):
+                        tokens = np.array([len(data) // 4 for _, data in rows], "i8")
+                        ends = start + np.cumsum(tokens)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([i for i, _ in rows], pa.int64()), pa.array(ends - tokens), pa.array(tokens), pa.array([zlib.crc32(data) for _, data in rows], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
+                        )
+                        start = int(ends[-1])
 
     frame = spark.createDataFrame(table, "path string, begin long").repartition(max(1, len(table)))
     return arrow_map(frame, run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -372,3 +372,19 @@ def test_top_k_of_clusters_visits_few_shards(spark, monkeypatch):
 
 def test_helpers_lower():
     assert lower("ÀB") == "Àb" and isinstance(pd.DataFrame(), pd.DataFrame)
+
+
+def test_token_files_are_rolled(spark):
+    """Files end at a bound of bytes or documents; what is read back is the same for any."""
+    from docloom.llm.common import new_path
+
+    texts = [*TEXTS, *(f"text number {i} " * (i % 50) for i in range(200))]
+    df = docs(spark, texts).coalesce(1)
+    rows = lambda d: sorted(map(tuple, d.collect()), key=str)
+    want = rows(tokenbin.round_trip(df, WORD))
+    for bound in ({"file_bytes": 4000}, {"file_docs": 7}):
+        folder = new_path(spark, "rolled")
+        manifest = tokenbin.write(df, WORD, folder, **bound)
+        assert manifest.count() > 20 and rows(tokenbin.read(manifest, folder)) == want
+        if "file_docs" in bound:
+            assert max(r["n_docs"] for r in manifest.collect()) == 7
