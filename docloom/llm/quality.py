@@ -88,7 +88,9 @@ def features(text: str | None, n_chars: int | None) -> tuple[np.ndarray, np.ndar
         xs += (x / np.sqrt((x * x).sum())).tolist()
     for k, v in enumerate(stats):
         _bin(k, v, ids, xs)
-    return np.array(ids, "i4"), np.array(xs, "f4")
+    # words of one hash are one feature, so they do not meet each other in the pair term, and a row has SIZE at most
+    found, of = np.unique(np.array(ids, "i4"), return_inverse=True)
+    return found, np.bincount(of, np.array(xs, "f4"), len(found)).astype("f4")
 
 
 class Machine:
