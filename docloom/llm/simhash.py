@@ -246,14 +246,14 @@ def _multipliers(n: int) -> np.ndarray:
 
 
 def banded(docs: DataFrame, shingle: int) -> DataFrame:
-    """(uid, doc_id, node, fp, bands, size) of a text's distinct shingles: node stands for equal sets of
-    their hashes, fp is the set's fingerprint, size its number."""
+    """(uid, doc_id, node, check, fp, bands, size) of a text's distinct shingles: node and check, two digests of
+    64 bits, stand for equal sets of their hashes, fp is the set's fingerprint, size its number."""
 
     def run(batches):
         mult = _multipliers(BANDS * BAND_ROWS)
         for b in batches:
             for s in slices(b, "text"):
-                node, fps, bands, size = [], [], [], []
+                node, check, fps, bands, size = [], [], [], [], []
                 for t in s.column("text").to_pylist():
                     h = shingle_hashes(words(t), shingle)
                     h = np.unique(h)
@@ -264,14 +264,15 @@ def banded(docs: DataFrame, shingle: int) -> DataFrame:
                     parts = least.reshape(BANDS, BAND_ROWS)
                     fps.append(_signed(f))
                     node.append(_signed(xxhash.xxh64_intdigest(h.tobytes())))
+                    check.append(_signed(xxhash.xxh64_intdigest(h.tobytes(), 1)))
                     bands.append([_signed(xxhash.xxh64_intdigest(p.tobytes(), i)) for i, p in enumerate(parts)] if len(h) else [])
                     size.append(len(h))
                 yield pa.RecordBatch.from_arrays(
-                    [s.column("uid"), s.column("doc_id"), pa.array(node, pa.int64()), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(size, pa.int64())],
-                    names=["uid", "doc_id", "node", "fp", "bands", "size"],
+                    [s.column("uid"), s.column("doc_id"), *(pa.array(x, pa.int64()) for x in (node, check, fps)), pa.array(bands, pa.list_(pa.int64())), pa.array(size, pa.int64())],
+                    names=["uid", "doc_id", "node", "check", "fp", "bands", "size"],
                 )
 
-    return arrow_map(docs, run, "uid long, doc_id long, node long, fp long, bands array<long>, size long")
+    return arrow_map(docs, run, "uid long, doc_id long, node long, check long, fp long, bands array<long>, size long")
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -376,11 +377,13 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, piec
     radius = int(np.ceil(64 * p + 3.5 * np.sqrt(64 * p * (1 - p))))
     narrow = docs.select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = cut(banded(narrow, shingle), "banded")
-    nodes = rows.groupBy("node").agg(F.min_by("uid", F.coalesce("doc_id", F.lit(MASK >> 1))).alias("uid"), F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    first = cut(rows.join(nodes.select("uid"), "uid", "left_semi").select("uid", "node", "fp", "bands", "size"), "distinct-banded")
+    # equal sets are one node, known by the uid of its first row
+    sets_of = ["node", "check"]
+    nodes = rows.groupBy(*sets_of).agg(F.min_by("uid", F.coalesce("doc_id", F.lit(MASK >> 1))).alias("uid"), F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    first = cut(rows.join(nodes.select("uid"), "uid", "left_semi").select(F.col("uid").alias("node"), "fp", "bands", "size"), "distinct-banded")
     dealt = cut(_shared_shards(first, piece), "shared-shards")
-    needed = first.join(dealt.select("node").distinct(), "node", "left_semi").select("uid", "node")
-    sets = cut(shingle_sets(narrow.join(needed, "uid").select("node", "text"), shingle), "shingle-sets")
+    needed = dealt.select("node").distinct()
+    sets = cut(shingle_sets(narrow.select(F.col("uid").alias("node"), "text").join(needed, "node", "left_semi"), shingle), "shingle-sets")
     link = _verified(similarity, radius)
 
     def verify(batches):
@@ -397,11 +400,11 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, piec
     told = dealt.join(sets, "node").select("shard", "pair", "node", "fp", "set")
     links = arrow_map(told.repartition("shard", "pair").sortWithinPartitions("shard", "pair", "node"), verify, "a long, b long")
     roots = components(links)
-    every = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    every = nodes.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     every = cut(every, "groups")
     best = every.groupBy("root").agg(F.min_by("uid", F.coalesce("doc_id", F.lit(MASK >> 1))).alias("group_uid"), F.sum("n").alias("n"))
-    many = every.select("root", "node").join(best.where("n > 1"), "root").select("node", "group_uid")
-    return rows.select("uid", "doc_id", "node").join(many, "node", "left").select("uid", "doc_id", F.coalesce("group_uid", "uid").alias("group_uid"))
+    many = every.select("root", *sets_of).join(best.where("n > 1"), "root").select(*sets_of, "group_uid")
+    return rows.select("uid", "doc_id", *sets_of).join(many, sets_of, "left").select("uid", "doc_id", F.coalesce("group_uid", "uid").alias("group_uid"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
