@@ -94,7 +94,7 @@ def generic_blocks(spark, sf_dir):
 
 def record_errors(spark, sf_dir):
     """The record schema's validators on nested JSON, a row an error with its path (VAL1, FN23, LIM2)."""
-    e = load(spark, sf_dir, "events")
+    e = spread(load(spark, sf_dir, "events"))
     k = F.col("event_id")
     some = lambda n, bad, good: F.when(k % n == 0, bad).otherwise(good)
     item = _text('{"blockId":"b', some(3, '","blockType":"poem"', '","blockType":"paragraph"'), ',"text":"x","level":', some(4, "-1", "2"), some(5, ',"bbox":{"x0":"left","y0":1,"x1":2,"y1":3,"page":1.5}', ""), "}")
@@ -103,7 +103,7 @@ def record_errors(spark, sf_dir):
         '{"documentId":"', some(8, "a b", "a-b"), '","$schema":"s","version":"', some(9, "1.0", "1.0.0"), '","metadata":{"dc:title":"', some(10, "", "t"), '","dc:type":"Other"', some(11, "", ',"dc:language":"en"'),
         '},"content":[{"blockId":"a","blockType":"title","text":"t"},', item, '],"relations":[', relation, "]", some(13, ',"more":1', ""), "}",
     )
-    out = e.select("event_id", F.explode(validate.json_errors("doc")(record)).alias("e"))
+    out = e.select("event_id", validate.json_errors("doc")(record).alias("all")).select("event_id", F.explode("all").alias("e"))
     return out.select("event_id", F.col("e.target").alias("target"), F.col("e.validator").alias("validator"))
 
 
