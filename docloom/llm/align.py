@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, chunks, cut, ship, slices, trim
 
 #: bytes of text to a chunk, and of joined segments to one call of a tokenizer
-CHUNK, BLOCK = 8 << 20, 32 << 10
+CHUNK, BLOCK = 4 << 20, 32 << 10
 #: segments of documents whose pairs are told apart at once
 AT_ONCE = 200_000
 #: pairs of tokens of a group beyond which its distinct ids are paired
