@@ -12,6 +12,8 @@ possible distance first, skips children and vectors by the stored parent distanc
 their own, and stops at the first page that cannot reach the k-th best. Queries of a piece are searched
 together: a page is computed at once for those that need it. A query is searched in its own piece first; its k-th score
 there is the bound with which it visits other shards, and only those whose covering radius lets them beat it.
+Pieces are visited in groups of ``GROUP``: a query travels once to a group, with the pieces it needs as bits, and vectors
+travel as the narrowest whole numbers that hold them.
 Bounds have a margin for rounding; scores are exact integers.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part; vectors of
@@ -34,6 +36,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, cut
 
 SHARD, PIVOTS = 8192, 4096
+#: pieces that a task holds together, so that a query is sent to it once
+GROUP = 16
 #: shards of vectors whose length no pivot has
 OTHERS = 64
 LEAF, FANOUT = 64, 16
@@ -155,6 +159,27 @@ def _matrix(column) -> np.ndarray:
     return a.flatten().to_numpy(zero_copy_only=False).reshape(len(a), -1) if len(a) else np.empty((0, 0), "i8")
 
 
+def _packed(x: np.ndarray) -> pa.Array:
+    """Rows as bytes, in the narrowest whole numbers that hold them all."""
+    top = int(np.abs(x.astype("f8")).max(initial=0))
+    raw = x.astype("<i2" if top < 1 << 15 else "<i4" if top < 1 << 31 else "<i8")
+    n, size = len(raw), raw.shape[1] * raw.itemsize if raw.ndim == 2 else 0
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * size).astype("i4").tobytes()), pa.py_buffer(raw.tobytes())])
+
+
+def _unpacked(column, d: int) -> np.ndarray:
+    """Rows of d numbers each out of their bytes; rows of one width at once."""
+    if not d:
+        return np.empty((len(column), 0), "i8")
+    rows = column.to_pylist()
+    width = np.array([len(r) // d for r in rows])
+    out = np.empty((len(rows), d), "i8")
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        out[at] = np.frombuffer(b"".join([rows[i] for i in at.tolist()]), f"<i{w}").reshape(-1, d)
+    return out
+
+
 def _by_length(table: pa.Table):
     """(dim, rows of that length) of a table."""
     dim = table.column("dim").to_numpy()
@@ -204,15 +229,16 @@ def _assigned(rows: DataFrame, pivots: _Pivots) -> DataFrame:
                     shard, far = np.concatenate(shard), np.concatenate(far)
                 else:
                     shard, far = np.full(part.num_rows, PIVOTS + d % OTHERS), np.full(part.num_rows, np.inf)
+                part = part.set_column(part.column_names.index("v"), "v", _packed(_matrix(part.column("v"))))
                 part = part.append_column("shard", pa.array(shard, pa.int32())).append_column("far", pa.array(far, pa.float64()))
                 yield from part.combine_chunks().to_batches()
 
-    return arrow_map(rows, run, "uid long, vec_id long, dim int, v array<long>, shard int, far double")
+    return arrow_map(rows, run, "uid long, vec_id long, dim int, v binary, shard int, far double")
 
 
 def _pieces(batches, columns: tuple[str, ...]):
-    """(shard, piece, kind, table) of a partition sorted by those: vectors (kind 0) of a piece whole, queries
-    (kind 1) as they come, in blocks."""
+    """(columns.., table) of a partition sorted by those: vectors (kind 0, where kind is the last) of a key whole,
+    queries (kind 1) as they come, in blocks."""
     held, key = [], None
 
     def out():
@@ -226,7 +252,7 @@ def _pieces(batches, columns: tuple[str, ...]):
         edges = np.flatnonzero(np.concatenate(([True], (ks[1:] != ks[:-1]).any(1))))
         for i, j in zip(edges.tolist(), [*edges[1:].tolist(), b.num_rows]):
             k = tuple(ks[i].tolist())
-            if held and (k != key or (key[-1] == 1 and sum(x.num_rows for x in held) >= QUERY_BLOCK)):
+            if held and (k != key or (len(columns) > 1 and key[-1] == 1 and sum(x.num_rows for x in held) >= QUERY_BLOCK)):
                 yield out()
                 held = []
             key = k
@@ -250,14 +276,14 @@ def _home(dealt: DataFrame, k: int, every: int, m2: float) -> DataFrame:
     """Every query's best in its own piece."""
 
     def run(batches):
-        for *_, table in _pieces(batches, ("shard", "piece")):
-            for _, part in _by_length(table):
+        for *_, table in _pieces(batches, ("number",)):
+            for d, part in _by_length(table):
                 ids = _ids(part)
                 known = part.column("vec_id").is_valid().to_numpy()
                 mine = np.flatnonzero(known & (ids % every == 0))
                 if not len(mine):
                     continue
-                x = _matrix(part.column("v"))
+                x = _unpacked(part.column("v"), d)
                 tree = MTree(x, ids, m2)
                 uid = part.column("uid").to_numpy()
                 for i in range(0, len(mine), QUERY_BLOCK):
@@ -267,17 +293,18 @@ def _home(dealt: DataFrame, k: int, every: int, m2: float) -> DataFrame:
     return arrow_map(dealt, run, HITS)
 
 
-def _visits(queries: DataFrame, pivots: _Pivots, shards: dict[int, tuple[int, float]]) -> DataFrame:
-    """(shard, piece, uid, vec_id, dim, v, floor) for the pieces that may hold one of a query's k best."""
+def _visits(queries: DataFrame, pivots: _Pivots, shards: dict[int, tuple[int, float, int]]) -> DataFrame:
+    """(grp, uid, vec_id, dim, v, floor, slots): a query once for each group of pieces in which any may hold one of its
+    k best; those pieces are the bits of ``slots``. ``shards``: pieces, covering radius, number of the first piece."""
 
     def run(batches):
         for b in batches:
             for d, part in _by_length(pa.Table.from_batches([b])):
-                x, floor = _matrix(part.column("v")), part.column("floor").to_numpy()
+                x, floor = _unpacked(part.column("v"), d), part.column("floor").to_numpy()
                 f = x.astype("f8")
                 reach = np.sqrt(np.maximum((f * f).sum(1) + pivots.m2 - 2 * floor.astype("f8"), 0)) * (1 + 1e-9) + 1e-6
                 reach[floor == LOWEST] = np.inf
-                own_shard, own_piece = part.column("shard").to_numpy(), part.column("piece").to_numpy()
+                own = part.column("number").to_numpy()
                 if d in pivots.of:
                     numbers = pivots.of[d][0]
                     low = pivots.apart(d, x, False) - np.array([shards.get(s, (0, -np.inf))[1] for s in numbers.tolist()])[None, :]
@@ -285,39 +312,56 @@ def _visits(queries: DataFrame, pivots: _Pivots, shards: dict[int, tuple[int, fl
                     need = low <= reach[:, None] + 1e-6 * (1 + np.sqrt(pivots.m2))
                 else:
                     numbers, need = np.array([PIVOTS + d % OTHERS]), np.ones((len(x), 1), bool)
+                slots: dict[int, np.ndarray] = {}
                 for c, s in enumerate(numbers.tolist()):
-                    for p in range(shards.get(s, (0, 0.0))[0]):
-                        at = np.flatnonzero(need[:, c] & ~((own_shard == s) & (own_piece == p)))
-                        if len(at):
-                            t = part.select(["uid", "vec_id", "dim", "v", "floor"]).take(pa.array(at))
-                            t = t.append_column("shard", pa.array(np.full(len(at), s, "i4"))).append_column("piece", pa.array(np.full(len(at), p, "i4")))
-                            yield from t.combine_chunks().to_batches()
+                    pieces, _, first = shards.get(s, (0, 0.0, 0))
+                    for p in range(first, first + pieces):
+                        bits = slots.setdefault(p // GROUP, np.zeros(len(x), "i8"))
+                        bits |= (need[:, c] & (own != p)).astype("i8") << (p % GROUP)
+                for g, bits in slots.items():
+                    at = np.flatnonzero(bits)
+                    if len(at):
+                        t = part.select(["uid", "vec_id", "dim", "v", "floor"]).take(pa.array(at))
+                        t = t.append_column("grp", pa.array(np.full(len(at), g, "i4"))).append_column("slots", pa.array(bits[at]))
+                        yield from t.combine_chunks().to_batches()
 
-    return arrow_map(queries, run, "uid long, vec_id long, dim int, v array<long>, floor long, shard int, piece int")
+    return arrow_map(queries, run, "uid long, vec_id long, dim int, v binary, floor long, grp int, slots long")
 
 
 def _abroad(dealt: DataFrame, visits: DataFrame, k: int, m2: float) -> DataFrame:
-    """What queries find in other pieces. A piece's tree is built once; its queries stream by."""
+    """What queries find in other pieces. A group's vectors are held as bytes and a piece's tree is built once; queries
+    stream by in blocks, and what a block found in one piece is its bound in the next."""
 
     def run(batches):
-        key, trees = None, {}
-        for shard, piece, kind, table in _pieces(batches, ("shard", "piece", "kind")):
+        key, held, trees = None, {}, {}
+        for group, kind, table in _pieces(batches, ("grp", "kind")):
             if kind == 0:
-                key, trees = (shard, piece), {}
-                vectors = dict(_by_length(table))
+                key, held, trees = group, {}, {}
+                slot = table.column("slots").to_numpy()
+                for i in np.unique(slot).tolist():
+                    held[i] = dict(_by_length(table.take(pa.array(np.flatnonzero(slot == i)))))
                 continue
-            if key != (shard, piece):
+            if key != group:
                 continue
             for d, part in _by_length(table):
-                if d in vectors:
-                    if d not in trees:
-                        trees[d] = MTree(_matrix(vectors[d].column("v")), _ids(vectors[d]), m2)
-                    yield _hits(part.column("uid").to_numpy(), part.column("vec_id").to_numpy(), trees[d].ids, *trees[d].search(_matrix(part.column("v")), k, floor=part.column("floor").to_numpy()))
-
-    columns = ("shard", "piece", "kind", "uid", "vec_id", "dim", "v", "floor")
-    left = dealt.withColumn("kind", F.lit(0)).withColumn("floor", F.lit(None).cast("long")).select(*columns)
+                q, floor, bits = _unpacked(part.column("v"), d), part.column("floor").to_numpy().copy(), part.column("slots").to_numpy()
+                uid, ids = part.column("uid").to_numpy(), part.column("vec_id").to_numpy()
+                for i in [i for i in held if d in held[i]]:
+                    at = np.flatnonzero(bits >> i & 1)
+                    if not len(at):
+                        continue
+                    if (i, d) not in trees:
+                        trees[i, d] = MTree(_unpacked(held[i][d].column("v"), d), _ids(held[i][d]), m2)
+                    score, row = trees[i, d].search(q[at], k, floor=floor[at])
+                    yield _hits(uid[at], ids[at], trees[i, d].ids, score, row)
+                    full = row[:, -1] >= 0
+                    floor[at[full]] = np.maximum(floor[at[full]], score[full, -1])
+
+    columns = ("grp", "kind", "slots", "uid", "vec_id", "dim", "v", "floor")
+    number = F.expr(f"cast(number div {GROUP} as int)"), F.expr(f"cast(number % {GROUP} as long)")
+    left = dealt.select(number[0].alias("grp"), F.lit(0).alias("kind"), number[1].alias("slots"), "uid", "vec_id", "dim", "v", F.lit(None).cast("long").alias("floor"))
     both = left.union(visits.withColumn("kind", F.lit(1)).select(*columns))
-    return arrow_map(both.repartition("shard", "piece").sortWithinPartitions("shard", "piece", "kind"), run, HITS)
+    return arrow_map(both.repartition("grp").sortWithinPartitions("grp", "kind"), run, HITS)
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
@@ -333,10 +377,14 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     sample = cut(rows.orderBy(F.md5(F.concat_ws(",", F.col("v").cast("array<string>")).cast("binary")), "vec_id").select("v").limit(n_pivots), "pivots").collect()
     pivots = _Pivots([r["v"] for r in sample], m2)
     placed = cut(_assigned(rows, pivots), "placed")
-    sizes = {r["shard"]: (int(r["k"]), r["radius"]) for r in placed.groupBy("shard").agg(F.ceil(F.count("*") / SHARD).alias("k"), F.max("far").alias("radius")).collect()}  # at most PIVOTS + OTHERS rows
-    several = placed.sparkSession.createDataFrame([(s, x) for s, (x, _) in sizes.items()], "shard int, k int")
-    dealt = placed.join(F.broadcast(several), "shard").select("uid", "vec_id", "dim", "v", "shard", F.pmod(F.xxhash64("uid"), F.col("k")).cast("int").alias("piece"))
-    home = cut(_home(dealt.repartition("shard", "piece").sortWithinPartitions("shard", "piece"), k, every, m2), "home")
+    # at most PIVOTS + OTHERS rows
+    counted = sorted((r["shard"], int(r["k"]), r["radius"]) for r in placed.groupBy("shard").agg(F.ceil(F.count("*") / SHARD).alias("k"), F.max("far").alias("radius")).collect())
+    first = np.append(0, np.cumsum([n for _, n, _ in counted])).tolist()
+    sizes = {s: (n, radius, f) for (s, n, radius), f in zip(counted, first)}
+    several = placed.sparkSession.createDataFrame([(s, n, f) for s, (n, _, f) in sizes.items()], "shard int, k int, first int")
+    number = F.col("first") + F.pmod(F.xxhash64("uid"), F.col("k")).cast("int")
+    dealt = placed.join(F.broadcast(several), "shard").select("uid", "vec_id", "dim", "v", number.alias("number"))
+    home = cut(_home(dealt.repartition("number").sortWithinPartitions("number"), k, every, m2), "home")
     floor = home.groupBy(F.col("q_uid").alias("uid")).agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(LOWEST)).alias("floor"))
     queries = dealt.where(f"vec_id % {every} = 0").join(floor, "uid", "left").withColumn("floor", F.coalesce("floor", F.lit(LOWEST).cast("long")))
     found = home.union(_abroad(dealt, _visits(queries, pivots, sizes), k, m2))
