@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -466,6 +467,22 @@ def _metadata_row(meta: dict) -> dict:
     return {n: meta.get(n) for n in META_FIELDS}
 
 
+#: documents, and bytes of them, that are expanded at a time; a larger document is by itself
+AT_ONCE, BYTES_AT_ONCE = 500, 8 << 20
+
+
+def few(batch: pa.RecordBatch, column: str = "content") -> Iterator[pa.RecordBatch]:
+    """A batch in slices of bounded numbers of rows and bytes."""
+    start = held = 0
+    for i, size in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        if i > start and (i - start == AT_ONCE or held + (size or 0) > BYTES_AT_ONCE):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size or 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def shred(files: DataFrame, parts: tuple[str, ...] = PARTS, formats: dict = C.FORMATS) -> DataFrame:
     """files (path, doc_id, content: binary) -> one row a document: format, error, blocks, relations, metadata.
     Only ``parts`` are made; a Python stage does not see which of its columns are read, so it must be told.
@@ -480,8 +497,7 @@ def shred(files: DataFrame, parts: tuple[str, ...] = PARTS, formats: dict = C.FO
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 500):  # documents are expanded a few at a time
-                part = b.slice(at, 500)
+            for part in few(b):
                 rows = [parse(p, d, c, parts, formats) for p, d, c in zip(*(part.column(n).to_pylist() for n in ("path", "doc_id", "content")))]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 

@@ -198,6 +198,18 @@ def test_actual_values_are_told_as_json(spark):
     assert told["type", "enum"] == '"odd \\"one\\""' and told["termId", "type"] == "5" and told["<record>", "additionalProperties"] == '"x\\ny"'
 
 
+def test_documents_are_expanded_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(xml, "AT_ONCE", 4)
+    monkeypatch.setattr(xml, "BYTES_AT_ONCE", 10)
+    sizes = [1, 2, 3, 4, 5, 50, 0, None, 1, 1, 1, 1]
+    batch = pa.record_batch({"content": pa.array([None if n is None else b"x" * n for n in sizes], pa.binary())})
+    parts = [[None if x is None else len(x) for x in b.column("content").to_pylist()] for b in xml.few(batch)]
+    assert parts == [[1, 2, 3, 4], [5], [50], [0, None, 1, 1], [1, 1]] and sum(parts, []) == sizes
+    assert list(xml.few(batch.slice(0, 0))) == []
+
+
 def test_relation_vocabulary(spark):
     df = spark.createDataFrame([("CITES",), ("custom:A_b",), ("custom:",), ("cites",), (None,)], "relation_type string")
     assert [r[0] for r in df.select(validate.relation_ok()).collect()] == [True, True, False, False, False]
