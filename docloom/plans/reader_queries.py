@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import tracing
+from ..functions import text as T
 from ..functions import transforms as X
 from ..operators import layout
 from ..operators.store import Store
@@ -267,10 +268,40 @@ def ingest_terms(spark, sf_dir):
         UNION ALL SELECT 'record', documentId, metadata.`dc:title`, CAST(size(content) * 100 + size(provenance.sourceXPathMapping) AS BIGINT) FROM landing_docs""")
 
 
+def store_purge(spark, sf_dir):
+    """Tables of a store after one of them was purged (SNK9), and what is left to its views (API2)."""
+    s = Store(spark, new_path(spark, "purged"))
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for t in ("fragments", "problems"):
+        s.upsert(t, o, ["o_orderkey"], ["o_orderkey"])
+    s.purge("problems")
+    left = spark.table(s.views()[0])
+    return left.groupBy("o_orderstatus").agg(F.count("*").alias("n")).withColumn("purged", F.lit(not s.exists("problems"))).withColumn("views", F.lit(",".join(s.views())))
+
+
+def stable_ids(spark, sf_dir):
+    """Ids of documents by path and content: the same for the same (FN22)."""
+    d = load(spark, sf_dir, "documents")
+    return d.select("doc_id", T.stable_id("DOC_", F.col("source"), F.sha2("text", 256)).alias("id"))
+
+
+def korean_labels(spark, sf_dir):
+    """Headings of Korean documents: numbered parts and letters, with their depth (FN1, FN5)."""
+    p, k = load(spark, sf_dir, "part"), F.col("p_partkey")
+    kind = F.element_at(F.array(*map(F.lit, ("장", "절", "항", "목"))), (k % 4 + 1).cast("int"))
+    text = F.when(k % 3 == 0, _text("제", _str("p_size"), kind, " ", F.col("p_name"))).when(k % 3 == 1, _text(F.element_at(F.array(*map(F.lit, "가나다")), (k % 3 + 1).cast("int")), ". ", F.col("p_name"))).otherwise(_text("가격 ", F.col("p_name")))
+    s = T.section_label(text)
+    return p.select("p_partkey", s["label"].alias("label"), s["title"].alias("title"), T.label_depth(s["label"]).cast("int").alias("depth"))
+
+
 _PAGES = "SELECT o_custkey AS doc_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT) AS page, o_orderkey, o_orderpriority, o_orderstatus FROM orders"
 _HEADING = "concat(o_orderkey % 9 + 1, ' ORDER ', o_orderkey)"
 _PARTS = "SELECT *, max(CASE WHEN p_partkey % 5 = 0 THEN p_partkey END) OVER (PARTITION BY p_brand ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS head FROM part"
 SQL = {
+    "store_purge": "SELECT o_orderstatus, count(*) AS n, true AS purged, 'fragments' AS views FROM orders GROUP BY o_orderstatus",
+    "stable_ids": "SELECT doc_id, concat('DOC_', left(sha256(concat_ws(chr(31), source, sha256(text))), 32)) AS id FROM documents",
+    "korean_labels": """WITH t AS (SELECT p_partkey, p_name, CASE p_partkey % 3 WHEN 0 THEN concat('제', p_size, ['장', '절', '항', '목'][p_partkey % 4 + 1]) WHEN 1 THEN '나.' END AS label FROM part)
+        SELECT p_partkey, label, CASE WHEN label IS NOT NULL THEN p_name END AS title, CAST(length(label) - length(replace(label, '.', '')) + 1 AS INT) AS depth FROM t""",
     "pdf_spans": f"""WITH p AS ({_PAGES}), s AS (
             SELECT doc_id, page, CAST(1 AS INT) AS block, CAST(1 AS BIGINT) AS pos, {_HEADING} AS text, 'Helvetica-Bold' AS font, 18.0::DOUBLE AS size, CAST(16 AS INT) AS flags, 370 AS y FROM p
             UNION ALL SELECT doc_id, page, 2, 2, concat('Goods of ', o_orderpriority), 'Helvetica', 10.0, 0, 300 FROM p UNION ALL SELECT doc_id, page, 3, 3, concat('Status ', o_orderstatus, '.'), 'Helvetica', 10.0, 0, 260 FROM p)
@@ -329,6 +360,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         pdf_spans, pdf_blocks, structural_blocks, supplemented_blocks, front_matter, scanned_pages, deck_slides, sheet_records, scan_files, media_gate, parser_strategies, run_counters, applic_trees, catalog_relations, raw_fields, block_fragments,
-        transform_registry, model_terms, model_metadata, ingest_terms,
+        transform_registry, model_terms, model_metadata, ingest_terms, store_purge, stable_ids, korean_labels,
     )
 }

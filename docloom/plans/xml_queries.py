@@ -103,8 +103,8 @@ def record_errors(spark, sf_dir):
         '{"documentId":"', some(8, "a b", "a-b"), '","$schema":"s","version":"', some(9, "1.0", "1.0.0"), '","metadata":{"dc:title":"', some(10, "", "t"), '","dc:type":"Other"', some(11, "", ',"dc:language":"en"'),
         '},"content":[{"blockId":"a","blockType":"title","text":"t"},', item, '],"relations":[', relation, "]", some(13, ',"more":1', ""), "}",
     )
-    out = e.select("event_id", validate.json_errors("doc")(record).alias("all")).select("event_id", F.explode("all").alias("e"))
-    return out.select("event_id", F.col("e.target").alias("target"), F.col("e.validator").alias("validator"))
+    out = e.select("event_id", validate.json_errors("doc")(record).alias("all")).select("event_id", F.posexplode("all").alias("n", "e"))
+    return out.select("event_id", "n", F.col("e.target").alias("target"), F.col("e.validator").alias("validator"))
 
 
 #: a user's catalog, as they would write it
@@ -208,7 +208,7 @@ SQL = {
     "record_errors": """WITH k AS (SELECT event_id, unnest([CASE WHEN event_id % 3 = 0 THEN 'content[1].blockType|enum' END, CASE WHEN event_id % 4 = 0 THEN 'content[1].level|minimum' END, CASE WHEN event_id % 5 = 0 THEN 'content[1].bbox.x0|type' END, CASE WHEN event_id % 5 = 0 THEN 'content[1].bbox.page|type' END,
             CASE WHEN event_id % 6 = 0 THEN 'relations[0].relationType|oneOf' END, CASE WHEN event_id % 7 = 0 THEN 'relations[0].confidence|maximum' END, CASE WHEN event_id % 8 = 0 THEN 'documentId|pattern' END, CASE WHEN event_id % 9 = 0 THEN 'version|pattern' END,
             CASE WHEN event_id % 10 = 0 THEN 'metadata.dc:title|minLength' END, CASE WHEN event_id % 11 = 0 THEN 'metadata|required' END, CASE WHEN event_id % 13 = 0 THEN '<record>|additionalProperties' END]) AS x FROM events)
-        SELECT event_id, split_part(x, '|', 1) AS target, split_part(x, '|', 2) AS validator FROM k WHERE x IS NOT NULL""",
+        SELECT event_id, CAST(row_number() OVER (PARTITION BY event_id ORDER BY replace(split_part(x, '|', 1), '<record>', '')) - 1 AS INT) AS n, split_part(x, '|', 1) AS target, split_part(x, '|', 2) AS validator FROM k WHERE x IS NOT NULL""",
     "rule_options": """SELECT p_partkey, concat(p_name, ' / ', p_type) AS dc_title, replace(p_name, ' ', '|') AS subjects, CASE WHEN p_partkey % 2 = 0 THEN 'en' ELSE 'de' END AS dc_language, concat('Grade ', p_size, ' | ', p_brand) AS dc_description,
         CASE WHEN p_partkey % 3 = 0 THEN 'restricted' ELSE 'public' END AS access, concat(p_type, ':reviewer:person') AS contributor, concat('DOI:', p_partkey, ',URI:fixed') AS ids, concat('{"spatialCoverage": "Hall ', p_size, '"}') AS dc_coverage FROM part""",
     "prefixed_blocks": "SELECT p_partkey, 'note' AS block_type, concat('Hint: Look at ', p_partkey) AS text FROM part UNION ALL SELECT p_partkey, 'danger', '[DANGER] Hot' FROM part",
