@@ -8,7 +8,8 @@ never inputs of a score.
 
 The machine is fitted on the driver on at most ``sample`` labelled rows outside of the held-out fold
 (crc32 of the doc_id as text, mod 3, is 1): those with the smallest md5 of the id, which is a uniform
-sample that does not depend on order or partitions. Only features of those rows come to the driver.
+sample that does not depend on order or partitions. Only features of those rows come to the driver; words of one
+hash are one feature, so a text of any length has (2^15 + bins) of them at most.
 The fitted arrays have a fixed size (2^15 + bins) x (rank + 1), whatever the corpus.
 
 Defined cases: null and empty texts get the score of a text without words; a null n_chars has a bin of

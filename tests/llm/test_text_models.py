@@ -168,6 +168,18 @@ def test_linear_time_identity():
     assert math.isclose(m.raw(ids, x), plain_fm(m, ids, x), rel_tol=1e-3)
 
 
+def test_features_of_a_huge_text_are_bounded():
+    """A text of very many distinct words has a feature for each hash, once, with the sum of its words' values."""
+    text = " ".join(f"w{i}" for i in range(300_000))
+    ids, x = quality.features(text, len(text))
+    assert len(ids) == len(set(ids.tolist())) <= quality.SIZE and (np.diff(ids) > 0).all() and (x > 0).all()
+    few, y = quality.features("one two two", 11)
+    words = {zlib.crc32(w.encode()) & (quality.WORDS - 1): 1 + math.log(n) for w, n in (("one", 1), ("two", 2))}
+    length = math.sqrt(sum(v * v for v in words.values()))
+    got = dict(zip(few.tolist(), y.tolist()))
+    assert all(math.isclose(got[k], v / length, rel_tol=1e-5) for k, v in words.items())
+
+
 def labelled(spark, n=400):
     rng = np.random.default_rng(2)
     words = [f"{'abcdefghij'[i % 10]}{'klmnop'[i % 6]}e" for i in range(60)]
