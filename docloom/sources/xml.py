@@ -8,8 +8,10 @@ does not parse becomes a problem row instead of ending the run.
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from xml.etree import ElementTree as ET
 
 import pyarrow as pa
@@ -47,8 +49,6 @@ PARSED = f"path string, doc_id string, format string, error string, blocks array
 
 def split_label(text: str) -> tuple[str | None, str | None]:
     """(label, title) of a numbered heading; the Column version is functions.text.section_label."""
-    import re
-
     from ..functions.text import LABEL_PATTERNS
 
     global LABELS
@@ -143,6 +143,9 @@ ONE = {
 MANY = {"jats_author_name": _authors, "join_text": lambda els, p: "; ".join(filter(None, map(text_of, els))) or None}
 
 
+#: a path that is looked up by tag
+BELOW = re.compile(r"\.//([^/\[\]*@.{}]+)((?:/[^/\[\]*@.{}]+)*)")
+
 # --- metadata rules ------------------------------------------------------------------------------------------
 
 
@@ -158,9 +161,23 @@ class Rules:
         return self.find(rule.get("dc_element", ""))
 
     def find(self, path: str) -> list:
-        if path.startswith(".//") or "/" in path:
+        if m := BELOW.fullmatch(path):  # most rules: names below the root, and children of those
+            found = self.by_tag.get(m[1], [])
+            for step in m[2].split("/")[1:]:
+                found = [c for e in found for c in e if c.tag == step]
+            return found
+        if "/" in path:
             return self.root.findall(path)
-        return next((found for ns in self.namespaces if path and (found := self.root.findall(f".//{{{ns}}}{path}"))), [])
+        return next((found for ns in self.namespaces if path and (found := self.by_tag.get(f"{{{ns}}}{path}"))), [])
+
+    @cached_property
+    def by_tag(self) -> dict[str, list]:
+        """Elements below the root by tag, in document order: one walk for all rules."""
+        out: dict[str, list] = {}
+        for e in self.root.iter():
+            if e is not self.root:
+                out.setdefault(e.tag, []).append(e)
+        return out
 
     def value(self, rule: dict):
         if "static" in rule:
