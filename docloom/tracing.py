@@ -8,7 +8,7 @@ import json
 import logging
 import secrets
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _trace: contextvars.ContextVar[str] = contextvars.ContextVar("trace", default="")
@@ -34,13 +34,10 @@ class JsonLines(logging.Formatter):
         return json.dumps(line, ensure_ascii=False)
 
 
-def counted(rows: DataFrame, name: str, failed: str = "error", added: str | None = None) -> tuple[DataFrame, Observation]:
-    """rows with counters (total, failed, succeeded and, where ``added`` names a column of numbers, its sum over those
-    that did not fail) that fill as an action reads them, without a pass of their own."""
+def counted(rows: DataFrame, name: str, failed: str = "error", *more: Column) -> tuple[DataFrame, Observation]:
+    """rows with counters (total, failed and ``more``) that fill as an action reads them, without a pass of their own."""
     seen = Observation(name)
-    bad = F.col(failed).isNotNull()
-    more = [F.coalesce(F.sum(F.when(~bad, F.col(added).cast("long"))), F.lit(0)).alias("added")] if added else []
-    return rows.observe(seen, F.count("*").alias("total"), F.count_if(bad).alias("failed"), F.count_if(~bad).alias("succeeded"), *more), seen
+    return rows.observe(seen, F.count("*").alias("total"), F.count_if(F.col(failed).isNotNull()).alias("failed"), *more), seen
 
 
 class Counters:
@@ -51,8 +48,13 @@ class Counters:
         self.spark, self.run, self.seen, self.told = spark, run, {}, set()
 
     def watch(self, stage: str, rows: DataFrame, failed: str = "error", added: str | None = None) -> DataFrame:
-        """``rows``, counted under ``stage`` as soon as an action has read them."""
-        out, self.seen[stage] = counted(rows, f"{self.run}-{stage}-{len(self.seen)}", failed, added)
+        """``rows``, counted under ``stage`` as soon as an action has read them: total, failed, succeeded and, where
+        ``added`` names a column of numbers, its sum over those that did not fail."""
+        fine = F.col(failed).isNull()
+        more = [F.count_if(fine).alias("succeeded")]
+        if added:
+            more.append(F.coalesce(F.sum(F.when(fine, F.col(added).cast("long"))), F.lit(0)).alias("added"))
+        out, self.seen[stage] = counted(rows, f"{self.run}-{stage}-{len(self.seen)}", failed, *more)
         return out
 
     def rows(self) -> DataFrame:
