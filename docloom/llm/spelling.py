@@ -12,7 +12,8 @@ several keys bring together is taken at the first.
 Counts are summed in the tasks that read the texts before they are shuffled, so a frequent word is one row a
 task. All that follows works on the vocabulary. A word's form is its near word of largest count, if that is at
 least twice its own; roots follow forms by pointer doubling, and as counts double at every step a chain
-is no longer than the logarithm of the corpus.
+is no longer than the logarithm of the corpus. Vocabularies are joined by sorting: a table of words is small on
+disk, and Spark, which does not count a word's keys, would collect and broadcast them from the driver.
 
 Defined cases: null and empty texts have no words; repeated rows count again; a null doc_id stands as '' in the
 digest; ties of counts go to the smaller word in code-point order. An empty table gives an empty result.
@@ -110,6 +111,11 @@ def _keys(words: DataFrame, length: Column, bands: list[tuple[int, ...]]) -> Dat
 KEY = ["which", "mask0", "mask1", "length", "side", "half"]
 
 
+def _sorted(words: DataFrame) -> DataFrame:
+    """A side of a join that is never broadcast."""
+    return words.hint("merge")
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, near, near_n): both directions of every pair of words (word, n) that are one edit apart."""
     told = words.withColumn("letters", F.expr(LETTERS)).withColumn("masks", F.array(band(0), band(1), band(2))).drop("letters")
@@ -119,13 +125,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # a letter replaced: one band at least is equal; taken at the first equal one
     same = _keys(told, F.length("word"), [(0,), (1,), (2,)])
     first = F.expr("which = int(array_position(zip_with(masks, near_masks, (x, y) -> x = y), true)) - 1")
-    replaced = same.join(other(same), KEY).where((F.col("word") != F.col("near")) & first & one_apart).select("word", "n", "near", "near_n")
+    replaced = same.join(_sorted(other(same)), KEY).where((F.col("word") != F.col("near")) & first & one_apart).select("word", "n", "near", "near_n")
     # a letter more: two bands are equal, and only two; taken at the first half if both are equal
     pairs = [(0, 1), (0, 2), (1, 2)]
     short, long = _keys(told, F.length("word"), pairs), _keys(told, F.length("word") - 1, pairs)
     half = F.expr("int(length / 2)")
     once = (F.col("side") == 0) | (F.substring("word", F.lit(1), half) != F.substring("near", F.lit(1), half))
-    inserted = short.join(other(long), KEY).where(once & one_apart).select("word", "n", "near", "near_n")
+    inserted = short.join(_sorted(other(long)), KEY).where(once & one_apart).select("word", "n", "near", "near_n")
     both = F.explode(F.array(F.struct("word", "near", "near_n"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n"))))
     return replaced.select("word", "near", "near_n").unionByName(inserted.select(both.alias("p")).select("p.*"))
 
@@ -135,7 +141,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = forms.select("word", F.col("form").alias("root"))
     while True:
         further = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        now = cut(now.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
+        now = cut(now.join(_sorted(further), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         if now.where("moved").isEmpty():
             return now.select("word", "root")
         now = now.select("word", "root")
@@ -146,10 +152,10 @@ def variants(docs: DataFrame) -> DataFrame:
     words = cut(vocabulary(docs), "words")
     best = near_pairs(words).groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near"))).alias("best"))
     large = -F.col("best.less") >= RATIO * F.col("n")
-    told = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(large, F.col("best.near")).alias("form"), F.when(large, -F.col("best.less")).alias("form_n"))
+    told = words.join(_sorted(best), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(large, F.col("best.near")).alias("form"), F.when(large, -F.col("best.less")).alias("form_n"))
     told = cut(told, "forms")
     ends = roots(told.where("form is not null"))
-    return told.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return told.join(_sorted(ends), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 #: The digest (CRC-32, reflected, polynomial EDB88320) a byte at a time, then words, their deletions as keys of near pairs, and forms followed to the last.

@@ -12,7 +12,7 @@ from helpers import LONG, TEXTS, docs, empty, lower, saved, sha
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from docloom.llm import align, spelling, suffix
+from docloom.llm import align, common, spelling, suffix
 
 BYTE, PIECE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -197,6 +197,12 @@ def test_variants_against_plain(spark):
     assert got == want and any(f for _, f, *_ in want) and any(r != f and f for _, f, r, *_ in want)
 
 
+def test_no_vocabulary_is_broadcast(spark):
+    words = common.cut(spark.createDataFrame([("hello", 9), ("hallo", 3)], "word string, n long"), "words")
+    plan = spelling.near_pairs(words)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+
+
 def test_variants_of_the_shared_table_and_empty(spark):
     assert {tuple(r) for r in spelling.variants(docs(spark)).collect()} == plain_variants(TEXTS, range(len(TEXTS)))
     assert spelling.variants(empty(spark)).count() == 0
