@@ -431,3 +431,30 @@ def test_shared_folder_is_required_on_a_cluster():
     for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
         with pytest.raises(ValueError):
             tables.shared_dir(made(master))
+
+
+def test_fragments_are_those_of_elementtree():
+    from xml.etree import ElementTree as ET
+
+    for text in ('<a b="1 &lt; &quot;2&quot;&#10;">x &amp; y<c/>tail &gt;<d>z<e f="g"/></d></a>', '<a xmlns:n="u"><n:b n:c="d">t</n:b><e n:f="g"/></a>', "<a></a>"):
+        for el in ET.fromstring(text).iter():
+            assert xml.fragment(el) == ET.tostring(el, encoding="unicode")
+    deep = ET.fromstring("<a>" * 3000 + "</a>" * 3000)
+    assert xml.fragment(deep).startswith("<a><a>") and xml.fragment(deep).count("</a>") == 2999
+
+
+def test_paths_without_fragments():
+    """What a query does not read is not made: fragments are as long as the document at every level of sections."""
+    data = b"<article><body><sec><title>T</title><p>x</p></sec></body></article>"
+    whole, some = (xml.parse("", "d", data, ("blocks", more))["blocks"] for more in ("lineage", "paths"))
+    assert [b["source_xpath"] for b in some] == [b["source_xpath"] for b in whole] and all(b.get("xml_fragment") is None for b in some) and all(b["xml_fragment"] for b in whole)
+
+
+def test_dealing_runs_nothing(spark):
+    from docloom.sources.tables import dealt
+
+    counted = spark.range(1000).groupBy(F.expr("id % 100").alias("k")).count()
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    rows = dealt(counted)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
+    assert rows.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
