@@ -58,7 +58,7 @@ def catalog(data: dict | None) -> tuple[str, dict] | None:
     content = data.get("content", {})
     as_list = lambda x: x if isinstance(x, list) else [x]
     rules = [
-        {"tag": [t.lower() for t in as_list(m["tag"])], "block": None if m.get("block_type_from_tag") else m.get("block_type", "paragraph"), "title_child": m.get("title_child", "title"), **{k: m[k] for k in ("prefix", "prefix_template") if k in m}}
+        {"tag": [t.lower() for t in as_list(m["tag"])], "block": None if m.get("block_type_from_tag") else m.get("block_type", "paragraph"), "title_child": m.get("title_child", "title"), **{k: m[k] for k in ("prefix", "prefix_template", "keep_empty") if k in m}}
         for m in content.get("mappings", [])
     ]
     relations = [{"xpath": r["xpath"], "type": r.get("relation_type", "RELATED_TO"), "transform": r.get("transform")} for r in data.get("relations", []) if r.get("xpath")]

@@ -88,7 +88,7 @@ format_id: web
 detect: {root_tag_contains: webpage}
 relations: [{xpath: .//a, relation_type: RELATED_TO}]
 content:
-  mappings: [{tag: h1, block_type: title}, {tag: li, block_type: listItem}, {tag: p, block_type: paragraph}]
+  mappings: [{tag: h1, block_type: title, keep_empty: true}, {tag: li, block_type: listItem, keep_empty: true}, {tag: p, block_type: paragraph, keep_empty: true}]
 """
 
 
@@ -104,7 +104,7 @@ def web_pages(spark, sf_dir, *parts: str):
 
 
 def html_blocks(spark, sf_dir):
-    """Paragraphs, headings and items of pages that have text, in order, by a user's content rules (TRE1, JOI6)."""
+    """Paragraphs, headings and items of pages, those without text too, in order, by a user's content rules (TRE1, JOI6)."""
     b = xml.blocks(web_pages(spark, sf_dir, "blocks"))
     return b.select(F.col("doc_id").cast("long").alias("page_id"), (F.col("pos") - 1).cast("int").alias("pos"), "block_type", "text")
 
@@ -240,9 +240,8 @@ SQL = {
     "step_suppression": "SELECT o_orderkey, CAST(1 AS BIGINT) AS steps, CAST(1 AS BIGINT) AS notes_of_section FROM orders",
     "catalog_detect": """WITH t AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(lower(html), '<([a-z0-9]+)', 1)) AS tag FROM pages), r AS (SELECT * FROM (VALUES (0, 's1000d', 'dmodule'), (1, 'jats', 'article'), (1, 'jats', 'pm')) AS v(priority, format, part))
         SELECT page_id, tag, arg_min(format, priority) AS format FROM t JOIN r ON contains(tag, part) GROUP BY ALL""",
-    "html_blocks": r"""WITH f AS (SELECT page_id, regexp_extract_all(html, '<((?:p|h1|li)[^>]*>[^<]*)', 1) AS hits FROM pages), u AS (SELECT page_id, unnest(hits) AS hit, generate_subscripts(hits, 1) AS pos FROM f),
-        t AS (SELECT *, trim(regexp_replace(regexp_replace(hit, '^[^>]*>', ''), '[ \n\r\t]+', ' ', 'g')) AS text FROM u)
-        SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS INT) AS pos, CASE regexp_extract(hit, '^(p|h1|li)', 1) WHEN 'h1' THEN 'title' WHEN 'li' THEN 'listItem' ELSE 'paragraph' END AS block_type, text FROM t WHERE text <> ''""",
+    "html_blocks": r"""WITH f AS (SELECT page_id, regexp_extract_all(html, '<((?:p|h1|li)[^>]*>[^<]*)', 1) AS hits FROM pages), u AS (SELECT page_id, unnest(hits) AS hit, generate_subscripts(hits, 1) - 1 AS pos FROM f)
+        SELECT page_id, CAST(pos AS INT) AS pos, CASE regexp_extract(hit, '^(p|h1|li)', 1) WHEN 'h1' THEN 'title' WHEN 'li' THEN 'listItem' ELSE 'paragraph' END AS block_type, trim(regexp_replace(regexp_replace(hit, '^[^>]*>', ''), '[ \n\r\t]+', ' ', 'g')) AS text FROM u""",
     "relation_edges": """WITH u AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS target FROM pages) SELECT page_id, target, count(*) AS n FROM u GROUP BY ALL""",
     "relation_vocab": """WITH k AS (SELECT CASE event_id % 3 WHEN 0 THEN 'CITES' WHEN 1 THEN concat('custom:', event_type) ELSE upper(event_type) END AS relation_type FROM events)
         SELECT relation_type, relation_type IN ('CITES', 'REFERENCES', 'IS_CITED_BY', 'SUPERSEDES', 'IS_SUPERSEDED_BY', 'SUPPLEMENTS', 'IS_SUPPLEMENTED_BY', 'REQUIRES', 'IS_REQUIRED_BY', 'RELATED_TO', 'DERIVES_FROM', 'HAS_VERSION', 'IMPLEMENTS', 'CONTRADICTS')

@@ -458,3 +458,11 @@ def test_dealing_runs_nothing(spark):
     rows = dealt(counted)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
     assert rows.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+
+
+def test_pages_keep_blocks_without_text(spark, tmp_path):
+    from docloom.plans import doc_queries
+
+    spark.createDataFrame([(1, "<h1> </h1><p>a</p><li></li><p>b</p>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((r["pos"], r["block_type"], r["text"]) for r in doc_queries.html_blocks(spark, str(tmp_path)).collect())
+    assert got == [(0, "title", ""), (1, "paragraph", "a"), (2, "listItem", ""), (3, "paragraph", "b")]
