@@ -128,9 +128,15 @@ def ask(questions: DataFrame, service: Service, store: Store, table: str = "answ
                 yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(answer, pa.string()), pa.array(model, pa.string()), pa.array(calls, pa.int32()), pa.array(error, pa.string())], names=["digest", "answer", "model", "calls", "error"])
 
     waves = max(1, -(-open_.count() // wave))
+    of_wave = F.expr(f"int(pmod(crc32(digest), {waves}))")
+    if waves > 1:  # a folder a wave, so that a wave reads its own questions and not all of them
+        path = new_path(questions.sparkSession, "waves")
+        open_.withColumn("wave", of_wave).repartition(waves, "wave").write.partitionBy("wave").parquet(path)
+        open_ = questions.sparkSession.read.schema("digest string, question string, wave int").parquet(path)
+        of_wave = F.col("wave")
     failed: list[DataFrame] = []
     for i in range(waves):
-        mine = spread(open_.where(F.expr(f"pmod(crc32(digest), {waves}) = {i}")))
+        mine = spread(open_.where(of_wave == i).select("digest", "question"))
         path = new_path(questions.sparkSession, "wave")
         mine.mapInArrow(run, ANSWERS).write.parquet(path)  # asked once, whatever is read of it
         told = questions.sparkSession.read.schema(ANSWERS).parquet(path)

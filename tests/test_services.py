@@ -192,3 +192,12 @@ def test_a_page_of_very_many_boxes(spark):
     left = equations.missed(grid, boxes, pad=1.0)
     near = lambda c: f"(pmod({c}, 20) <= 1.5 or pmod({c}, 20) >= 18.5)"
     assert left.count() == grid.where(f"not ({near('x0')} and {near('y0')} and x0 <= 981.5 and y0 <= 581.5)").count()
+
+
+def test_a_wave_reads_its_own_questions(spark, tmp_path, monkeypatch):
+    plans, spread = [], models.spread
+    monkeypatch.setattr(models, "spread", lambda rows: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), spread(rows))[1])
+    asked = spark.createDataFrame([(f"q{i}",) for i in range(40)], "question string")
+    out = models.ask(asked, Service(models.scripted({}, "{}"), ["m"]), Store(spark, f"{tmp_path}/store"), wave=20).collect()
+    assert len(out) == 40 and {r["answer"] for r in out} == {"{}"}
+    assert len(plans) == 2 and all("PartitionFilters: [isnotnull(wave" in p for p in plans)  # a folder, not a filter of all rows
