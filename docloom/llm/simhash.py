@@ -13,7 +13,8 @@ goes only to the fingerprints that can match in it:
   each link meets in at least one shard. Beyond some 4 billion fingerprints it is 3 of 7 blocks, and so on,
   so that shards stay small.
 * ``near_groups`` (similarity links): MinHash bands of the same shingles are the shard keys, the
-  BK-tree tells which fingerprint to try first, and pairs of a shard are verified on whole shingle sets.
+  BK-tree gives the pairs of a shard, by a radius that no pair as similar can pass, and those it gives are verified
+  on whole shingle sets.
 
 A shard over ``piece`` fingerprints is cut into pieces, and each pair of pieces is a task of bounded
 size. A shard returns a spanning forest of its links, never all pairs.
@@ -112,15 +113,30 @@ def shingle_hashes(w: list[bytes], k: int) -> np.ndarray:
     return np.fromiter((digest(joined[i:j], 42) for i, j in zip(a, b)), "u8", len(a))
 
 
-def fingerprint(h: np.ndarray) -> int:
-    """Bit i is 1 if set in over half of the hashes."""
-    if not len(h):
-        return 0
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """In how many of the hashes each of the 64 bits is set."""
     count = np.zeros(64, "i8")
     for i in range(0, len(h), 1 << 16):
         part = np.ascontiguousarray(h[i : i + (1 << 16)])
         count += np.unpackbits(part.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="i8")
-    return int(np.packbits(count * 2 > len(h), bitorder="little").view("u8")[0])
+    return count
+
+
+def _majority(count: np.ndarray, n: int) -> int:
+    return int(np.packbits(count * 2 > n, bitorder="little").view("u8")[0])
+
+
+def fingerprint(h: np.ndarray) -> int:
+    """Bit i is 1 if set in over half of the hashes."""
+    return _majority(bit_counts(h), len(h))
+
+
+def _reach(count: np.ndarray, n: int, similarity: float) -> int:
+    """At how many bits at most the fingerprint of a set of n hashes differs from that of any set with a Jaccard similarity
+    of ``similarity`` or more. Such a set has at most n (1 - s) / s elements more or less, each of which moves a bit's majority by one."""
+    apart = int(n * (1 - similarity) / similarity + 1e-6)
+    ahead = count * 2 - n
+    return int(np.count_nonzero(np.where(ahead > 0, ahead, 1 - ahead) <= apart))
 
 
 def _signed(x: int) -> int:
@@ -245,34 +261,36 @@ def _multipliers(n: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(b"minhash%d" % i) | 1 for i in range(n)], "u8")
 
 
-def banded(docs: DataFrame, shingle: int) -> DataFrame:
-    """(uid, doc_id, node, check, fp, bands, size) of a text's distinct shingles: node and check, two digests of
-    64 bits, stand for equal sets of their hashes, fp is the set's fingerprint, size its number."""
+def banded(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(uid, doc_id, node, check, fp, reach, bands, size) of a text's distinct shingles: node and check, two digests of
+    64 bits, stand for equal sets of their hashes, fp is the set's fingerprint, reach the radius that holds those of all sets at
+    ``similarity``, size its number."""
 
     def run(batches):
         mult = _multipliers(BANDS * BAND_ROWS)
         for b in batches:
             for s in slices(b, "text"):
-                node, check, fps, bands, size = [], [], [], [], []
+                node, check, fps, reach, bands, size = [], [], [], [], [], []
                 for t in s.column("text").to_pylist():
                     h = shingle_hashes(words(t), shingle)
                     h = np.unique(h)
-                    f = fingerprint(h)
+                    count = bit_counts(h)
                     least = np.full(len(mult), MASK, "u8")
                     for i in range(0, len(h), 4096):
                         least = np.minimum(least, (h[i : i + 4096, None] * mult).min(0))
                     parts = least.reshape(BANDS, BAND_ROWS)
-                    fps.append(_signed(f))
+                    fps.append(_signed(_majority(count, len(h))))
+                    reach.append(_reach(count, len(h), similarity))
                     node.append(_signed(xxhash.xxh64_intdigest(h.tobytes())))
                     check.append(_signed(xxhash.xxh64_intdigest(h.tobytes(), 1)))
                     bands.append([_signed(xxhash.xxh64_intdigest(p.tobytes(), i)) for i, p in enumerate(parts)] if len(h) else [])
                     size.append(len(h))
                 yield pa.RecordBatch.from_arrays(
-                    [s.column("uid"), s.column("doc_id"), *(pa.array(x, pa.int64()) for x in (node, check, fps)), pa.array(bands, pa.list_(pa.int64())), pa.array(size, pa.int64())],
-                    names=["uid", "doc_id", "node", "check", "fp", "bands", "size"],
+                    [s.column("uid"), s.column("doc_id"), *(pa.array(x, pa.int64()) for x in (node, check, fps, reach)), pa.array(bands, pa.list_(pa.int64())), pa.array(size, pa.int64())],
+                    names=["uid", "doc_id", "node", "check", "fp", "reach", "bands", "size"],
                 )
 
-    return arrow_map(docs, run, "uid long, doc_id long, node long, check long, fp long, bands array<long>, size long")
+    return arrow_map(docs, run, "uid long, doc_id long, node long, check long, fp long, reach long, bands array<long>, size long")
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -287,13 +305,13 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return arrow_map(docs, run, "node long, set binary")
 
 
-def _verified(similarity: float, radius: int):
-    """Spanning forest of a shard's pairs with a Jaccard similarity of ``similarity`` or more. The
-    BK-tree's nearest fingerprint within the radius is tried first; a row that is then apart from any row
-    before it is compared with all of them at once, by the owners of its shingles, at any distance."""
+def _verified(similarity: float):
+    """Spanning forest of a shard's pairs with a Jaccard similarity of ``similarity`` or more. A row is compared with the rows
+    that the BK-tree finds within its reach, the nearest first, and with no others; where the nearest leaves rows in other components, the
+    rest are compared at once, by the owners of its shingles."""
 
-    def link(nodes: list[int], fps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-        tree, at, out = BKTree(), {}, []
+    def link(nodes: list[int], fps: list[int], reach: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        tree, at, out = BKTree(), [], []
         size = np.fromiter(map(len, sets), "i8", len(sets))
         label = np.arange(len(sets))
         lookup = None
@@ -304,21 +322,24 @@ def _verified(similarity: float, radius: int):
                 label[label == label[j]] = label[i]
 
         for i, key in enumerate(fps):
-            near = tree.nearest(key, radius)
+            near = tree.nearest(key, reach[i])
             if near is not None:
-                j = at[near]
+                j = at[near][0]
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if both / (size[i] + size[j] - both) >= similarity:
                     union(i, j)
-            at.setdefault(tree.add(key), i)
-            if i == 0 or (label[:i] == label[i]).all() or (i == 1 and near is not None):
-                continue
-            if lookup is None:
-                lookup = _Owners(sets)
-            both = lookup.shared(i)
-            alike = both / (size[i] + size[:i] - both) >= similarity
-            for j in np.flatnonzero(alike).tolist():
-                union(i, j)
+                if i > 1 and (label[:i] != label[i]).any():
+                    rows = np.array([x for n in tree.within(key, reach[i]) for x in at[n]])
+                    rows = rows[label[rows] != label[i]]
+                    if len(rows):
+                        lookup = lookup or _Owners(sets)
+                        both = lookup.shared(i)[rows]
+                        for j in rows[both / (size[i] + size[rows] - both) >= similarity].tolist():
+                            union(i, j)
+            node = tree.add(key)
+            if node == len(at):
+                at.append([])
+            at[node].append(i)
         return out
 
     return link
@@ -349,20 +370,20 @@ class _Owners:
 
 
 def _shared_shards(first: DataFrame, piece: int) -> DataFrame:
-    """(shard, pair, node, fp) of the bands that two or more nodes share. Of shards with the same nodes
+    """(shard, pair, node, fp, reach) of the bands that two or more nodes share. Of shards with the same nodes
     one is kept. One over ``piece`` rows or PIECE_BYTES is cut into k pieces by hash, and each row goes
     to the k - 1 pairs of pieces that hold its own."""
-    dealt = first.select(F.explode("bands").alias("shard"), "node", "fp", "size")
+    dealt = first.select(F.explode("bands").alias("shard"), "node", "fp", "reach", "size")
     shards = dealt.groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     shards = shards.where("n > 1").groupBy("n", "size", "x", "y").agg(F.min("shard").alias("shard"))
     k = F.expr(f"cast(greatest(ceil(n / {piece}), ceil(size * 8 / {PIECE_BYTES})) as int)")
     shards = shards.select("shard", F.when(k > 1, k + 1).alias("k"))
     out = dealt.join(shards, "shard")
     mine = F.pmod(F.xxhash64("node", F.lit(7)), F.col("k")).cast("int")
-    whole = out.where("k is null").select("shard", F.lit(0).alias("pair"), "node", "fp")
+    whole = out.where("k is null").select("shard", F.lit(0).alias("pair"), "node", "fp", "reach")
     cut_up = (
         out.where("k is not null").withColumn("p", mine).withColumn("q", F.explode(F.expr("sequence(0, k - 1)"))).where("p <> q")
-        .select("shard", (F.least("p", "q") * F.col("k") + F.greatest("p", "q")).alias("pair"), "node", "fp")
+        .select("shard", (F.least("p", "q") * F.col("k") + F.greatest("p", "q")).alias("pair"), "node", "fp", "reach")
     )
     return whole.union(cut_up)
 
@@ -372,32 +393,29 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, piec
     is the uid of the row with the smallest doc_id in the row's group. Links are pairs that share a band
     and have a Jaccard similarity of ``similarity`` or more, by their whole shingle sets. A text without
     words is alone unless repeated."""
-    # equal bits of a pair at Jaccard s: 1 - acos(2s / (1 + s)) / pi; 3.5 deviations more are tried first
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    radius = int(np.ceil(64 * p + 3.5 * np.sqrt(64 * p * (1 - p))))
     narrow = docs.select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = cut(banded(narrow, shingle), "banded")
+    rows = cut(banded(narrow, shingle, similarity), "banded")
     # equal sets are one node, known by the uid of its first row
     sets_of = ["node", "check"]
     nodes = rows.groupBy(*sets_of).agg(F.min_by("uid", F.coalesce("doc_id", F.lit(MASK >> 1))).alias("uid"), F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    first = cut(rows.join(nodes.select("uid"), "uid", "left_semi").select(F.col("uid").alias("node"), "fp", "bands", "size"), "distinct-banded")
+    first = cut(rows.join(nodes.select("uid"), "uid", "left_semi").select(F.col("uid").alias("node"), "fp", "reach", "bands", "size"), "distinct-banded")
     dealt = cut(_shared_shards(first, piece), "shared-shards")
     needed = dealt.select("node").distinct()
     sets = cut(shingle_sets(narrow.select(F.col("uid").alias("node"), "text").join(needed, "node", "left_semi"), shingle), "shingle-sets")
-    link = _verified(similarity, radius)
+    link = _verified(similarity)
 
     def verify(batches):
         for table, starts, ends in grouped_runs(batches, ["shard", "pair"]):
-            node, fp, held = table.column("node").to_numpy(), table.column("fp").to_numpy(), table.column("set")
+            node, fp, reach, held = *(table.column(n).to_numpy() for n in ("node", "fp", "reach")), table.column("set")
             some = np.flatnonzero(ends - starts > 1)
             edges: list[tuple[int, int]] = []
             for i, j in zip(starts[some].tolist(), ends[some].tolist()):
                 found = [np.frombuffer(x.as_buffer(), "<u8") for x in held.slice(i, j - i)]
-                edges += link(node[i:j].tolist(), [x & MASK for x in fp[i:j].tolist()], found)
+                edges += link(node[i:j].tolist(), [x & MASK for x in fp[i:j].tolist()], reach[i:j].tolist(), found)
             a, b = zip(*edges) if edges else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    told = dealt.join(sets, "node").select("shard", "pair", "node", "fp", "set")
+    told = dealt.join(sets, "node").select("shard", "pair", "node", "fp", "reach", "set")
     links = arrow_map(told.repartition("shard", "pair").sortWithinPartitions("shard", "pair", "node"), verify, "a long, b long")
     roots = components(links)
     every = nodes.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))

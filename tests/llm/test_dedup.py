@@ -127,6 +127,26 @@ def found_groups(spark, texts):
     return {frozenset(g) for g in groups.values() if len(g) > 1}
 
 
+def test_the_tree_gives_the_pairs_that_are_verified(monkeypatch):
+    """Links of a shard are those the tree finds: none without it, all within the reach of their sets."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in (5, 9, 20, 60, 400):
+        base = np.unique(rng.integers(0, 2**64, n, "u8"))
+        sets += [base, base[: -(n // 5)], np.unique(np.append(base, rng.integers(0, 2**64, n // 4, "u8")))]
+    counts = [simhash.bit_counts(x) for x in sets]
+    fps = list(map(simhash.fingerprint, sets))
+    reach = [simhash._reach(c, len(x), 0.8) for c, x in zip(counts, sets)]
+    alike = lambda a, b: (both := len(np.intersect1d(sets[a], sets[b]))) / (len(sets[a]) + len(sets[b]) - both) >= 0.8
+    pairs = [(i, j) for i in range(15) for j in range(i) if alike(i, j)]
+    assert len(pairs) == 10 and all((fps[i] ^ fps[j]).bit_count() <= min(reach[i], reach[j]) for i, j in pairs) and min(reach) < 32
+    found = simhash._verified(0.8)(list(range(15)), fps, reach, sets)
+    assert {tuple(sorted(p, reverse=True)) for p in found} == set(pairs)
+    monkeypatch.setattr(simhash.BKTree, "nearest", lambda *_: None)
+    monkeypatch.setattr(simhash.BKTree, "within", lambda *_: [])
+    assert simhash._verified(0.8)(list(range(15)), fps, reach, sets) == []
+
+
 def test_near_groups_of_a_driver_table(spark):
     """All pairs of the driver's documents by brute force: no link at 0.8 is lost, and none is made up."""
     from pyspark.sql import functions as F
