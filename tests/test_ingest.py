@@ -466,3 +466,21 @@ def test_pages_keep_blocks_without_text(spark, tmp_path):
     spark.createDataFrame([(1, "<h1> </h1><p>a</p><li></li><p>b</p>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = sorted((r["pos"], r["block_type"], r["text"]) for r in doc_queries.html_blocks(spark, str(tmp_path)).collect())
     assert got == [(0, "title", ""), (1, "paragraph", "a"), (2, "listItem", ""), (3, "paragraph", "b")]
+
+
+def test_rules_of_absent_elements_are_passed_over(monkeypatch):
+    """A rule is worked out only where the document has an element it asks for; a deep applicability is walked without recursion."""
+    from docloom.sources import xml
+
+    tried = []
+    value = xml.Rules.value
+    monkeypatch.setattr(xml.Rules, "value", lambda self, rule: tried.append(rule.get("xpath", rule.get("dc_element"))) or value(self, rule))
+    made = xml.parse("", "d", b"<dmodule><techName>A</techName><infoName/><b><skillLevel skillLevelCode='s'/></b></dmodule>", ("metadata",))["metadata"]
+    assert (made["dc_title"], made["dc_description"]) == ("A", "Skill Level: s") and tried == [".//techName", ".//skillLevel"]
+    deep = "<applic id='a'><displayText> x <simplePara> shown </simplePara></displayText>" + "<evaluate>" * 5000 + "<ASSERT applicPropertyIdent='i'/>" + "</evaluate>" * 5000 + "</applic>"
+    tree = xml.applic_tree(xml.ET.fromstring(deep))
+    assert (tree["applicId"], tree["displayText"]) == ("a", "shown")
+    at, depth = tree["evaluateTree"], 1
+    while at["children"][0]["type"] == "evaluate":
+        at, depth = at["children"][0], depth + 1
+    assert depth == 5000 and at["children"] == [{"type": "assert", "ident": "i", "propType": "", "values": ""}]
