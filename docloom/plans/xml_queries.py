@@ -58,13 +58,13 @@ def article_relations(spark, sf_dir):
 
 def applic_join(spark, sf_dir):
     """Steps with the first applicability of their reference in document order (JOI3, TRE11)."""
-    ref, own = (F.col("l_linenumber") % 5).cast("string"), (F.col("l_suppkey") % 5).cast("string")
-    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        _joined(_text('<applic id="app-', own, '"><displayText><simplePara>', F.col("l_returnflag"), "</simplePara></displayText></applic>")).alias("a"),
-        _joined(_text('<proceduralStep applicRefId="app-', ref, '"><para>', _str("l_partkey"), "</para></proceduralStep>")).alias("s"),
-    )
-    m = lines.select("l_orderkey", _text("<dmodule><status>", F.col("a"), "</status><content><procedure><mainProcedure>", F.col("s"), "</mainProcedure></procedure></content></dmodule>").alias("xml"))
-    b = xml.blocks(xml.shred(_files(m), ("blocks",)))
+    # an order's lines are gathered and sorted once, as they are, for both texts
+    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"))).alias("l"))
+    all_of = lambda text: F.array_join(F.transform("l", text), "")
+    applics = all_of(lambda r: _text('<applic id="app-', (r["l_suppkey"] % 5).cast("string"), '"><displayText><simplePara>', r["l_returnflag"], "</simplePara></displayText></applic>"))
+    steps = all_of(lambda r: _text('<proceduralStep applicRefId="app-', (r["l_linenumber"] % 5).cast("string"), '"><para>', r["l_partkey"].cast("string"), "</para></proceduralStep>"))
+    m = lines.select("l_orderkey", _text("<dmodule><status>", applics, "</status><content><procedure><mainProcedure>", steps, "</mainProcedure></procedure></content></dmodule>").alias("xml"))
+    b = xml.block_rows(_files(m), ("text", "structured_content"))
     held = lambda path: F.get_json_object("structured_content", path)
     return b.select(F.col("doc_id").cast("long").alias("doc_id"), held("$.applicRefId").alias("applic_ref"), F.col("text").cast("long").alias("l_partkey"), held("$.applicTree.displayText").alias("tree"))
 
