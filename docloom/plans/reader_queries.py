@@ -194,7 +194,7 @@ def catalog_relations(spark, sf_dir):
 
 def raw_fields(spark, sf_dir):
     """The title block's raw code fields (FN20, TRE2)."""
-    b = xml.blocks(xml.shred(_files(modules(spark, sf_dir).withColumnRenamed("o_orderkey", "l_orderkey")), ("blocks",))).where("block_type = 'title'")
+    b = xml.block_rows(_files(modules(spark, sf_dir).withColumnRenamed("o_orderkey", "l_orderkey")), ("text", "structured_content"), ("titles",))
     get = lambda k: F.get_json_object("structured_content", f"$.s1000d_dmCode.{k}")
     return b.select(F.col("doc_id").cast("long").alias("o_orderkey"), "text", get("modelIdentCode").alias("model"), get("infoCode").alias("info"), get("subSystemCode").alias("sub"))
 
