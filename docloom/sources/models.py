@@ -107,6 +107,24 @@ class Ring:
             return answer, model, calls, None
 
 
+def asked(questions: list[str], ring: Ring, pool: ThreadPoolExecutor) -> list[tuple]:
+    """What ``ring`` says to each; as many calls as it may make at once take questions in turn until none is left."""
+    rows: list = [None] * len(questions)
+    todo = iter(enumerate(questions))
+    lock = Lock()
+
+    def work(_) -> None:
+        while True:
+            with lock:
+                i, q = next(todo, (None, None))
+            if i is None:
+                return
+            rows[i] = ring.ask(q)
+
+    list(pool.map(work, range(min(ring.service.at_once, len(questions)))))
+    return rows
+
+
 def ask(questions: DataFrame, service: Service, store: Store, table: str = "answers", wave: int = 100_000) -> DataFrame:
     """ANSWERS rows of questions (question), one for each distinct one that is not blank."""
     ship(questions.sparkSession)
@@ -123,7 +141,7 @@ def ask(questions: DataFrame, service: Service, store: Store, table: str = "answ
         ring = Ring(service)
         with ThreadPoolExecutor(service.at_once) as pool:
             for b in batches:
-                rows = list(pool.map(ring.ask, b.column("question").to_pylist()))
+                rows = asked(b.column("question").to_pylist(), ring, pool)
                 answer, model, calls, error = (list(c) for c in zip(*rows)) if rows else ([], [], [], [])
                 yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(answer, pa.string()), pa.array(model, pa.string()), pa.array(calls, pa.int32()), pa.array(error, pa.string())], names=["digest", "answer", "model", "calls", "error"])
 
@@ -134,18 +152,15 @@ def ask(questions: DataFrame, service: Service, store: Store, table: str = "answ
         open_.withColumn("wave", of_wave).repartition(waves, "wave").write.partitionBy("wave").parquet(path)
         open_ = questions.sparkSession.read.schema("digest string, question string, wave int").parquet(path)
         of_wave = F.col("wave")
-    failed: list[DataFrame] = []
+    paths = []
     for i in range(waves):
         mine = spread(open_.where(of_wave == i).select("digest", "question"))
-        path = new_path(questions.sparkSession, "wave")
-        mine.mapInArrow(run, ANSWERS).write.parquet(path)  # asked once, whatever is read of it
-        told = questions.sparkSession.read.schema(ANSWERS).parquet(path)
-        store.upsert(table, told.where("error is null"), ["digest"], ["calls"])
-        failed.append(told.where("error is not null"))
+        paths.append(new_path(questions.sparkSession, "wave"))
+        mine.mapInArrow(run, ANSWERS).write.parquet(paths[-1])  # asked once, whatever is read of it
+        told = questions.sparkSession.read.schema(ANSWERS).parquet(paths[-1])
+        store.upsert(table, told.where("error is null"), ["digest"], ["calls"], once=True)
     out = store.read(table).join(wanted, "digest", "left_semi").select(*(c.split()[0] for c in ANSWERS.split(", ")))
-    for f in failed:
-        out = out.unionByName(f)
-    return out
+    return out.unionByName(questions.sparkSession.read.schema(ANSWERS).parquet(*paths).where("error is not null"))  # one scan of all waves
 
 
 def _parsed(answers: DataFrame, schema: str) -> DataFrame:
